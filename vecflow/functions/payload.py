@@ -13,7 +13,9 @@ from vecflow.schema import FIELDS
 # (it trims blanks and reads a trailing "d").
 DECIMAL_NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
 SPECIAL_NUMBER = r"^(?:[nN][aA][nN]|[+-]?[iI][nN][fF](?:[iI][nN][iI][tT][yY])?)\z"
-INTEGER_NUMBER = r"^[+-]?[0-9]+\z"
+SHORT_INTEGER = r"^[+-]?[0-9]{1,18}\z"
+LONG_INTEGER = r"^[+-]?0*[0-9]{1,38}\z"
+INT64_BOUNDS = ("-9223372036854775808", "9223372036854775807")
 RFC3339_FORMAT = "yyyy-MM-dd'T'HH:mm:ssXXX"
 
 
@@ -107,7 +109,8 @@ def with_document(fields: Column, name: str, text: Column) -> Column:
 def parse_json_object(text: Column, strict: bool = True) -> Column:
     """JSON object text to a payload. Anything else stops the job, or is null if not strict."""
     parsed = F.parse_json(text) if strict else F.try_parse_json(text)
-    is_object = F.schema_of_variant(parsed).startswith("OBJECT")
+    # What parses and opens with a brace is an object.
+    is_object = text.rlike(r"^[ \t\r\n]*\{")
     otherwise = F.lit(None).cast("variant")
     if strict:
         otherwise = F.when(
@@ -131,7 +134,13 @@ def parse_field(attribute_type: Column, text: Column) -> Column:
 
 def narrow_number(text: Column) -> Column:
     """Number text as int64 if it fits, else double, else the text itself."""
-    integer = F.when(text.rlike(INTEGER_NUMBER), text.try_cast("bigint"))
+    # Up to 18 digits always fit. Longer text is compared as a decimal, since a
+    # cast that fails costs an exception per row.
+    wide = F.when(text.rlike(LONG_INTEGER), text.try_cast("decimal(38,0)"))
+    low, high = [F.lit(bound).cast("decimal(38,0)") for bound in INT64_BOUNDS]
+    integer = F.when(text.rlike(SHORT_INTEGER), text.cast("bigint")).when(
+        wide.between(low, high), wide.cast("bigint")
+    )
     return F.coalesce(
         integer.cast("variant"), as_number(text).cast("variant"), text.cast("variant")
     )

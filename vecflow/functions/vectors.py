@@ -11,24 +11,28 @@ from pyspark.sql import types as T
 from vecflow.schema import DENSE, UNNAMED
 
 _NUMERIC_LIST = r"^ARRAY<(BIGINT|DOUBLE|FLOAT|DECIMAL\(\d+,\d+\))>$"
+_NUMERIC_OR_EMPTY_LIST = r"^ARRAY<(BIGINT|DOUBLE|FLOAT|DECIMAL\(\d+,\d+\)|VOID)>$"
 
 
 def numeric_array(value: Column, empty_is_vector: bool, floats_only: bool = False) -> Column:
     """The variant as ``array<float>`` when it is a list of numbers, else null.
 
     One type test covers the whole list: any text, boolean or nested element
-    turns its common type into VARIANT, and only nulls need a second look.
-    ``floats_only`` rejects lists holding an integer.
+    turns its common type into VARIANT, and only nulls need a second look (a list
+    of nothing else has the type of an empty one). ``floats_only`` rejects lists
+    holding an integer. Numbers go through double precision, as decoded JSON does.
     """
-    kind = F.schema_of_variant(value)
-    numbers = F.try_variant_get(value, "$", "array<double>")
-    accepted = kind.rlike(_NUMERIC_LIST) & ~F.exists(numbers, lambda x: x.isNull())
+    kinds = _NUMERIC_OR_EMPTY_LIST if empty_is_vector else _NUMERIC_LIST
+    accepted = F.schema_of_variant(value).rlike(kinds)
     if floats_only:
         elements = F.try_variant_get(value, "$", "array<variant>")
         accepted = accepted & ~F.exists(elements, lambda x: F.schema_of_variant(x) == "BIGINT")
-    if empty_is_vector:
-        accepted = accepted | (kind == "ARRAY<VOID>") & (F.size(numbers) == 0)
-    return F.when(accepted, numbers.cast("array<float>"))
+    # The list is read once: a lambda names it for its two uses.
+    numbers = F.array(F.try_variant_get(value, "$", "array<double>"))
+    without_nulls = F.transform(
+        numbers, lambda n: F.when(~F.exists(n, lambda x: x.isNull()), n.cast("array<float>"))
+    )
+    return F.when(accepted, F.get(without_nulls, F.lit(0)))
 
 
 def is_numeric_array(value: Column, empty_is_vector: bool, floats_only: bool = False) -> Column:
@@ -53,13 +57,14 @@ def typed_numeric_array(
 
 def named_vectors(vectors: dict[str, Column], data_type: str = DENSE) -> Column:
     """Map of the vectors that are present; an absent vector has no entry."""
-    entries = F.array(
-        *[F.struct(F.lit(name).alias("key"), v.alias("value")) for name, v in vectors.items()]
-    )
-    if not vectors:
-        return F.create_map().cast(data_type)
-    present = F.filter(entries, lambda e: e["value"].isNotNull())
-    return F.map_from_entries(present).cast(data_type)
+    empty = F.create_map().cast(data_type)
+    single = [
+        F.when(v.isNotNull(), F.create_map(F.lit(name), v).cast(data_type)).otherwise(empty)
+        for name, v in vectors.items()
+    ]
+    if len(single) < 2:
+        return single[0] if single else empty
+    return F.map_concat(*single)
 
 
 def unnamed_vector(vector: Column) -> Column:

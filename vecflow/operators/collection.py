@@ -1,8 +1,10 @@
 """A stored target collection that takes idempotent upserts.
 
-Points lie in hash buckets. An upsert writes the buckets it touches as a new
-version and then adds one small commit file that says which version of each
-bucket is current; a crash in between leaves the earlier commit in force.
+Points lie in hash buckets, a bucket in one or more folders. An upsert writes its
+points to a new folder and then adds one small commit file that lists the folders
+of every bucket; a crash in between leaves the earlier commit in force. Buckets
+that only gain points keep their old folders; only those in which a point is
+replaced are rewritten.
 """
 
 from __future__ import annotations
@@ -36,25 +38,30 @@ class StoredCollection:
         """Current points; bucket pruning keeps superseded files out of the scan."""
         return self._read(self._live()).drop("bucket")
 
-    def _live(self) -> dict[int, str]:
+    def _live(self) -> dict[int, list[str]]:
         state = self._latest_commit()
-        return {int(b): v for b, v in state["live"].items()} if state else {}
-
-    def _read(self, live: dict[int, str]) -> DataFrame:
-        schema = self.schema().add("bucket", T.IntegerType())
-        by_version: dict[str, list[int]] = {}
-        for bucket, version in live.items():
-            by_version.setdefault(version, []).append(bucket)
+        return {int(b): folders for b, folders in state["live"].items()} if state else {}
+
+    def _read(self, live: dict[int, list[str]]) -> DataFrame:
+        schema = self._stored_schema()
+        by_folder: dict[str, list[int]] = {}
+        for bucket, folders in live.items():
+            for folder in folders:
+                by_folder.setdefault(folder, []).append(bucket)
         parts = [
             self.spark.read.schema(schema)
-            .parquet(f"{self.path}/{version}")
+            .parquet(f"{self.path}/{folder}")
             .where(F.col("bucket").isin(*buckets))
-            for version, buckets in sorted(by_version.items())
+            for folder, buckets in sorted(by_folder.items())
         ]
         if not parts:
             return self.spark.createDataFrame([], schema)
         return reduce(DataFrame.unionByName, parts)
 
+    @classmethod
+    def _stored_schema(cls) -> T.StructType:
+        return cls.schema().add("bucket", T.IntegerType())
+
     # -- writing ---------------------------------------------------------
 
     def bucket_of(self, point_id: Column) -> Column:
@@ -76,24 +83,45 @@ class StoredCollection:
         latest = keep_last(valid, "id", seq)
         latest = latest.select(*POINT_COLUMNS, self.bucket_of(F.col("id")).alias("bucket"))
         number, live = self._next_number(), self._live()
-        staged_at = f"{self.path}/staged-{number}"
-        self._write(latest, staged_at)
-        staged = self.spark.read.schema(self.schema().add("bucket", T.IntegerType())).parquet(
-            staged_at
-        )
+        added = f"added-{number}"
+        self._write(latest, f"{self.path}/{added}")
+        staged = self.spark.read.schema(self._stored_schema()).parquet(f"{self.path}/{added}")
         per_bucket = {r["bucket"]: r["count"] for r in staged.groupBy("bucket").count().collect()}
-        if not per_bucket:
-            return 0
-        overlapping = {b: v for b, v in live.items() if b in per_bucket}
-        version = f"staged-{number}"
-        if overlapping:
-            version = f"v-{number}"
-            merged = merge_latest(self._read(overlapping), staged, ["bucket", "id"])
-            self._write(merged.select(*POINT_COLUMNS, "bucket"), f"{self.path}/{version}")
-        live.update({b: version for b in per_bucket})
-        self._commit(number, live)
+        known = {b: folders for b, folders in live.items() if b in per_bucket}
+        replaced = self._buckets_sharing_ids(known, staged)
+        if replaced:
+            merged = merge_latest(
+                self._read({b: known[b] for b in replaced}),
+                staged.where(F.col("bucket").isin(*replaced)),
+                ["bucket", "id"],
+            )
+            self._write(merged, f"{self.path}/merged-{number}")
+        for bucket in per_bucket:
+            if bucket in replaced:
+                live[bucket] = [f"merged-{number}"]
+            else:
+                live[bucket] = [*live.get(bucket, []), added]
+        if per_bucket:
+            self._commit(number, live)
         return sum(per_bucket.values())
 
+    def _buckets_sharing_ids(self, known: dict[int, list[str]], staged: DataFrame) -> list[int]:
+        """Buckets where the batch replaces a stored point; only ids are read for this."""
+        if not known:
+            return []
+        keys = ["bucket", "id"]
+        shared = self._read(known).select(*keys).join(staged.select(*keys), keys, "left_semi")
+        return sorted(r["bucket"] for r in shared.select("bucket").distinct().collect())
+
+    def compact(self, max_folders: int = 8) -> None:
+        """Rewrite buckets that have gathered more than ``max_folders`` folders."""
+        number, live = self._next_number(), self._live()
+        scattered = {b: folders for b, folders in live.items() if len(folders) > max_folders}
+        if scattered:
+            self._write(self._read(scattered), f"{self.path}/merged-{number}")
+            live.update({b: [f"merged-{number}"] for b in scattered})
+            self._commit(number, live)
+
     @staticmethod
     def _write(points: DataFrame, path: str) -> None:
         # Rebalance on the bucket: AQE merges small buckets' tasks and splits large ones.
@@ -121,10 +149,15 @@ class StoredCollection:
         numbers = self._commit_numbers()
         if not numbers:
             return None
-        text = self.spark.read.text(f"{self.path}/_commits/{numbers[-1]:012d}.json", wholetext=True)
-        return json.loads(text.first()["value"])
-
-    def _commit(self, number: int, live: dict[int, str]) -> None:
+        folder, fs = self._fs()
+        name = self.spark._jvm.org.apache.hadoop.fs.Path(folder, f"{numbers[-1]:012d}.json")
+        stream = fs.open(name)
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode("utf-8"))
+        finally:
+            stream.close()
+
+    def _commit(self, number: int, live: dict[int, list[str]]) -> None:
         """Write aside, then rename to the number: a second writer of it fails."""
         folder, fs = self._fs()
         body = json.dumps({"buckets": self.buckets, "live": {str(b): v for b, v in live.items()}})

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from vecflow.operators.collection import StoredCollection
 from vecflow.plans.progress import ProgressTable
-from vecflow.plans.ranges import assign_range, in_range, plan_rows, resume_ranges
+from vecflow.plans.ranges import assign_range, in_range, resume_ranges
 
 
 def transfer(
@@ -32,42 +33,51 @@ def transfer(
     if ranges_per_job < 1:
         raise ValueError("ranges_per_job must be positive")
     data_type = source.schema[key].dataType
-    resumed = resume_ranges(plan, progress.load(restart)).cache()
-    try:
-        names = resumed.select("source_key", "plan_id").first()
-        pending = [
-            r
-            for r in plan_rows(resumed, data_type)
-            if r["start_key"] is None or r["end_key"] is None or r["start_key"] < r["end_key"]
-        ]
-        already = {r["range_id"]: r["processed"] for r in resumed.collect()}
-    finally:
-        resumed.unpersist()
+    resumed = (
+        resume_ranges(plan, progress.load(restart))
+        .withColumn("start_key", F.col("start_key").cast(data_type))
+        .withColumn("end_key", F.col("end_key").cast(data_type))
+        .orderBy("range_id")
+        .collect()
+    )
+    pending = [
+        r
+        for r in resumed
+        if r["start_key"] is None or r["end_key"] is None or r["start_key"] < r["end_key"]
+    ]
     written = 0
     for first in range(0, len(pending), ranges_per_job):
         job = pending[first : first + ranges_per_job]
-        # Neighbouring ranges share one bound pair; a resumed start can leave a gap inside it.
-        wanted = F.lit(False)
-        for r in job:
-            wanted = wanted | in_range(F.col(key), r["start_key"], r["end_key"])
-        rows = source.where(wanted)
+        wanted = [in_range(F.col(key), start, end) for start, end in spans(job)]
+        rows = source.where(reduce(Column.__or__, wanted))
         written += target.upsert(normalise(rows))
-        done = (
-            assign_range(rows.select(key), key, plan)
-            .groupBy("range_id")
-            .agg(F.max(key).cast("string").alias("last_key"), F.count(F.lit(1)).alias("_n"))
-        )
-        counted = done.select(
-            F.lit(names["source_key"]).alias("source_key"),
-            F.lit(names["plan_id"]).alias("plan_id"),
+        progress.store(_progress_rows(rows, key, plan, job))
+    return written
+
+
+def spans(job: Sequence[Row]) -> list[tuple]:
+    """The key bounds of neighbouring ranges, joined where one starts as the other ends."""
+    joined: list[tuple] = []
+    for r in job:
+        if joined and joined[-1][1] is not None and joined[-1][1] == r["start_key"]:
+            joined[-1] = (joined[-1][0], r["end_key"])
+        else:
+            joined.append((r["start_key"], r["end_key"]))
+    return joined
+
+
+def _progress_rows(rows: DataFrame, key: str, plan: DataFrame, job: Sequence[Row]) -> DataFrame:
+    """Last key and running count of each range of the job, from its key column alone."""
+    earlier = F.create_map(*[F.lit(x) for r in job for x in (r["range_id"], r["processed"])])
+    return (
+        assign_range(rows.select(key), key, plan)
+        .groupBy("range_id")
+        .agg(F.max(key).cast("string").alias("last_key"), F.count(F.lit(1)).alias("_n"))
+        .select(
+            F.lit(job[0]["source_key"]).alias("source_key"),
+            F.lit(job[0]["plan_id"]).alias("plan_id"),
             "range_id",
             "last_key",
-            "_n",
+            (F.col("_n") + F.coalesce(earlier[F.col("range_id")], F.lit(0))).alias("processed"),
         )
-        earlier = F.create_map(*[F.lit(x) for item in already.items() for x in item])
-        progress.store(
-            counted.withColumn(
-                "processed", F.col("_n") + F.coalesce(earlier[F.col("range_id")], F.lit(0))
-            )
-        )
-    return written
+    )

@@ -29,7 +29,9 @@ def fetch_by_ids(ids: DataFrame, store: DataFrame, key: str = "id") -> DataFrame
     """Records of the listed ids, in full; an id without a record is left out.
 
     Neither side is forced to broadcast: Spark does so only when its own size
-    estimate for the id list is small, and AQE re-checks it at run time.
+    estimate for the id list is small, and AQE re-checks it at run time. Ids are
+    made distinct first, which combines a repeated one before the shuffle the
+    join needs anyway.
     """
-    return store.join(ids.select(key), key, "left_semi")
+    return store.join(ids.select(key).distinct(), key, "left_semi")
 

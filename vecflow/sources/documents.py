@@ -59,22 +59,31 @@ def from_solr_docs(
     id_field: str = ID_FIELD,
     record: str = "doc",
     vector_fields: Sequence[str] | None = None,
+    missing_ids: str = "derive",
 ) -> DataFrame:
     """Flat documents whose ``id`` stays in the payload and is copied to the id field.
 
     A document without an id gets one derived from its content, so that two such
-    documents never share a point.
+    documents never share a point. That takes a second pass over ``docs``; where
+    every document is known to have an id, ``missing_ids="fail"`` spares it.
     """
     rule = VectorRule(empty_is_vector=True, only=_names(vector_fields))
     whole = docs.select(as_variant(docs, record).alias("_doc"))
     known_id = F.variant_get("_doc", "$.id", "string")
-    identified = whole.where(known_id.isNotNull()).select(
-        F.col("_doc"), known_id.alias("_original_id")
-    )
-    anonymous = copies_with_ids(
-        whole.where(known_id.isNull()).select(F.to_json("_doc").alias("record"))
-    ).select(F.parse_json("record").alias("_doc"), F.col("record_id").alias("_original_id"))
-    split = split_record(identified.unionByName(anonymous), "_doc", rule)
+    if missing_ids == "fail":
+        identified = check_records(
+            whole.select("_doc", known_id.alias("_original_id")),
+            [Rule("id is missing", F.col("_original_id").isNull())],
+        )
+    elif missing_ids == "derive":
+        named = whole.where(known_id.isNotNull()).select("_doc", known_id.alias("_original_id"))
+        anonymous = copies_with_ids(
+            whole.where(known_id.isNull()).select(F.to_json("_doc").alias("record"))
+        ).select(F.parse_json("record").alias("_doc"), F.col("record_id").alias("_original_id"))
+        identified = named.unionByName(anonymous)
+    else:
+        raise ValueError(f"missing_ids must be 'derive' or 'fail', not {missing_ids!r}")
+    split = split_record(identified, "_doc", rule)
     return _document_points(split, F.col("_original_id"), id_field)
 
 
@@ -111,13 +120,8 @@ def _checked_hits(hits: DataFrame) -> DataFrame:
     rules = [Rule("_id is missing", F.col("_id").isNull())]
     if not isinstance(hits.schema["_id"].dataType, T.StringType):
         raise ValueError("_id must be text")
-    source = hits.schema["_source"].dataType
-    if isinstance(source, T.VariantType):
-        rules.append(
-            Rule("_source is not an object", ~F.schema_of_variant("_source").startswith("OBJECT"))
-        )
-    else:
-        rules.append(Rule("_source is missing", F.col("_source").isNull()))
+    # A _source that is no object stops the job where its fields are read.
+    rules.append(Rule("_source is missing", F.col("_source").isNull()))
     return check_records(hits, rules)
 
 

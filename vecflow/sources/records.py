@@ -128,10 +128,12 @@ def copies_with_ids(records: DataFrame, text: str = "record") -> DataFrame:
     spread over the cluster.
     """
     chunk = 65_536
+    tasks = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counted = records.groupBy(text).agg(F.count(F.lit(1)).alias("_n"))
+    # A fixed number of tasks: sized by bytes, many chunks would end up in one.
     chunks = counted.withColumn(
         "_first", F.explode(F.sequence(F.lit(0), F.col("_n") - 1, F.lit(chunk)))
-    ).hint("rebalance")
+    ).repartition(tasks, text, "_first")
     last = F.least(F.col("_first") + chunk, F.col("_n")) - 1
     return chunks.select(
         text, F.explode(F.sequence(F.col("_first"), last)).alias("occurrence")
