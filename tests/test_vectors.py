@@ -1,0 +1,101 @@
+import struct
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from vecflow.functions import vectors
+
+#           text, ES, OpenSearch and Solr, Mongo
+CASES = [
+    ("[1.5,2.25]", True, True, True),
+    ("[1.0,2.0]", True, True, True),
+    ("[1,2]", True, True, False),
+    ("[1,2.5]", True, True, False),
+    ("[1e3,2]", True, True, False),
+    ("[]", False, True, True),
+    ("[1,null]", False, False, False),
+    ("[null]", False, False, False),
+    ('[1,"7"]', False, False, False),
+    ("[1,true]", False, False, False),
+    ("[[1]]", False, False, False),
+    ('[{"a":1}]', False, False, False),
+    ("7", False, False, False),
+    ('"7"', False, False, False),
+    ("null", False, False, False),
+    ('{"a":1}', False, False, False),
+]
+
+
+@pytest.mark.parametrize(
+    "column,empty_is_vector,floats_only", [(1, False, False), (2, True, False), (3, True, True)]
+)
+def test_which_values_are_vectors(spark, column, empty_is_vector, floats_only):
+    rows = spark.createDataFrame([(c[0],) for c in CASES], "t string")
+    decided = rows.select(
+        "t", vectors.is_numeric_array(F.parse_json("t"), empty_is_vector, floats_only)
+    ).collect()
+    assert {r[0]: r[1] for r in decided} == {c[0]: c[column] for c in CASES}
+
+
+def test_typed_columns_are_decided_from_their_type():
+    column = F.lit(None)
+    assert vectors.typed_numeric_array(column, T.StringType(), False) is None
+    assert vectors.typed_numeric_array(column, T.ArrayType(T.StringType()), False) is None
+    assert vectors.typed_numeric_array(column, T.ArrayType(T.LongType()), True, True) is None
+    assert vectors.typed_numeric_array(column, T.ArrayType(T.LongType()), True) is not None
+
+
+def test_values_keep_single_precision(spark):
+    text = "[0.1,0.30000001192092896,3,1e-45]"
+    got = spark.sql(f"SELECT parse_json('{text}') AS v").select(
+        vectors.numeric_array(F.col("v"), False)
+    )
+    expected = [struct.unpack("f", struct.pack("f", x))[0] for x in (0.1, 0.30000001192092896, 3, 1e-45)]
+    assert got.first()[0] == expected
+
+
+def test_little_endian_floats(spark):
+    floats = [1.5, -0.0, 3.4028234663852886e38, 1.401298464324817e-45, float("inf")]
+    raw = struct.pack("<5f", *floats)
+    blobs = [raw, raw[:3], b"", raw[:16], raw[:17], None, struct.pack("<f", float("nan"))]
+    rows = spark.createDataFrame(
+        [(i, None if b is None else bytearray(b)) for i, b in enumerate(blobs)], "i int, b binary"
+    )
+    got = [r[0] for r in rows.orderBy("i").select(vectors.bytes_to_floats(F.col("b"))).collect()]
+    assert got[:6] == [floats, [], [], floats[:4], floats[:4], None]
+    assert str(got[6]) == "[nan]"
+
+
+def test_bytes_roundtrip_in_filtered_batches(spark):
+    rows = spark.range(1000).select(
+        "id", F.when(F.col("id") % 7 != 0, F.array(F.col("id").cast("float"), F.lit(0.5).cast("float"))).alias("v")
+    )
+    decoded = vectors.bytes_to_floats(vectors.floats_to_bytes(F.col("v")))
+    wrong = rows.where("id > 10").select("v", decoded.alias("d")).where(~F.col("v").eqNullSafe(F.col("d")))
+    assert wrong.count() == 0
+
+
+def test_overlay_replaces_and_adds(spark):
+    row = spark.range(1).select(
+        vectors.overlay_vectors(
+            F.expr("map('a', array(1f), 'b', array(2f))"), F.expr("map('b', array(3f), 'c', array(4f))")
+        )
+    )
+    assert row.first()[0] == {"a": [1.0], "b": [3.0], "c": [4.0]}
+
+
+def test_named_vectors_skip_absent_ones(spark):
+    row = spark.range(1).select(
+        vectors.named_vectors({"x": F.expr("array(1f)"), "y": F.lit(None).cast("array<float>")}),
+        vectors.named_vectors({"y": F.lit(None).cast("array<float>")}),
+        vectors.named_vectors({}),
+    )
+    assert list(row.first()) == [{"x": [1.0]}, {}, {}]
+
+
+def test_flat_slices(spark):
+    rows = spark.range(2).select(
+        vectors.flat_slice(F.expr("array(1f,2f,3f,4f,5f,6f)"), F.col("id").cast("int"), F.lit(3))
+    )
+    assert [r[0] for r in rows.collect()] == [[1, 2, 3], [4, 5, 6]]

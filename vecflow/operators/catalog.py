@@ -165,6 +165,7 @@ def params_single(indexes: DataFrame, strict: bool = True) -> DataFrame:
         (source == "pinecone") & ~vector_type.isin(*PINECONE_VECTOR_TYPES),
         F.concat(F.lit("unsupported vector type: "), vector_type),
     )
+    distance = F.when(vector_type == "dense", distance)
     if strict:
         distance = F.when(problem.isNotNull(), F.raise_error(problem)).otherwise(distance)
     return indexes.select(
@@ -173,7 +174,7 @@ def params_single(indexes: DataFrame, strict: bool = True) -> DataFrame:
         F.lit(UNNAMED).alias("name"),
         vector_type.alias("vector_type"),
         F.when(vector_type == "dense", F.col("size")).alias("size"),
-        F.when(vector_type == "dense", distance).alias("distance"),
+        distance.alias("distance"),
         problem.alias("problem"),
     )
 
