@@ -106,17 +106,25 @@ def test_fetching_ids_ignores_repeats_and_strangers(spark):
 
 
 def test_scratch_folder_follows_the_session(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", f"{tmp_path}/shared/")
-    try:
-        assert scratch_root(spark) == f"{tmp_path}/shared"
-        assert materialize(spark.range(3), "t").count() == 3
-        assert len(list((tmp_path / "shared").iterdir())) == 1
-    finally:
-        if before is None:
-            spark.conf.unset("spark.checkpoint.dir")
-        else:
-            spark.conf.set("spark.checkpoint.dir", before)
+    named = FakeSession({"spark.checkpoint.dir": f"{tmp_path}/shared/"}, "yarn")
+    assert scratch_root(named) == f"{tmp_path}/shared"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(FakeSession({}, "yarn"))
+    assert scratch_root(spark) == scratch_root(spark)
+    kept = materialize(spark.range(3), "t")
+    assert kept.count() == 3 and "FileScan" in kept._jdf.queryExecution().executedPlan().toString()
+
+
+class FakeSession:
+    """Just enough of a session to ask for settings."""
+
+    def __init__(self, settings, master):
+        self.conf = self
+        self.settings, self.master = settings, master
+        self.sparkContext = self
+
+    def get(self, key, default):
+        return self.settings.get(key, default)
 
 
 # -- streams -------------------------------------------------------------------

@@ -8,21 +8,21 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_local_roots: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; only a session that runs on one
     machine and names none gets a temporary folder of its own."""
-    root = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getConf().get(
-        CHECKPOINT_SETTING
-    )
+    root = spark.conf.get(CHECKPOINT_SETTING, None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="vecflow-")
-    spark.conf.set(CHECKPOINT_SETTING, root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _local_roots:
+        _local_roots[application] = tempfile.mkdtemp(prefix="vecflow-")
+    return _local_roots[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
