@@ -20,17 +20,20 @@ def transfer(
     normalise: Callable[[DataFrame], DataFrame],
     target: StoredCollection,
     progress: ProgressTable,
-    ranges_per_job: int = 10,
+    ranges_per_job: int | None = None,
     restart: bool = False,
 ) -> int:
     """Copy every unfinished range of ``plan`` into ``target``; returns points written.
 
-    A job covers several neighbouring ranges, which Spark reads and writes in
-    parallel; its key bounds are plain predicates that reach the scan. Data is
-    committed before progress, and an upsert repeated after a crash changes
-    nothing, so a range is never lost and never applied twice in effect.
+    By default one job copies them all: Spark repeats lost tasks by itself, and the
+    source is read once. ``ranges_per_job`` makes several jobs with progress
+    between them. That pays where key bounds spare a job most of the scan, as in
+    a database or files sorted by key; the bounds are plain predicates that reach
+    the scan. Data is committed before progress, and an upsert repeated after a
+    crash changes nothing, so a range is never lost and never applied twice in
+    effect.
     """
-    if ranges_per_job < 1:
+    if ranges_per_job is not None and ranges_per_job < 1:
         raise ValueError("ranges_per_job must be positive")
     data_type = source.schema[key].dataType
     resumed = (
@@ -45,9 +48,9 @@ def transfer(
         for r in resumed
         if r["start_key"] is None or r["end_key"] is None or r["start_key"] < r["end_key"]
     ]
-    written = 0
-    for first in range(0, len(pending), ranges_per_job):
-        job = pending[first : first + ranges_per_job]
+    written, step = 0, ranges_per_job or max(1, len(pending))
+    for first in range(0, len(pending), step):
+        job = pending[first : first + step]
         wanted = [in_range(F.col(key), start, end) for start, end in spans(job)]
         rows = source.where(reduce(Column.__or__, wanted))
         written += target.upsert(normalise(rows))

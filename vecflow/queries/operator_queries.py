@@ -50,8 +50,8 @@ def upsert_merge(spark: SparkSession, folder: str) -> DataFrame:
 
 _DOCUMENTS_OVER_VECTORS_SQL = f"""
     SELECT {uuid5_sql("CAST(coalesce(doc_id, vec_id) AS VARCHAR)")} AS id,
-           CASE WHEN doc_id IS NULL THEN label END AS label, md5(text) AS text_md5,
-           CASE WHEN doc_id IS NULL THEN {vec_sum_sql("embedding")} END AS vec_sum
+           CASE WHEN doc_id IS NULL THEN label ELSE -1 END AS label, md5(text) AS text_md5,
+           CASE WHEN doc_id IS NULL THEN {vec_sum_sql("embedding")} ELSE 0 END AS vec_sum
     FROM documents FULL JOIN embeddings ON vec_id = doc_id
 """
 
@@ -59,9 +59,9 @@ _DOCUMENTS_OVER_VECTORS_SQL = f"""
 def _documents_over_vectors(points: DataFrame) -> DataFrame:
     return points.select(
         point_uuid(),
-        field("label", "int").alias("label"),
+        F.coalesce(field("label", "int"), F.lit(-1)).alias("label"),
         F.md5(field("text", "string")).alias("text_md5"),
-        vec_sum(F.col("dense")["embedding"]).alias("vec_sum"),
+        F.coalesce(vec_sum(F.col("dense")["embedding"]), F.lit(0)).alias("vec_sum"),
     )
 
 
@@ -319,7 +319,8 @@ def clone_spec(spark: SparkSession, folder: str) -> DataFrame:
     """
     SELECT CAST(label AS VARCHAR) AS name, 'embedding' AS vector,
            CAST(len(embedding) AS BIGINT) AS found_size,
-           CASE WHEN label < 8 THEN CAST(32 AS BIGINT) END AS declared_size, count(*) AS points
+           CAST(CASE WHEN label < 8 THEN 32 ELSE -1 END AS BIGINT) AS declared_size,
+           count(*) AS points
     FROM embeddings WHERE label >= 4 GROUP BY ALL
     """
 )
@@ -338,7 +339,9 @@ def check_dimensions(spark: SparkSession, folder: str) -> DataFrame:
     spec = rows.select("label").distinct().select(
         F.col("label").cast("string").alias("name"), declared.alias("vectors")
     )
-    return catalog.check_dimensions(points, spec)
+    return catalog.check_dimensions(points, spec).withColumn(
+        "declared_size", F.coalesce("declared_size", F.lit(-1))
+    )
 
 
 # -- routing -----------------------------------------------------------------
@@ -368,45 +371,40 @@ def _event_points(spark: SparkSession, folder: str) -> DataFrame:
 def _numbered(points: DataFrame, *extra: str) -> DataFrame:
     return points.select(
         F.col("id.num").cast("bigint").alias("event_id"),
-        F.col("shard_key.keyword").alias("keyword"),
-        F.col("shard_key.num").cast("bigint").alias("number"),
-        *extra,
+        F.coalesce("shard_key.keyword", F.lit("none")).alias("keyword"),
+        F.coalesce(F.col("shard_key.num").cast("bigint"), F.lit(-1)).alias("number"),
+        *[F.coalesce(c, F.lit("none")).alias(c) for c in extra],
     )
 
 
-@query("SELECT event_id, 'only' AS keyword, CAST(NULL AS BIGINT) AS number FROM events")
+@query("SELECT event_id, 'only' AS keyword, CAST(-1 AS BIGINT) AS number FROM events")
 def route_fixed(spark: SparkSession, folder: str) -> DataFrame:
     return _numbered(routing.route(_event_points(spark, folder), fixed="only"))
 
 
 @query(
     """
-    SELECT event_id, CASE WHEN event_type <> 'view' THEN event_type END AS keyword,
-           CAST(NULL AS BIGINT) AS number FROM events
+    SELECT event_id, CASE WHEN event_type <> 'view' THEN event_type ELSE 'none' END AS keyword,
+           CAST(-1 AS BIGINT) AS number FROM events
     """
 )
 def route_preserve(spark: SparkSession, folder: str) -> DataFrame:
     return _numbered(routing.route(_event_points(spark, folder)))
 
 
-@query("SELECT event_id, CAST(NULL AS VARCHAR) AS keyword, user_id AS number FROM events")
+@query("SELECT event_id, 'none' AS keyword, user_id AS number FROM events")
 def route_by_field(spark: SparkSession, folder: str) -> DataFrame:
     return _numbered(routing.route(_event_points(spark, folder), field="user_id"))
 
 
 @query(
     """
-    SELECT event_id, CASE WHEN event_type = 'click' THEN event_type END AS keyword,
-           CASE WHEN event_type = 'view' THEN user_id END AS number,
-           CASE WHEN event_type NOT IN ('click', 'view') THEN
+    SELECT event_id, CASE WHEN event_type = 'click' THEN event_type ELSE 'none' END AS keyword,
+           CASE WHEN event_type = 'view' THEN user_id ELSE -1 END AS number,
+           CASE WHEN event_type IN ('click', 'view') THEN 'none' ELSE
              'cannot route point ' || event_id || ': payload field shard must be a non-empty string '
              || 'or non-negative integer' END AS reason
-    FROM events WHERE event_type IN ('click', 'view', 'error', 'purchase') OR user_id < 50
-    UNION ALL
-    SELECT event_id, NULL, NULL, 'cannot route point ' || event_id
-           || ': payload field shard must be a non-empty string or non-negative integer'
     FROM events
-    WHERE event_type NOT IN ('click', 'view', 'error', 'purchase') AND user_id >= 50
     """
 )
 def route_errors(spark: SparkSession, folder: str) -> DataFrame:
