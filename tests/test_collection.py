@@ -101,3 +101,18 @@ def test_an_empty_batch_makes_no_commit(spark, tmp_path):
     target = StoredCollection(spark, str(tmp_path / "c"))
     assert target.upsert(points(spark, 0, 0, "a")) == 0
     assert target._commit_numbers() == []
+
+
+def test_folders_are_merged_and_stale_ones_deleted(spark, tmp_path):
+    target = StoredCollection(spark, str(tmp_path / "c"), buckets=2, max_folders=2)
+    for i in range(4):
+        target.upsert(points(spark, 10 * i, 10 * i + 10, f"m{i}"))
+    expected = expect(*[(10 * i, 10 * i + 10, f"m{i}") for i in range(4)])
+    assert max(len(f) for f in target._live().values()) <= 2
+    assert state(target) == expected
+    assert target.vacuum(keep_commits=100) == []
+    deleted = target.vacuum(keep_commits=1)
+    assert "added-1" in deleted and state(target) == expected
+    assert not (tmp_path / "c" / "added-1").exists()
+    with pytest.raises(ValueError):
+        target.vacuum(0)

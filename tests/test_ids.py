@@ -86,3 +86,5 @@ def test_ids_order_missing_then_numbers_then_uuids(spark):
     )
     ordered = [r[0] for r in rows.orderBy(*ids.id_sort_columns()).collect()]
     assert [v and tuple(v) for v in ordered] == values
+    by_key = rows.where("id is not null").orderBy(ids.id_sort_key(F.col("id"))).collect()
+    assert [tuple(r[0]) for r in by_key] == values[1:]

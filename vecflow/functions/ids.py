@@ -95,5 +95,11 @@ def id_sort_columns(id_column: str = "id") -> list[Column]:
     ]
 
 
+def id_sort_key(point_id: Column) -> Column:
+    """Text that sorts as the ids do, so that key ranges can be planned over ids."""
+    number = F.concat(F.lit("0"), F.lpad(point_id["num"].cast("string"), 20, "0"))
+    return F.coalesce(F.concat(F.lit("1"), point_id["uuid"]), number)
+
+
 def id_text(point_id: Column) -> Column:
     return F.coalesce(point_id["uuid"], point_id["num"].cast("string"))

@@ -22,8 +22,14 @@ from vecflow.sources.records import Rule, check_records
 
 
 class StoredCollection:
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
-        self.spark, self.path = spark, path.rstrip("/")
+    """A collection at ``path``; ``buckets`` counts only when it is created.
+
+    A bucket that has gathered more than ``max_folders`` folders is rewritten as
+    one after an upsert.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64, max_folders: int = 32):
+        self.spark, self.path, self.max_folders = spark, path.rstrip("/"), max_folders
         state = self._latest_commit()
         self.buckets = state["buckets"] if state else buckets
 
@@ -103,6 +109,7 @@ class StoredCollection:
                 live[bucket] = [*live.get(bucket, []), added]
         if per_bucket:
             self._commit(number, live)
+            self.compact(self.max_folders)
         return sum(per_bucket.values())
 
     def _buckets_sharing_ids(self, known: dict[int, list[str]], staged: DataFrame) -> list[int]:
@@ -113,7 +120,7 @@ class StoredCollection:
         shared = self._read(known).select(*keys).join(staged.select(*keys), keys, "left_semi")
         return sorted(r["bucket"] for r in shared.select("bucket").distinct().collect())
 
-    def compact(self, max_folders: int = 8) -> None:
+    def compact(self, max_folders: int) -> None:
         """Rewrite buckets that have gathered more than ``max_folders`` folders."""
         number, live = self._next_number(), self._live()
         scattered = {b: folders for b, folders in live.items() if len(folders) > max_folders}
@@ -122,6 +129,27 @@ class StoredCollection:
             live.update({b: [f"merged-{number}"] for b in scattered})
             self._commit(number, live)
 
+    def vacuum(self, keep_commits: int = 10) -> list[str]:
+        """Delete folders that none of the last ``keep_commits`` commits lists.
+
+        Readers that started from an older commit lose their files, and so does an
+        upsert that is still running, so call it while nothing writes.
+        """
+        if keep_commits < 1:
+            raise ValueError("at least the current commit must be kept")
+        kept = {
+            folder
+            for number in self._commit_numbers()[-keep_commits:]
+            for folders in self._read_commit(number)["live"].values()
+            for folder in folders
+        }
+        commits, fs = self._fs()
+        stored = [s.getPath() for s in fs.listStatus(commits.getParent()) if s.isDirectory()]
+        stale = [p for p in stored if p.getName() not in kept and not p.getName().startswith("_")]
+        for folder in stale:
+            fs.delete(folder, True)
+        return sorted(p.getName() for p in stale)
+
     @staticmethod
     def _write(points: DataFrame, path: str) -> None:
         # Rebalance on the bucket: AQE merges small buckets' tasks and splits large ones.
@@ -147,10 +175,11 @@ class StoredCollection:
 
     def _latest_commit(self) -> dict | None:
         numbers = self._commit_numbers()
-        if not numbers:
-            return None
+        return self._read_commit(numbers[-1]) if numbers else None
+
+    def _read_commit(self, number: int) -> dict:
         folder, fs = self._fs()
-        name = self.spark._jvm.org.apache.hadoop.fs.Path(folder, f"{numbers[-1]:012d}.json")
+        name = self.spark._jvm.org.apache.hadoop.fs.Path(folder, f"{number:012d}.json")
         stream = fs.open(name)
         try:
             return json.loads(bytes(stream.readAllBytes()).decode("utf-8"))

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vecflow.functions import ids, payload
 from vecflow.operators.collection import StoredCollection
 from vecflow.operators.transfer import transfer
 from vecflow.plans import progress as tracking
 from vecflow.plans import ranges
 from vecflow.queries.registry import field, point_uuid, query, table, uuid5_sql
+from vecflow.schema import POINT_COLUMNS, to_points
 from vecflow.scratch import scratch_path
 from vecflow.sources.relational import from_table
 from vecflow.streaming.incremental import incremental_upsert, read_new_files
@@ -313,3 +315,70 @@ def incremental_final_state(spark: SparkSession, folder: str) -> DataFrame:
     )
     stream.awaitTermination()
     return _order_columns(target.points())
+
+
+_MIXED_IDS_SQL = f"""
+    mixed AS (SELECT c_name, CASE WHEN c_mktsegment = 'BUILDING' THEN '1' || {uuid5_sql("c_name")}
+                     ELSE '0' || lpad(CAST(c_custkey AS VARCHAR), 20, '0') END AS k FROM customer),
+    sample AS (SELECT k FROM mixed ORDER BY md5('seed:' || k), k LIMIT {SAMPLES}),
+    ends AS (SELECT k FROM sample UNION ALL SELECT NULL),
+    plan AS (SELECT CAST(row_number() OVER w - 1 AS INTEGER) AS range_id,
+                    lag(k) OVER w AS start_k, k AS end_k
+             FROM ends WINDOW w AS (ORDER BY k NULLS LAST))"""
+
+
+def _mixed_points(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers as points, some with number ids and some with UUIDs."""
+    as_uuid = F.col("c_mktsegment") == "BUILDING"
+    point_id = F.when(as_uuid, ids.uuid_id(ids.uuid5(F.col("c_name")))).otherwise(
+        ids.numeric_id(F.col("c_custkey"))
+    )
+    points = to_points(
+        table(spark, folder, "customer"),
+        id=point_id,
+        payload=payload.pack_columns({"name": F.col("c_name"), "balance": F.col("c_acctbal")}),
+    )
+    return points.withColumn("id_key", ids.id_sort_key(F.col("id")))
+
+
+@query(
+    f"""
+    WITH {_MIXED_IDS_SQL}
+    SELECT range_id, count(*) AS points, min(k) AS first_key, max(k) AS last_key
+    FROM mixed JOIN plan ON {_IN_PLAN_SQL} GROUP BY range_id
+    """
+)
+def point_id_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """Ranges over the ids of a collection that has both kinds."""
+    points = _mixed_points(spark, folder)
+    plan = ranges.plan_ranges(points, "id_key", WORKERS, "customers", "p1", seed="seed")
+    return ranges.range_stats(ranges.assign_range(points, "id_key", plan), "id_key")
+
+
+@query(
+    """
+    SELECT c_name AS name, c_acctbal AS balance,
+           CASE WHEN c_mktsegment <> 'BUILDING' THEN CAST(c_custkey AS VARCHAR) ELSE 'uuid' END AS n
+    FROM customer
+    """
+)
+def transfer_collection(spark: SparkSession, folder: str) -> DataFrame:
+    """One stored collection copied to another, by ranges of its ids."""
+    source = StoredCollection(spark, scratch_path(spark, "source"), buckets=4)
+    source.upsert(_mixed_points(spark, folder).select(*POINT_COLUMNS))
+    stored = source.points().withColumn("id_key", ids.id_sort_key(F.col("id")))
+    plan = ranges.plan_ranges(stored, "id_key", WORKERS, "customers", "p1")
+    target = StoredCollection(spark, scratch_path(spark, "target"), buckets=4)
+    transfer(
+        stored,
+        "id_key",
+        ranges.save_plan(plan, scratch_path(spark, "plan")),
+        lambda rows: rows.select(*POINT_COLUMNS),
+        target,
+        tracking.ProgressTable(spark, scratch_path(spark, "progress")),
+    )
+    return target.points().select(
+        field("name", "string").alias("name"),
+        field("balance", "double").alias("balance"),
+        F.coalesce(F.col("id.num").cast("string"), F.lit("uuid")).alias("n"),
+    )
