@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from vecflow.functions import ids
 from vecflow.operators.collection import StoredCollection
-from vecflow.schema import to_points
+from vecflow.schema import ID, to_points
 
 
 def points(spark, start, end, mark):
@@ -91,10 +91,12 @@ def test_two_writers_cannot_make_the_same_commit(spark, tmp_path):
         target._commit(1, {})
 
 
-def test_missing_ids_are_refused(spark, tmp_path):
+@pytest.mark.parametrize("missing", ["NULL", "named_struct('num', NULL, 'uuid', NULL)"])
+def test_missing_ids_are_refused(spark, tmp_path, missing):
     target = StoredCollection(spark, str(tmp_path / "c"))
+    nameless = points(spark, 0, 3, "a").withColumn("id", F.expr(missing).cast(ID))
     with pytest.raises(Exception, match="id is missing"):
-        target.upsert(points(spark, 0, 3, "a").withColumn("id", F.lit(None).cast("struct<num:decimal(20,0),uuid:string>")))
+        target.upsert(nameless)
 
 
 def test_an_empty_batch_makes_no_commit(spark, tmp_path):

@@ -183,6 +183,14 @@ def test_pinecone_dense_sparse_and_neither(spark):
     assert points[2] == ({}, {}, {"__id__": "3"})
 
 
+@pytest.mark.parametrize("reader", [stores.from_pinecone, lambda d: stores.from_redis_hashes(d, {})])
+def test_missing_ids_stop_the_job(spark, reader):
+    rows = spark.sql("SELECT CAST(NULL AS string) AS id, CAST(NULL AS string) AS key, "
+                     "CAST(NULL AS map<string,binary>) AS fields")
+    with pytest.raises(Exception, match="id is missing"):
+        reader(rows).collect()
+
+
 def test_s3_vectors_metadata_forms(spark):
     base = "SELECT 'vector-0' AS key, array(0.5f) AS data, "
     as_json = spark.sql(base + """'{"age":30,"ratio":1.5,"deep":[{"n":7}]}' AS metadata""")

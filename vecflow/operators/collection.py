@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecflow.operators.upsert import keep_last, merge_latest
-from vecflow.schema import POINT_COLUMNS, POINT_TYPES
-from vecflow.sources.records import Rule, check_records
+from vecflow.schema import ID, POINT_COLUMNS, POINT_TYPES
 
 
 class StoredCollection:
@@ -83,7 +82,9 @@ class StoredCollection:
         The deduplicated batch is written first, so it is computed once; only the
         buckets it touches are then read, merged and rewritten.
         """
-        valid = check_records(batch, [Rule("id is missing", F.col("id").isNull())])
+        number_or_uuid = F.coalesce(F.col("id.uuid"), F.col("id.num").cast("string"))
+        stop = F.raise_error(F.lit("bad record: id is missing")).cast(ID)
+        valid = batch.withColumn("id", F.when(number_or_uuid.isNull(), stop).otherwise(F.col("id")))
         if seq is None:
             valid, seq = valid.withColumn("_arrival", F.monotonically_increasing_id()), "_arrival"
         latest = keep_last(valid, "id", seq)

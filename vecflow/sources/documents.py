@@ -11,11 +11,10 @@ from pyspark.sql import types as T
 from vecflow.functions import ids, payload, vectors
 from vecflow.schema import DENSE, ID_FIELD, to_points
 from vecflow.sources.records import (
-    Rule,
     VectorRule,
     as_variant,
-    check_records,
     copies_with_ids,
+    required,
     split_record,
 )
 
@@ -71,10 +70,8 @@ def from_solr_docs(
     whole = docs.select(as_variant(docs, record).alias("_doc"))
     known_id = F.variant_get("_doc", "$.id", "string")
     if missing_ids == "fail":
-        identified = check_records(
-            whole.select("_doc", known_id.alias("_original_id")),
-            [Rule("id is missing", F.col("_original_id").isNull())],
-        )
+        checked = required(known_id, "id is missing", T.StringType())
+        identified = whole.select("_doc", checked.alias("_original_id"))
     elif missing_ids == "derive":
         named = whole.where(known_id.isNotNull()).select("_doc", known_id.alias("_original_id"))
         anonymous = copies_with_ids(
@@ -99,13 +96,11 @@ def from_mongo_docs(
     raw_id = F.variant_get("_doc", "$._id", "variant")
     object_id = F.try_variant_get("_doc", "$._id['$oid']", "string")
     text = F.when(F.schema_of_variant(raw_id) == "STRING", raw_id.cast("string"))
-    named = whole.withColumn(
-        "_original_id", F.coalesce(text, F.format_string(OBJECT_ID_FORMAT, object_id))
-    )
-    # format_string prints a missing id as the word null, so test the parts instead.
-    named = check_records(
-        named, [Rule("_id is neither an object id nor text", text.isNull() & object_id.isNull())]
+    native = F.when(object_id.isNotNull(), F.format_string(OBJECT_ID_FORMAT, object_id))
+    original_id = required(
+        F.coalesce(text, native), "_id is neither an object id nor text", T.StringType()
     )
+    named = whole.withColumn("_original_id", original_id)
     split = split_record(named, "_doc", rule).withColumn(
         "_fields", payload.drop_fields(F.col("_fields"), "_id")
     )
@@ -117,12 +112,13 @@ def _names(fields: Sequence[str] | None) -> tuple[str, ...] | None:
 
 
 def _checked_hits(hits: DataFrame) -> DataFrame:
-    rules = [Rule("_id is missing", F.col("_id").isNull())]
-    if not isinstance(hits.schema["_id"].dataType, T.StringType):
+    """Hits whose parts are there; a _source that is no object stops where it is split."""
+    types = {f.name: f.dataType for f in hits.schema}
+    if not isinstance(types["_id"], T.StringType):
         raise ValueError("_id must be text")
-    # A _source that is no object stops the job where its fields are read.
-    rules.append(Rule("_source is missing", F.col("_source").isNull()))
-    return check_records(hits, rules)
+    return hits.withColumns(
+        {c: required(F.col(c), f"{c} is missing", types[c]) for c in ("_id", "_source")}
+    )
 
 
 def _document_points(split: DataFrame, original_id, id_field: str) -> DataFrame:

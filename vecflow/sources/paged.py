@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -15,7 +16,6 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 #: ``start < key <= end`` in key order; a null bound is open.
 Fetch = Callable[[Any, Any, int], pa.Table]
 
-FORMAT = "vecflow_paged"
 
 
 @dataclass
@@ -67,12 +67,13 @@ def paged_source(
     ranges = [KeyRange(r["range_id"], r["start_key"], r["end_key"]) for r in plan]
     reader = PagedReader(fetch, key, ranges, batch_size, delay_seconds)
 
-    columns = schema
+    # Every source has its own name, so an earlier one keeps its own fetch.
+    columns, format_name = schema, f"vecflow_paged_{uuid.uuid4().hex}"
 
     class PagedSource(DataSource):
         @classmethod
         def name(cls) -> str:
-            return FORMAT
+            return format_name
 
         def schema(self) -> str:
             return columns
@@ -81,4 +82,4 @@ def paged_source(
             return reader
 
     spark.dataSource.register(PagedSource)
-    return spark.read.format(FORMAT).load()
+    return spark.read.format(format_name).load()

@@ -38,6 +38,15 @@ def check_records(df: DataFrame, rules: list[Rule], mode: str = "fail") -> DataF
     raise ValueError(f"mode must be 'fail' or 'quarantine', not {mode!r}")
 
 
+def required(column: Column, reason: str, data_type: T.DataType) -> Column:
+    """The column, stopping the job where it is missing.
+
+    Unlike a filter this stays where it is written: a filter on a value parsed
+    from text moves below the projection and has the text parsed a second time.
+    """
+    return F.coalesce(column, F.raise_error(F.lit(f"bad record: {reason}")).cast(data_type))
+
+
 def split_quarantined(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good records without, and bad records with, their ``reason``."""
     return (

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from vecflow.functions import ids, payload, vectors
 from vecflow.schema import DOCUMENT_FIELD, FIELDS, ID_FIELD, SPARSE, to_points
-from vecflow.sources.records import Rule, as_variant, check_records
+from vecflow.sources.records import Rule, as_variant, check_records, required
 
 
 def from_redis_hashes(
@@ -36,7 +36,7 @@ def from_redis_hashes(
     )
     return to_points(
         wide,
-        id=ids.text_id(F.col("key")),
+        id=_present_id("key"),
         dense=vectors.named_vectors(dense),
         payload=payload.pack_fields(
             payload.with_id_field(scalars, id_field, F.col("key"), document_wins=False)
@@ -90,7 +90,7 @@ def from_pinecone(
         )
     return to_points(
         records,
-        id=ids.text_id(F.col("id")),
+        id=_present_id("id"),
         payload=_metadata_payload(records, "metadata", F.col("id"), id_field),
         **parts,
     )
@@ -125,13 +125,13 @@ def from_chroma_get(
     """Pages of parallel arrays ``(ids, embeddings, documents, metadatas)``, one row per record."""
     rows = pages.select(
         F.inline(F.arrays_zip("ids", "embeddings", "documents", "metadatas"))
-    ).where(F.col("ids").isNotNull())
+    )
     fields = _metadata_fields(rows, "metadatas")
     fields = payload.with_id_field(fields, id_field, F.col("ids"), document_wins=False)
     fields = payload.with_document(fields, document_field, F.col("documents"))
     return to_points(
         rows,
-        id=ids.text_id(F.col("ids")),
+        id=_present_id("ids"),
         dense=vectors.unnamed_vector(F.col("embeddings").cast("array<float>")),
         payload=payload.pack_fields(fields),
     )
@@ -188,6 +188,10 @@ _SCALAR_FIELDS = (
 )
 
 
+def _present_id(name: str) -> Column:
+    return ids.text_id(required(F.col(name), "id is missing", T.StringType()))
+
+
 def _is_array(data_type: T.DataType) -> bool:
     return isinstance(data_type, T.ArrayType)
 
