@@ -152,6 +152,23 @@ def test_a_second_run_reads_only_what_is_new(spark, folder, tmp_path):
     assert tuple(summary) == (orders.count(), float(orders.count()))
 
 
+def test_paced_batches_and_a_fresh_start(spark, folder, tmp_path):
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    inbox = str(tmp_path / "in")
+    orders.repartition(2).write.parquet(inbox)
+    target = StoredCollection(spark, str(tmp_path / "target"), buckets=2)
+    for checkpoint in ("first", "second"):
+        stream = read_new_files(spark, inbox, orders.schema, files_per_batch=1)
+        query = incremental_upsert(
+            stream, target, str(tmp_path / checkpoint), lambda r: from_table(r, "o_orderkey"), interval="1 second"
+        )
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+        assert target.points().count() == orders.count()
+
+
 def test_files_per_batch_must_be_positive(spark, tmp_path):
     with pytest.raises(ValueError):
         read_new_files(spark, str(tmp_path), "a int", files_per_batch=0)

@@ -37,6 +37,17 @@ def test_numeric_attributes_fall_back_to_text(spark):
     assert [r[0].toPython() for r in got] == [e for _, _, e in cases]
 
 
+@pytest.mark.parametrize(
+    "text,value",
+    [("1_23.50_0e+1_2", 123.5e12), ("0x1p-2", 0.25), ("-0X_1.8p3", -12.0), ("1_", None), ("_1", None),
+     ("1__0", None), ("1_.5", None), ("1e_5", None), ("0x1", None), ("0b1", None), ("1f", None), ("+.e1", None),
+     ("1.e2", 100.0), ("+7", 7.0), ("\u0661", None), ("1\n", None)],
+)
+def test_number_spellings(spark, text, value):
+    rows = spark.createDataFrame([(text,)], "t string")
+    assert rows.select(payload.as_number(F.col("t"))).first()[0] == value
+
+
 def test_special_numbers(spark):
     rows = spark.createDataFrame([("NaN",), ("-inf",), ("+Infinity",), ("-nan",)], "t string")
     got = [r[0] for r in rows.select(payload.as_number(F.col("t"))).collect()]

@@ -73,6 +73,13 @@ def test_every_key_meets_its_range(spark, m):
         }
 
 
+def test_assignment_needs_no_join(spark):
+    plan = ranges.ranges_all_samples(spark.range(0, 90, 3).toDF("k"), "k", "s")
+    assigned = ranges.assign_range(spark.range(100), "id", plan)
+    physical = assigned._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in physical and "Exchange" not in physical
+
+
 def test_text_keys_compare_as_text(spark):
     rows = spark.createDataFrame([(k,) for k in ["10", "9", "a'b", 'q"', "é"]], "k string")
     plan = ranges.ranges_all_samples(rows.where("k in ('9', 'a''b')"), "k", "s")

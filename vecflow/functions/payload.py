@@ -10,8 +10,13 @@ from vecflow.functions.ids import binary_key_text
 from vecflow.schema import FIELDS
 
 # Number spellings taken as numbers; Spark's own cast is laxer
-# (it trims blanks and reads a trailing "d").
-DECIMAL_NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
+# (it trims blanks and reads a trailing "d"). An underscore may separate digits.
+_DIGITS = "[0-9](?:_?[0-9])*"
+_HEX = "[0-9a-fA-F](?:_?[0-9a-fA-F])*"
+DECIMAL_NUMBER = (
+    rf"^[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?\z"
+)
+HEX_NUMBER = rf"^[+-]?0[xX]_?(?:{_HEX}(?:\.(?:{_HEX})?)?|\.{_HEX})[pP][+-]?{_DIGITS}\z"
 SPECIAL_NUMBER = r"^(?:[nN][aA][nN]|[+-]?[iI][nN][fF](?:[iI][nN][iI][tT][yY])?)\z"
 SHORT_INTEGER = r"^[+-]?[0-9]{1,18}\z"
 LONG_INTEGER = r"^[+-]?0*[0-9]{1,38}\z"
@@ -121,7 +126,9 @@ def parse_json_object(text: Column, strict: bool = True) -> Column:
 
 def as_number(text: Column) -> Column:
     """Text as a double when it spells a number in full, else null."""
-    value = F.when(text.rlike(DECIMAL_NUMBER), text.try_cast("double"))
+    plain = F.replace(text, F.lit("_"), F.lit(""))
+    spelled = text.rlike(DECIMAL_NUMBER) | text.rlike(HEX_NUMBER)
+    value = F.when(spelled, plain.try_cast("double"))
     in_range = F.when(F.abs(value) < F.lit(float("inf")), value)
     return F.coalesce(in_range, F.when(text.rlike(SPECIAL_NUMBER), text.try_cast("double")))
 

@@ -30,6 +30,10 @@ def merge_latest(target: DataFrame, latest: DataFrame, key: str | Sequence[str])
 def upsert(
     target: DataFrame, batch: DataFrame, key: str | Sequence[str], seq: str | Sequence[str]
 ) -> DataFrame:
-    """Replace or insert ``batch`` into ``target``; repeated ids resolve to the later one."""
+    """Replace or insert ``batch`` into ``target``; repeated ids resolve to the later one.
+
+    The plan reads ``batch`` twice, once for its keys alone. Write a batch that is
+    costly to compute to a table first, as ``StoredCollection.upsert`` does.
+    """
     latest = keep_last(batch, key, seq).select(*target.columns)
     return merge_latest(target, latest, key)

@@ -18,7 +18,7 @@ from vecflow.sources.records import (
     split_record,
 )
 
-# Fixed value: how a native object id is spelled as text.
+# Fixed value: how a native object id is spelled as text unless the caller says otherwise.
 OBJECT_ID_FORMAT = 'ObjectID("%s")'
 
 
@@ -89,14 +89,19 @@ def from_mongo_docs(
     vector_fields: Sequence[str],
     id_field: str = ID_FIELD,
     record: str = "doc",
+    object_id_format: str = OBJECT_ID_FORMAT,
 ) -> DataFrame:
-    """Extended-JSON documents; only listed fields holding float lists become vectors."""
+    """Extended-JSON documents; only listed fields holding float lists become vectors.
+
+    Point ids of native object ids are derived from their text, so a copy has to
+    keep the ``object_id_format`` of the copies before it.
+    """
     rule = VectorRule(empty_is_vector=True, floats_only=True, only=tuple(vector_fields))
     whole = docs.select(as_variant(docs, record).alias("_doc"))
     raw_id = F.variant_get("_doc", "$._id", "variant")
     object_id = F.try_variant_get("_doc", "$._id['$oid']", "string")
     text = F.when(F.schema_of_variant(raw_id) == "STRING", raw_id.cast("string"))
-    native = F.when(object_id.isNotNull(), F.format_string(OBJECT_ID_FORMAT, object_id))
+    native = F.when(object_id.isNotNull(), F.format_string(object_id_format, object_id))
     original_id = required(
         F.coalesce(text, native), "_id is neither an object id nor text", T.StringType()
     )
