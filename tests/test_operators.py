@@ -262,6 +262,12 @@ def test_tolerant_comparison(spark):
     assert statuses == {1: "match", 2: "vector_differs", 3: "missing", 4: "unexpected"}
 
 
+def test_counts_come_with_the_write(spark, tmp_path):
+    rows, observation = verify.observe_count(spark.range(7))
+    rows.write.parquet(str(tmp_path / "out"))
+    assert observation.get["points"] == 7
+
+
 def test_counts(spark):
     verdict = verify.count_check(spark.range(3), spark.range(2)).first()
     assert tuple(verdict) == (3, 2, "different")

@@ -245,3 +245,23 @@ def test_bad_records_fail_or_are_set_aside(spark):
         check_records(rows, rules).collect()
     with pytest.raises(ValueError):
         check_records(rows, rules, "ignore")
+
+
+def test_typed_documents_give_the_same_points_as_json(spark):
+    solr = spark.sql(
+        "SELECT named_struct('id', CASE WHEN id % 2 = 0 THEN string(id) END, 'v', array(float(id), 0.5f), "
+        "'tags', array('a'), 't', 'x') AS doc FROM range(10)"
+    )
+    as_json = solr.select(F.to_json("doc").alias("doc"))
+    assert shown(documents.from_solr_docs(solr)) == shown(documents.from_solr_docs(as_json))
+    mongo = spark.sql(
+        "SELECT named_struct('_id', named_struct('$oid', lpad(string(id), 24, '0')), 'v', array(0.5D, 1.5D), "
+        "'w', array(id), 'n', id) AS doc FROM range(5)"
+    )
+    as_json = mongo.select(F.to_json("doc").alias("doc"))
+    typed = shown(documents.from_mongo_docs(mongo, ["v", "w"]))
+    assert typed == shown(documents.from_mongo_docs(as_json, ["v", "w"])) and len(typed) == 5
+    text_ids = mongo.select(F.struct(F.lit("a").alias("_id")).alias("doc")).limit(1)
+    assert only(documents.from_mongo_docs(text_ids, []))[2] == {"__id__": "a"}
+    with pytest.raises(Exception, match="_id is neither"):
+        documents.from_mongo_docs(text_ids.select(F.struct(F.lit(7).alias("_id")).alias("doc")), []).collect()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vecflow.operators.upsert import keep_last
@@ -14,6 +14,15 @@ def exact_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("points"))
 
 
+def observe_count(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The same rows, and a count that is there once they have been written.
+
+    ``observation.get["points"]`` comes out of the write itself, with no second pass.
+    """
+    observation = Observation()
+    return df.observe(observation, F.count(F.lit(1)).alias("points")), observation
+
+
 def count_check(source: DataFrame, target: DataFrame, *keys: str) -> DataFrame:
     """Source and target counts side by side, per ``keys`` if any, with a verdict."""
     both = source.select(*keys, F.lit(1).alias("_s"), F.lit(0).alias("_t")).unionByName(

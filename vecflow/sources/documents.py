@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,16 +67,23 @@ def from_solr_docs(
     every document is known to have an id, ``missing_ids="fail"`` spares it.
     """
     rule = VectorRule(empty_is_vector=True, only=_names(vector_fields))
-    whole = docs.select(as_variant(docs, record).alias("_doc"))
-    known_id = F.variant_get("_doc", "$.id", "string")
+    whole = _whole_records(docs, record)
+    schema = whole.schema["_doc"].dataType
+    if not isinstance(schema, T.StructType):
+        known_id, parsed = F.variant_get("_doc", "$.id", "string"), F.parse_json("record")
+        text = F.to_json("_doc")
+    else:
+        known_id, parsed = _struct_field(schema, "id").cast("string"), F.from_json("record", schema)
+        # By way of a variant, whose text does not depend on the order of fields.
+        text = F.to_json(F.parse_json(F.to_json("_doc")))
     if missing_ids == "fail":
         checked = required(known_id, "id is missing", T.StringType())
         identified = whole.select("_doc", checked.alias("_original_id"))
     elif missing_ids == "derive":
         named = whole.where(known_id.isNotNull()).select("_doc", known_id.alias("_original_id"))
         anonymous = copies_with_ids(
-            whole.where(known_id.isNull()).select(F.to_json("_doc").alias("record"))
-        ).select(F.parse_json("record").alias("_doc"), F.col("record_id").alias("_original_id"))
+            whole.where(known_id.isNull()).select(text.alias("record"))
+        ).select(parsed.alias("_doc"), F.col("record_id").alias("_original_id"))
         identified = named.unionByName(anonymous)
     else:
         raise ValueError(f"missing_ids must be 'derive' or 'fail', not {missing_ids!r}")
@@ -97,10 +104,14 @@ def from_mongo_docs(
     keep the ``object_id_format`` of the copies before it.
     """
     rule = VectorRule(empty_is_vector=True, floats_only=True, only=tuple(vector_fields))
-    whole = docs.select(as_variant(docs, record).alias("_doc"))
-    raw_id = F.variant_get("_doc", "$._id", "variant")
-    object_id = F.try_variant_get("_doc", "$._id['$oid']", "string")
-    text = F.when(F.schema_of_variant(raw_id) == "STRING", raw_id.cast("string"))
+    whole = _whole_records(docs, record)
+    schema = whole.schema["_doc"].dataType
+    if not isinstance(schema, T.StructType):
+        raw_id = F.variant_get("_doc", "$._id", "variant")
+        object_id = F.try_variant_get("_doc", "$._id['$oid']", "string")
+        text = F.when(F.schema_of_variant(raw_id) == "STRING", raw_id.cast("string"))
+    else:
+        text, object_id = _struct_object_id(schema)
     native = F.when(object_id.isNotNull(), F.format_string(object_id_format, object_id))
     original_id = required(
         F.coalesce(text, native), "_id is neither an object id nor text", T.StringType()
@@ -116,6 +127,27 @@ def _names(fields: Sequence[str] | None) -> tuple[str, ...] | None:
     return None if fields is None else tuple(fields)
 
 
+def _whole_records(docs: DataFrame, record: str) -> DataFrame:
+    """Records under one name: structs stay typed, everything else becomes a variant."""
+    typed = isinstance(docs.schema[record].dataType, T.StructType)
+    return docs.select((F.col(record) if typed else as_variant(docs, record)).alias("_doc"))
+
+
+def _struct_field(schema: T.StructType, name: str) -> Column:
+    return F.col("_doc")[name] if name in schema.fieldNames() else F.lit(None)
+
+
+def _struct_object_id(schema: T.StructType) -> tuple[Column, Column]:
+    """The ``_id`` of a typed document as text and as object id, one of them null."""
+    nothing = F.lit(None).cast("string")
+    kind = schema["_id"].dataType if "_id" in schema.fieldNames() else None
+    if isinstance(kind, T.StringType):
+        return F.col("_doc")["_id"], nothing
+    if isinstance(kind, T.StructType) and "$oid" in kind.fieldNames():
+        return nothing, F.col("_doc")["_id"]["$oid"]
+    return nothing, nothing
+
+
 def _checked_hits(hits: DataFrame) -> DataFrame:
     """Hits whose parts are there; a _source that is no object stops where it is split."""
     types = {f.name: f.dataType for f in hits.schema}
