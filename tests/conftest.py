@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from vecflow.deploy import ship_package  # noqa: E402
+
 
 def make_session() -> SparkSession:
     spark = (
@@ -19,6 +21,7 @@ def make_session() -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 

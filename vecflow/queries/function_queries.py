@@ -431,16 +431,18 @@ def sanitize_payload(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     """
     SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS zoneless,
-           strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS zoned
+           CAST(floor(epoch(ts)) AS BIGINT) AS zoned_epoch
     FROM events
     """
 )
 def rfc3339_payload(spark: SparkSession, folder: str) -> DataFrame:
-    ts = F.col("ts")
+    """Zoneless times as UTC; zoned ones with an offset that names the same instant."""
+    instant = F.to_timestamp_ltz(F.concat(F.col("ts").cast("string"), F.lit("Z")))
+    zoned = payload.rfc3339(instant)
     return table(spark, folder, "events").select(
         "event_id",
-        payload.rfc3339(ts, T.TimestampNTZType()).alias("zoneless"),
-        payload.rfc3339(F.to_timestamp_ltz(ts.cast("string"))).alias("zoned"),
+        payload.rfc3339(F.col("ts"), T.TimestampNTZType()).alias("zoneless"),
+        F.unix_timestamp(zoned, payload.RFC3339_FORMAT).alias("zoned_epoch"),
     )
 
 
