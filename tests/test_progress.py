@@ -2,9 +2,10 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vecflow.operators.collection import StoredCollection
-from vecflow.operators.transfer import spans, transfer
+from vecflow.operators.transfer import spans, transfer, wanted
 from vecflow.operators.verify import reconcile_report
 from vecflow.plans import progress as tracking
 from vecflow.plans import ranges
@@ -92,7 +93,9 @@ class Setup:
         return {r["status"]: r["points"] for r in reconcile_report(source, target.points()).collect()}
 
 
-def test_resumed_copy_equals_one_in_a_single_run(spark, folder, tmp_path, monkeypatch):
+@pytest.mark.parametrize("written_spans", [16, 0])
+def test_resumed_copy_equals_one_in_a_single_run(spark, folder, tmp_path, monkeypatch, written_spans):
+    monkeypatch.setattr("vecflow.operators.transfer.MAX_WRITTEN_SPANS", written_spans)
     setup = Setup(spark, folder, tmp_path)
     target, total = setup.target(), setup.orders.count()
     upsert, calls = StoredCollection.upsert, []
@@ -118,6 +121,17 @@ def test_resumed_copy_equals_one_in_a_single_run(spark, folder, tmp_path, monkey
     assert setup.report(target) == {"match": total}
 
 
+@pytest.mark.parametrize("most", [100, 0])
+def test_wanted_keys_of_half_copied_ranges(spark, monkeypatch, most):
+    monkeypatch.setattr("vecflow.operators.transfer.MAX_WRITTEN_SPANS", most)
+    starts, ends = [None, 13, 20, 38, 45], [10, 20, 30, 40, None]
+    plan = [Row(range_id=i, start_key=s, end_key=e) for i, (s, e) in enumerate(zip(starts, ends))]
+    job = [plan[i] for i in (0, 1, 3, 4)]
+    keys = spark.range(60).where(wanted(F.col("id"), plan, job, T.LongType()))
+    expected = [*range(0, 11), *range(14, 21), 39, 40, *range(46, 60)]
+    assert sorted(r["id"] for r in keys.collect()) == expected
+
+
 def test_data_committed_without_its_progress_is_applied_once(spark, folder, tmp_path, monkeypatch):
     setup = Setup(spark, folder, tmp_path)
     target = setup.target()

@@ -7,10 +7,19 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vecflow.operators.collection import StoredCollection
 from vecflow.plans.progress import ProgressTable
-from vecflow.plans.ranges import assign_range, in_range, resume_ranges
+from vecflow.plans.ranges import (
+    assign_range,
+    constant_array,
+    in_range,
+    range_index,
+    resume_ranges,
+)
+
+MAX_WRITTEN_SPANS = 16
 
 
 def transfer(
@@ -36,9 +45,9 @@ def transfer(
     if ranges_per_job is not None and ranges_per_job < 1:
         raise ValueError("ranges_per_job must be positive")
     data_type = source.schema[key].dataType
+    state = resume_ranges(plan, progress.load(restart))
     resumed = (
-        resume_ranges(plan, progress.load(restart))
-        .withColumn("start_key", F.col("start_key").cast(data_type))
+        state.withColumn("start_key", F.col("start_key").cast(data_type))
         .withColumn("end_key", F.col("end_key").cast(data_type))
         .orderBy("range_id")
         .collect()
@@ -51,13 +60,31 @@ def transfer(
     written, step = 0, ranges_per_job or max(1, len(pending))
     for first in range(0, len(pending), step):
         job = pending[first : first + step]
-        wanted = [in_range(F.col(key), start, end) for start, end in spans(job)]
-        rows = source.where(reduce(Column.__or__, wanted))
+        rows = source.where(wanted(F.col(key), resumed, job, data_type))
         written += target.upsert(normalise(rows))
-        progress.store(_progress_rows(rows, key, plan, job))
+        progress.store(_progress_rows(rows, key, plan, state))
     return written
 
 
+def wanted(key: Column, plan: Sequence[Row], job: Sequence[Row], data_type: T.DataType) -> Column:
+    """Whether a key belongs to the job and was not copied before.
+
+    A few bound pairs are written out. A job resumed in the middle of very many
+    ranges looks its range's start up instead, after one outer bound pair that
+    the scan can use.
+    """
+    pairs = spans(job)
+    if len(pairs) <= MAX_WRITTEN_SPANS:
+        return reduce(Column.__or__, [in_range(key, start, end) for start, end in pairs])
+    outer = in_range(key, pairs[0][0], pairs[-1][1])
+    bounds = [r["end_key"] for r in plan if r["end_key"] is not None]
+    mine = {r["range_id"] for r in job}
+    index = range_index(key, bounds, data_type)
+    included = F.get(constant_array([r["range_id"] in mine for r in plan], T.BooleanType()), index)
+    start = F.get(constant_array([r["start_key"] for r in plan], data_type), index)
+    return outer & included & (start.isNull() | (key > start))
+
+
 def spans(job: Sequence[Row]) -> list[tuple]:
     """The key bounds of neighbouring ranges, joined where one starts as the other ends."""
     joined: list[tuple] = []
@@ -69,18 +96,17 @@ def spans(job: Sequence[Row]) -> list[tuple]:
     return joined
 
 
-def _progress_rows(rows: DataFrame, key: str, plan: DataFrame, job: Sequence[Row]) -> DataFrame:
-    """Last key and running count of each range of the job, from its key column alone."""
-    earlier = F.create_map(*[F.lit(x) for r in job for x in (r["range_id"], r["processed"])])
-    return (
+def _progress_rows(rows: DataFrame, key: str, plan: DataFrame, state: DataFrame) -> DataFrame:
+    """Last key and running count of each range just copied, from the key column alone."""
+    copied = (
         assign_range(rows.select(key), key, plan)
         .groupBy("range_id")
         .agg(F.max(key).cast("string").alias("last_key"), F.count(F.lit(1)).alias("_n"))
-        .select(
-            F.lit(job[0]["source_key"]).alias("source_key"),
-            F.lit(job[0]["plan_id"]).alias("plan_id"),
-            "range_id",
-            "last_key",
-            (F.col("_n") + F.coalesce(earlier[F.col("range_id")], F.lit(0))).alias("processed"),
-        )
+    )
+    return copied.join(state.select("source_key", "plan_id", "range_id", "processed"), "range_id").select(
+        "source_key",
+        "plan_id",
+        "range_id",
+        "last_key",
+        (F.col("_n") + F.col("processed")).alias("processed"),
     )

@@ -169,6 +169,12 @@ def plan_predicates(rows: Sequence[Row], column: str) -> list[str]:
     return predicates
 
 
+def constant_array(values: Sequence, data_type: T.DataType) -> Column:
+    """Any number of values as one constant, folded by the optimizer."""
+    text = json.dumps([None if v is None else str(v) for v in values])
+    return F.from_json(F.lit(text), "array<string>").cast(T.ArrayType(data_type))
+
+
 def range_index(key: Column, bounds: Sequence, data_type: T.DataType) -> Column:
     """How many of the sorted ``bounds`` lie below ``key``: the index of its range.
 
@@ -177,8 +183,7 @@ def range_index(key: Column, bounds: Sequence, data_type: T.DataType) -> Column:
     """
     if not bounds:
         return F.lit(0)
-    text = json.dumps([str(b) for b in bounds])
-    array = F.from_json(F.lit(text), "array<string>").cast(T.ArrayType(data_type))
+    array = constant_array(bounds, data_type)
     steps = [2**i for i in reversed(range(len(bounds).bit_length()))]
     return F.aggregate(
         F.array(*[F.lit(s) for s in steps]),
