@@ -6,6 +6,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -24,7 +25,7 @@ def remainder(doc_id: Column, divisor: int) -> Column:
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose texts are bounded in total."""
     for batch in batches:
-        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_pylist()
+        lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
         start = total = 0
         for i, n in enumerate(lengths):
             if i > start and total + n > SLICE_CHARS:

@@ -31,6 +31,8 @@ MARGINS = {"word_length": 150, "symbols": 500, "dup_lines": 2500, "repeats": 150
 LEAST_DOCS, SKETCH = 50, 4096
 
 
+#: A key that all rows share, so that the one sketch of all documents joins like any other.
+ANYTHING = "substring(lang, 1, 0)"
 #: What is counted.
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -115,7 +117,7 @@ def sketches(rates: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     merged = [F.kll_merge_agg_bigint(m, F.lit(SKETCH)).alias(m) for m in MARGINS]
     pairs = rates.where(~F.col("base_failed")).groupBy("lang", "source").agg(*made)
     langs = pairs.groupBy("lang").agg(*merged)
-    return pairs, langs, langs.agg(*merged)
+    return pairs, langs, langs.groupBy(F.expr(ANYTHING).alias("one")).agg(*merged)
 
 
 def limits(rates: DataFrame) -> DataFrame:
@@ -135,7 +137,8 @@ def limits(rates: DataFrame) -> DataFrame:
     levels = (
         quartiles(pairs, "pair")
         .join(quartiles(langs, "lang"), "lang")
-        .join(quartiles(everything.withColumn("one", F.lit(1)), "all"), F.col("one") == F.lit(1))
+        .withColumn("one", F.expr(ANYTHING))
+        .join(quartiles(everything, "all"), "one")
     )
 
     def pick(name: str) -> Column:

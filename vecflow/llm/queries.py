@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecflow.llm import packing, quality, token_counts, warc
-from vecflow.llm.common import remainder  # noqa: F401
+from vecflow.llm import language, packing, quality, token_counts, toxicity, warc
+from vecflow.llm.common import remainder
 from vecflow.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,6 +115,25 @@ def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), token_counts.vocabulary_path("word_bpe_49k.json"))
 
 
+@query
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    rest = remainder(F.col("doc_id"), 3)
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return toxicity.toxicity(documents, labels, rest != 1).select(
+        "doc_id", (rest == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
+@query
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = remainder(F.col("doc_id"), 3) == 1
+    model = language.train(documents, ~held_out, token_counts.vocabulary_path("piece_bpe_32k.model"))
+    return language.identify(documents.drop("lang"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 @query
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = token_counts.vocabulary_path("piece_bpe_32k.model")
