@@ -40,9 +40,11 @@ QUOTES = frozenset('"“”«»')
 SCOPE = 3
 CLASSES = ("insult", "negated_insult", "quoted_insult", "threat", "targeted")
 #: Lengths of the word beginnings in the lexicon, documents a feature needs, and its least log odds.
-BEGINNINGS, LEAST_DOCS, LEAST_ODDS = (4, 5, 6, 7, 8), 5, 2.0
+BEGINNINGS, LEAST_DOCS, LEAST_ODDS = (4, 5, 6, 7, 8), 5, 3.0
 #: Log odds above this say no more than this, as they come from the number of labels.
-MOST_ODDS = 4.0
+MOST_ODDS = 6.0
+#: A clause with a weight from here on is a sure one.
+SURE_ODDS = 4.0
 #: Entries of the lexicon at most: the strongest by documents times log odds.
 LEXICON = 20_000
 
@@ -130,7 +132,7 @@ class Grammar:
         return np.array([found[c] for c in CLASSES])
 
     def text(self, text: str) -> list[float]:
-        """Strongest clause and logarithm of the summed clauses, for each class."""
+        """Strongest clause and logarithm of the summed clauses, for each class; whether some clause is sure."""
         symbols, most, total = self.symbol, np.zeros(len(CLASSES)), np.zeros(len(CLASSES))
         text = text.lower()
         if any(symbols[w][0] in ("insult", "threat") for w in set(TOKENS.findall(text))):
@@ -139,10 +141,11 @@ class Grammar:
                 if any(name in ("insult", "threat") for name, _ in written):
                     weights = self.clause(written)
                     most, total = np.maximum(most, weights), total + weights
-        return [*most.tolist(), *np.log1p(total).tolist()]
+        sure = most[:3].max() >= SURE_ODDS
+        return [*most.tolist(), *np.log1p(total).tolist(), float(sure)]
 
 
-HITS = [f"{kind}_{c}" for kind in ("most", "sum") for c in CLASSES]
+HITS = [*(f"{kind}_{c}" for kind in ("most", "sum") for c in CLASSES), "sure_clause"]
 
 
 def clause_weights(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
