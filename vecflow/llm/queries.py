@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecflow.llm import language, packing, quality, token_counts, toxicity, warc
+from vecflow.llm import language, near_copies, packing, quality, token_counts, toxicity, warc
 from vecflow.llm.common import remainder
 from vecflow.scratch import scratch_path
 
@@ -24,6 +24,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_near_copies(spark: SparkSession, folder: str) -> DataFrame:
+    return near_copies.near_copies(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query
 def op2_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "warc")
