@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecflow.llm import language, near_copies, packing, quality, repeats, token_counts, toxicity, warc
+from vecflow.llm import language, language_model, near_copies, packing, quality, repeats, token_counts, toxicity, warc
 from vecflow.llm.common import remainder
 from vecflow.scratch import scratch_path
 
@@ -135,6 +135,15 @@ def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.remove_repeats(documents, keep_text=False)
 
 
+@query
+def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    scores = language_model.text_scores(documents, remainder(F.col("doc_id"), 7) != 2)
+    return scores.select(
+        "doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @query
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
