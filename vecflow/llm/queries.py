@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecflow.llm import language, language_model, near_copies, packing, quality, repeats, token_counts, toxicity, warc
+from vecflow.llm import contamination, language, language_model, near_copies, packing, quality, repeats, token_counts, toxicity, warc
 from vecflow.llm.common import remainder
 from vecflow.scratch import scratch_path
 
@@ -129,6 +129,12 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return contamination.contaminated(documents, table(spark, folder, "benchmark"))
+
+
 @query
 def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
