@@ -35,6 +35,7 @@ BLOCK = 40
 #: Added to each expected count; the start weight of a piece by its number of characters.
 SMOOTHING, START = 0.1, 1e-4
 CACHED_WORDS = 300_000
+FILTER_BITS, FACTOR = 20, 0x9E3779B97F4A7C15
 
 
 @lru_cache(maxsize=2)
@@ -52,23 +53,64 @@ def blocks(word: str) -> list[str]:
     return [word[i : i + BLOCK] for i in range(0, len(word), BLOCK)]
 
 
+class Vocabulary:
+    """Numbers of pieces by a hash of their characters."""
+
+    def __init__(self, pieces: dict[str, int]):
+        self.pieces, self.longest = pieces, max(map(len, pieces), default=1)
+        hashes = np.array([self.of(p) for p in pieces], np.uint64)
+        order = np.argsort(hashes)
+        self.hashes, self.numbers = hashes[order], np.array(list(pieces.values()), np.int64)[order]
+        self.maybe = np.zeros(1 << FILTER_BITS, bool)
+        self.maybe[hashes >> np.uint64(64 - FILTER_BITS)] = True
+
+    @staticmethod
+    def of(piece: str) -> int:
+        value = 0
+        for c in piece:
+            value = (value + ord(c) + 1) * FACTOR % 2**64
+        return value
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes are pieces, and their numbers."""
+        at = np.flatnonzero(self.maybe[hashes >> np.uint64(64 - FILTER_BITS)])
+        place = np.minimum(np.searchsorted(self.hashes, hashes[at]), len(self.hashes) - 1)
+        same = self.hashes[place] == hashes[at]
+        return at[same], self.numbers[place[same]]
+
+
+@lru_cache(maxsize=2)
+def vocabulary_of(path: str) -> Vocabulary:
+    return Vocabulary(pieces_of(path))
+
+
 class Lattice:
     """All pieces inside a batch of words of at most ``BLOCK`` characters, ordered by their end."""
 
-    def __init__(self, words: list[str], pieces: dict[str, int]):
-        longest = max(map(len, pieces), default=1)
-        edges: list[list[tuple[int, int, int]]] = [[] for _ in range(BLOCK + 1)]
-        for row, word in enumerate(words):
-            n = len(word)
-            for start in range(n):
-                for end in range(start + 1, min(n, start + longest) + 1):
-                    number = pieces.get(word[start:end])
-                    if number is not None:
-                        edges[end].append((row, start, number))
-                    elif end == start + 1:
-                        edges[end].append((row, start, 0))
-        self.lengths = np.array([len(w) for w in words])
-        self.by_end = [np.array(e, np.int64).reshape(-1, 3).T for e in edges]
+    def __init__(self, words: list[str], vocabulary: Vocabulary):
+        self.lengths = np.array([len(w) for w in words], np.int64)
+        chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.uint64)
+        row = np.repeat(np.arange(len(words)), self.lengths)
+        start = np.arange(len(chars)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        left = self.lengths[row] - start
+        alive, hashes, found = np.arange(len(chars)), np.zeros(len(chars), np.uint64), []
+        for size in range(1, vocabulary.longest + 1):
+            keep = left[alive] >= size
+            alive, hashes = alive[keep], hashes[keep]
+            if not len(alive):
+                break
+            hashes = (hashes + chars[alive + size - 1] + np.uint64(1)) * np.uint64(FACTOR)
+            at, numbers = vocabulary.find(hashes)
+            if size == 1:
+                every = np.zeros(len(alive), np.int64)
+                every[at] = numbers
+                at, numbers = np.arange(len(alive)), every
+            i = alive[at]
+            found.append(np.stack([start[i] + size, row[i], start[i], numbers]))
+        edges = np.concatenate(found, axis=1) if found else np.zeros((4, 0), np.int64)
+        edges = edges[:, np.argsort(edges[0] * len(words) + edges[1], kind="stable")]
+        cuts = np.searchsorted(edges[0], np.arange(BLOCK + 2))
+        self.by_end = [edges[1:, cuts[e] : cuts[e + 1]] for e in range(BLOCK + 1)]
 
     def forward(self, weights: np.ndarray) -> np.ndarray:
         """Sums over all segmentations of each prefix: (words, BLOCK + 1, languages)."""
@@ -112,7 +154,7 @@ def piece_counts(words: DataFrame, languages: list[str], path: str) -> DataFrame
     )
 
     def run(batches):
-        pieces = pieces_of(path)
+        pieces, vocabulary = pieces_of(path), vocabulary_of(path)
         weights = start_weights(pieces)
         total = np.zeros((len(languages), len(pieces) + 1))
         number = {x: i for i, x in enumerate(languages)}
@@ -121,7 +163,7 @@ def piece_counts(words: DataFrame, languages: list[str], path: str) -> DataFrame
                 part = batch.slice(at, 20_000)
                 cut = [blocks(w) for w in part.column("word").to_pylist()]
                 owner = np.repeat(np.arange(len(cut)), [len(c) for c in cut])
-                rows, found, amounts = Lattice([b for c in cut for b in c], pieces).expected(weights)
+                rows, found, amounts = Lattice([b for c in cut for b in c], vocabulary).expected(weights)
                 language = np.array([number[x] for x in part.column("lang").to_pylist()])
                 counts = part.column("n").to_numpy()
                 np.add.at(total, (language[owner[rows]], found), amounts * counts[owner[rows]])
@@ -176,10 +218,10 @@ class Scorer:
         self.model, self.known, self.rows = model, {}, np.zeros((0, len(model.languages)))
 
     def add(self, words: list[str]) -> None:
-        pieces, made = pieces_of(self.model.path), []
+        vocabulary, made = vocabulary_of(self.model.path), []
         for at in range(0, len(words), 20_000):
             cut = [blocks(w) for w in words[at : at + 20_000]]
-            lattice = Lattice([b for c in cut for b in c], pieces)
+            lattice = Lattice([b for c in cut for b in c], vocabulary)
             logs = np.log(lattice.whole(lattice.forward(self.model.weights)))
             made.append(np.add.reduceat(logs, np.cumsum([0, *map(len, cut[:-1])]), axis=0))
         if words:
