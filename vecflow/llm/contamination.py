@@ -106,8 +106,9 @@ class Items:
             return []
         windows: dict[int, set[int]] = defaultdict(set)  # first words of the windows of each size
         by_length: dict[int, np.ndarray] = {}
-        for length in (range(1, SHINGLE) if len(words) >= SHINGLE else [len(words)]) if self.short else []:
-            by_length[length] = self._shingles(words, length)
+        if self.short:
+            for length in range(1, min(SHINGLE, len(words) + 1)):
+                by_length[length] = self._shingles(words, length)
         if len(words) >= SHINGLE:
             by_length[SHINGLE] = shingles(words)
         for length, values in by_length.items():
