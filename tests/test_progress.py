@@ -172,3 +172,13 @@ def test_new_records_resume_after_the_open_last_range(spark, folder, tmp_path):
     late = setup.orders.where("o_orderkey >= 1000").count()
     written = setup.run(target)
     assert written <= late + early.count() and setup.report(target)["match"] >= early.count()
+
+
+@pytest.mark.parametrize("per_job", [None, 4])
+def test_a_null_key_stops_the_copy_however_it_is_cut(spark, tmp_path, per_job):
+    rows = spark.range(39).select(F.col("id").alias("k")).unionByName(spark.sql("SELECT CAST(NULL AS bigint) AS k"))
+    plan = ranges.save_plan(ranges.plan_ranges(rows.where("k IS NOT NULL"), "k", workers=4, source_key="s", plan_id="p"), f"{tmp_path}/plan")
+    target = StoredCollection(spark, f"{tmp_path}/points")
+    with pytest.raises(Exception, match="missing key"):
+        transfer(rows, "k", plan, lambda r: from_table(r, "k"), target, tracking.ProgressTable(spark, f"{tmp_path}/progress"),
+                 ranges_per_job=per_job)

@@ -215,6 +215,14 @@ def test_chroma_page(spark):
     assert points[1] == ({"": [2.0]}, None, {"__id__": "2"})
 
 
+def test_chroma_page_without_an_array_keeps_its_records(spark):
+    pages = spark.sql(
+        "SELECT array('1','2') AS ids, array(array(1f), array(2f)) AS embeddings, "
+        "CAST(NULL AS array<string>) AS documents, CAST(NULL AS array<struct<source string>>) AS metadatas"
+    )
+    assert {p[2]["__id__"] for p in shown(stores.from_chroma_get(pages)).values()} == {"1", "2"}
+
+
 def test_milvus_page(spark):
     page = spark.sql(
         "SELECT array(7L, 8L) AS pk, array(1f,2f,3f,4f) AS v, array('red','blue') AS color, "

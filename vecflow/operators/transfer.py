@@ -45,6 +45,9 @@ def transfer(
     if ranges_per_job is not None and ranges_per_job < 1:
         raise ValueError("ranges_per_job must be positive")
     data_type = source.schema[key].dataType
+    if restart:  # an interrupted restart must not fall back on what an earlier copy had reached
+        for plan_key in plan.select("source_key", "plan_id").distinct().collect():
+            progress.clear(plan_key["source_key"], plan_key["plan_id"])
     state = resume_ranges(plan, progress.load(restart))
     resumed = (
         state.withColumn("start_key", F.col("start_key").cast(data_type))
@@ -60,7 +63,10 @@ def transfer(
     written, step = 0, ranges_per_job or max(1, len(pending))
     for first in range(0, len(pending), step):
         job = pending[first : first + step]
-        rows = source.where(wanted(F.col(key), resumed, job, data_type))
+        condition = wanted(F.col(key), resumed, job, data_type)
+        if first == 0:  # no range holds a null key, so the first job brings them to the normaliser, which refuses them
+            condition = condition | F.col(key).isNull()
+        rows = source.where(condition)
         written += target.upsert(normalise(rows))
         progress.store(_progress_rows(rows, key, plan, state))
     return written

@@ -122,10 +122,13 @@ def from_s3_vectors(
 def from_chroma_get(
     pages: DataFrame, id_field: str = ID_FIELD, document_field: str = DOCUMENT_FIELD
 ) -> DataFrame:
-    """Pages of parallel arrays ``(ids, embeddings, documents, metadatas)``, one row per record."""
-    rows = pages.select(
-        F.inline(F.arrays_zip("ids", "embeddings", "documents", "metadatas"))
-    )
+    """Pages of parallel arrays ``(ids, embeddings, documents, metadatas)``, one row per record.
+
+    A page may lack any array but the ids, or have a shorter one; its records then lack that part.
+    """
+    names = ("ids", "embeddings", "documents", "metadatas")
+    present = [F.coalesce(c, F.array().cast(pages.schema[c].dataType)).alias(c) for c in names]
+    rows = pages.select(*present).select(F.inline(F.arrays_zip(*names)))
     fields = _metadata_fields(rows, "metadatas")
     fields = payload.with_id_field(fields, id_field, F.col("ids"), document_wins=False)
     fields = payload.with_document(fields, document_field, F.col("documents"))
