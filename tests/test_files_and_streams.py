@@ -1,3 +1,4 @@
+import os
 import struct
 
 import pyarrow as pa
@@ -169,6 +170,22 @@ def test_paced_batches_and_a_fresh_start(spark, folder, tmp_path):
         assert target.points().count() == orders.count()
 
 
+@pytest.mark.parametrize("sizes", [(4000, 10), (10, 4000)])
+def test_of_two_files_in_one_batch_the_later_wins(spark, tmp_path, sizes):
+    inbox, target = tmp_path / "in", StoredCollection(spark, str(tmp_path / "target"), buckets=2)
+    for version, size in enumerate(sizes):
+        rows = spark.range(size).select("id", F.lit(version).alias("version"))
+        rows.coalesce(1).write.mode("append").parquet(str(inbox))
+        for file in inbox.glob("*.parquet"):  # a second between the two files' times
+            if version == 0:
+                os.utime(file, (1_700_000_000, 1_700_000_000))
+    stream = read_new_files(spark, str(inbox), "id bigint, version int")
+    incremental_upsert(stream, target, str(tmp_path / "cp"), lambda r: from_table(r, "id")).awaitTermination()
+    version = F.variant_get("payload", "$.version", "int")
+    late = target.points().where(version == 1).count()
+    assert (target.points().count(), late) == (4000, sizes[1])
+
+
 def test_files_per_batch_must_be_positive(spark, tmp_path):
     with pytest.raises(ValueError):
         read_new_files(spark, str(tmp_path), "a int", files_per_batch=0)

@@ -65,7 +65,7 @@ def test_points_reach_the_client_in_batches(spark, tmp_path):
     assert (total["points"], total["batches"], total["retries"]) == (103, 12, 0)
     sent = [json.loads(f.read_text()) for f in tmp_path.glob("*.json")]
     assert max(len(b) for b in sent) == 10
-    got = sorted(int(r[0]) for batch in sent for r in batch)
+    got = sorted(r[0] for batch in sent for r in batch)
     assert got == list(range(103))
     assert sent[0][0][1] == f'{{"id":{sent[0][0][0]}}}' and sent[0][0][2] == {"": [1.5]}
     with pytest.raises(ValueError, match="greater than 0"):
@@ -237,9 +237,11 @@ def test_preparing_collections(spark):
 
 
 def pairs(spark, rows):
-    frame = spark.createDataFrame(rows, "id int, x float, p string")
+    rows = [(*r, None)[:4] for r in rows]
+    frame = spark.createDataFrame(rows, "id int, x float, p string, shard string")
     return to_points(
         frame,
+        shard_key=F.struct(F.col("shard").alias("keyword"), F.lit(None).alias("num")).cast(SHARD_KEY),
         id=ids.numeric_id(F.col("id")),
         dense=F.create_map(F.lit("v"), F.array("x")),
         payload=F.parse_json("p"),
@@ -247,12 +249,12 @@ def pairs(spark, rows):
 
 
 def test_every_status(spark):
-    source = pairs(spark, [(1, 1.0, '{"a":1,"b":2}'), (2, 1.0, "{}"), (3, 1.0, "{}"), (4, 1.0, "{}"), (6, 1.0, "{}"), (6, 1.0, "{}")])
-    target = pairs(spark, [(1, 1.0, '{"b":2,"a":1}'), (2, 1.5, "{}"), (3, 1.0, '{"a":1}'), (5, 1.0, "{}"), (6, 1.0, "{}")])
+    source = pairs(spark, [(1, 1.0, '{"a":1,"b":2}'), (2, 1.0, "{}"), (3, 1.0, "{}"), (4, 1.0, "{}"), (6, 1.0, "{}"), (6, 1.0, "{}"), (7, 1.0, "{}", "a"), (8, 1.0, "{}", "a")])
+    target = pairs(spark, [(1, 1.0, '{"b":2,"a":1}'), (2, 1.5, "{}"), (3, 1.0, '{"a":1}'), (5, 1.0, "{}"), (6, 1.0, "{}"), (7, 1.0, "{}", "b"), (8, 1.0, "{}", "a")])
     statuses = {int(r["id"]["num"]): r["status"] for r in verify.compare(source, target).collect()}
-    assert statuses == {1: "match", 2: "vector_differs", 3: "payload_differs", 4: "missing", 5: "unexpected", 6: "duplicate"}
+    assert statuses == {1: "match", 2: "vector_differs", 3: "payload_differs", 4: "missing", 5: "unexpected", 6: "duplicate", 7: "shard_differs", 8: "match"}
     report = {r["status"]: r["points"] for r in verify.reconcile_report(source, target).collect()}
-    assert report == {s: 1 for s in verify.STATUSES}
+    assert report == {s: 1 + (s == "match") for s in verify.STATUSES}
 
 
 def test_tolerant_comparison(spark):

@@ -1,17 +1,19 @@
+import time
 from datetime import datetime
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vecflow.functions import ids
 from vecflow.operators.collection import StoredCollection
-from vecflow.operators.transfer import spans, transfer, wanted
+from vecflow.operators.transfer import transfer, wanted
 from vecflow.operators.verify import reconcile_report
 from vecflow.plans import progress as tracking
 from vecflow.plans import ranges
-from vecflow.schema import PROGRESS
+from vecflow.schema import PROGRESS, to_points
 from vecflow.sources.relational import from_table
-from pyspark.sql import Row
 
 
 def rows_of(df):
@@ -64,14 +66,6 @@ def test_totals_and_running_counts(spark):
     }
 
 
-def test_neighbouring_ranges_share_bounds():
-    def row(start, end):
-        return Row(start_key=start, end_key=end)
-
-    assert spans([row(None, 3), row(3, 5), row(7, 9), row(9, None)]) == [(None, 5), (7, None)]
-    assert spans([row(None, None)]) == [(None, None)]
-
-
 class Setup:
     def __init__(self, spark, folder, tmp_path):
         self.spark, self.path = spark, tmp_path
@@ -93,9 +87,7 @@ class Setup:
         return {r["status"]: r["points"] for r in reconcile_report(source, target.points()).collect()}
 
 
-@pytest.mark.parametrize("written_spans", [16, 0])
-def test_resumed_copy_equals_one_in_a_single_run(spark, folder, tmp_path, monkeypatch, written_spans):
-    monkeypatch.setattr("vecflow.operators.transfer.MAX_WRITTEN_SPANS", written_spans)
+def test_resumed_copy_equals_one_in_a_single_run(spark, folder, tmp_path, monkeypatch):
     setup = Setup(spark, folder, tmp_path)
     target, total = setup.target(), setup.orders.count()
     upsert, calls = StoredCollection.upsert, []
@@ -121,17 +113,104 @@ def test_resumed_copy_equals_one_in_a_single_run(spark, folder, tmp_path, monkey
     assert setup.report(target) == {"match": total}
 
 
-@pytest.mark.parametrize("most", [100, 0])
-def test_wanted_keys_of_half_copied_ranges(spark, monkeypatch, most):
-    monkeypatch.setattr("vecflow.operators.transfer.MAX_WRITTEN_SPANS", most)
-    starts, ends = [None, 13, 20, 38, 45], [10, 20, 30, 40, None]
-    plan = [Row(range_id=i, start_key=s, end_key=e) for i, (s, e) in enumerate(zip(starts, ends))]
-    job = [plan[i] for i in (0, 1, 3, 4)]
-    keys = spark.range(60).where(wanted(F.col("id"), plan, job, T.LongType()))
-    expected = [*range(0, 11), *range(14, 21), 39, 40, *range(46, 60)]
+def test_wanted_keys_of_half_copied_ranges(spark):
+    starts, ends = [None, "13", "20", "38", "45"], ["10", "20", "30", "40"]
+    plan = [{"range_id": i, "start_key": s, "end_key": e} for i, (s, e) in enumerate(zip(starts, [*ends, "55"]))]
+    rows = spark.range(60).select("id").unionByName(spark.sql("SELECT CAST(NULL AS bigint) AS id"))
+    keys = rows.where(wanted(F.col("id"), ends, [plan[i] for i in (0, 1, 3, 4)], T.LongType()))
+    expected = [*range(0, 11), *range(14, 21), 39, 40, *range(46, 56)]
     assert sorted(r["id"] for r in keys.collect()) == expected
 
 
+def test_the_outer_bounds_of_a_job_reach_the_scan(spark, folder):
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    job = [{"range_id": 1, "start_key": "10", "end_key": "20"}]
+    rows = orders.where(wanted(F.col("o_orderkey"), ["10", "20"], job, T.LongType()))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(o_orderkey,10)" in plan and "LessThanOrEqual(o_orderkey,20)" in plan
+
+
+KEYS = {
+    "timestamp": "timestamp_micros(id * 1800000123 + 1698500000000000)",
+    "binary": "unhex(lpad(hex(id * 977), 8, '0'))",
+    "double": "id / 7",
+    "decimal": "CAST(id / 8 AS decimal(20,4))",
+    "string": "concat('ké', CAST(id AS string))",
+}
+
+
+@pytest.fixture
+def new_york(monkeypatch):
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    yield
+    monkeypatch.undo()
+    time.tzset()
+
+
+@pytest.mark.parametrize("kind", KEYS)
+def test_many_half_done_ranges_lose_nothing_whatever_the_key(spark, tmp_path, new_york, kind):
+    source = spark.range(400).select(F.expr(KEYS[kind]).alias("k"), "id")
+    plan = ranges.save_plan(ranges.plan_ranges(source, "k", 4, "s", "p"), f"{tmp_path}/plan")
+    assert ranges.assign_range(source, "k", plan).select("range_id").distinct().count() == 41
+    progress, target = tracking.ProgressTable(spark, f"{tmp_path}/progress"), StoredCollection(spark, f"{tmp_path}/c", 2)
+
+    def copy(rows):
+        return transfer(rows, "k", plan, lambda r: points_of(r), target, progress)
+
+    def points_of(rows):
+        return to_points(rows, id=ids.numeric_id(F.col("id")), payload=F.to_variant_object(F.struct("id")))
+
+    # The first half of each range is there at first, the rest comes later.
+    in_order = Window.partitionBy("range_id").orderBy("k")
+    half = ranges.assign_range(source, "k", plan).withColumn("h", F.ntile(2).over(in_order)).where("h = 1")
+    early = half.select("k", "id").count()
+    assert copy(half.select("k", "id")) == early
+    assert copy(source) == 400 - early
+    assert target.points().count() == 400 and copy(source) == 0
+
+
+def test_a_key_that_comes_during_the_copy_is_copied_next_time(spark, tmp_path):
+    path, target = f"{tmp_path}/source", StoredCollection(spark, f"{tmp_path}/c", 2)
+    spark.range(100).toDF("k").write.parquet(path)
+    plan = ranges.save_plan(ranges.plan_ranges(spark.read.parquet(path), "k", 1, "s", "p"), f"{tmp_path}/plan")
+    progress = tracking.ProgressTable(spark, f"{tmp_path}/progress")
+
+    def copy():
+        return transfer(spark.read.parquet(path), "k", plan, lambda r: from_table(r, "k"), target, progress)
+
+    upsert = target.upsert
+
+    def late(batch, seq=None):
+        written = upsert(batch, seq)
+        spark.range(100, 105).toDF("k").write.mode("append").parquet(path)
+        return written
+
+    target.upsert = late
+    assert copy() == 100
+    target.upsert = upsert
+    assert copy() == 5 and target.points().count() == 105
+
+
+def test_an_interrupted_restart_starts_again(spark, folder, tmp_path, monkeypatch):
+    setup = Setup(spark, folder, tmp_path)
+    setup.run(setup.target())
+    fresh, upsert, calls = setup.target("fresh"), StoredCollection.upsert, []
+
+    def fail_on_second_job(self, batch, seq=None):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return upsert(self, batch, seq)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(StoredCollection, "upsert", fail_on_second_job)
+        with pytest.raises(RuntimeError):
+            setup.run(fresh, restart=True)
+    setup.run(fresh)
+    assert setup.report(fresh) == {"match": setup.orders.count()}
+
+
 def test_data_committed_without_its_progress_is_applied_once(spark, folder, tmp_path, monkeypatch):
     setup = Setup(spark, folder, tmp_path)
     target = setup.target()

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from vecflow.plans import ranges
@@ -86,8 +87,10 @@ def test_text_keys_compare_as_text(spark):
     got = {r["k"]: r["range_id"] for r in ranges.assign_range(rows, "k", plan).collect()}
     assert got == {"10": 0, "9": 0, "a'b": 1, 'q"': 2, "é": 2}
     assert ranges.plan_predicates(ranges.plan_rows(plan, "string"), "k") == [
-        "k <= '9'", "k > '9' AND k <= 'a''b'", "k > 'a''b'",
+        """"k" <= '9' OR "k" IS NULL""", """"k" > '9' AND "k" <= 'a''b'""", """"k" > 'a''b'""",
     ]
+    with pytest.raises(TypeError, match="portable"):
+        ranges.plan_predicates([Row(start_key=None, end_key=b"x")], "k")
 
 
 def test_range_bounds_reach_the_scan(spark, folder):
@@ -138,3 +141,14 @@ def test_a_hot_range_is_laid_out_over_several_tasks(spark, tmp_path):
         assert stored.count() == 400_000
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_a_key_in_most_rows_is_sampled_once(spark):
+    rows = spark.range(30_000).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"))
+    keys = keys_of_column(ranges.sample_keys(rows, "k", 40, seed="s"))
+    assert len(keys) == len(set(keys)) == 40
+    assert keys_of_column(ranges.sample_keys(rows.where("k = 7"), "k", 40)) == [7]
+
+
+def keys_of_column(df):
+    return [r[0] for r in df.collect()]

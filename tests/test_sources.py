@@ -239,6 +239,8 @@ def test_milvus_page(spark):
     assert expected in by_name
     empty = page.select(F.expr("slice(pk, 1, 0)").alias("pk"), F.expr("slice(v, 1, 0)").alias("v"))
     assert stores.from_milvus_columns(empty, "pk", {"v": 2}).count() == 0
+    with pytest.raises(Exception, match="do not fill the page"):
+        stores.from_milvus_columns(page.withColumn("v", F.expr("slice(v, 1, 3)")), "pk", {"v": 2}).collect()
     with pytest.raises(ValueError, match="unsupported type of field"):
         stores.from_milvus_columns(page.withColumn("d", F.expr("array(1.5BD, 2.5BD)")), "pk", {"v": 2})
 

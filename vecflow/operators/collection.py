@@ -1,34 +1,30 @@
 """A stored target collection that takes idempotent upserts.
 
-Points lie in hash buckets, a bucket in one or more folders. An upsert writes its
-points to a new folder and then adds one small commit file that lists the folders
-of every bucket; a crash in between leaves the earlier commit in force. Buckets
-that only gain points keep their old folders; only those in which a point is
-replaced are rewritten.
+Points lie in hash buckets. An upsert appends its rows in a folder of its own and
+then adds one small commit file that lists the folders in force; a crash in
+between leaves the earlier commit in force. Nothing stored is read or rewritten by
+an upsert. Which row of a repeated id counts is found when points are read, from
+ids and order alone, and only in buckets that can hold repeats.
 """
 
 from __future__ import annotations
 
 import json
-from functools import reduce
+import uuid
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vecflow.operators.upsert import keep_last, merge_latest
 from vecflow.schema import ID, POINT_COLUMNS, POINT_TYPES
 
 
 class StoredCollection:
-    """A collection at ``path``; ``buckets`` counts only when it is created.
+    """A collection at ``path``; ``buckets`` counts only when it is created."""
 
-    A bucket that has gathered more than ``max_folders`` folders is rewritten as
-    one after an upsert.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64, max_folders: int = 32):
-        self.spark, self.path, self.max_folders = spark, path.rstrip("/"), max_folders
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
+        self.spark, self.path = spark, path.rstrip("/")
         state = self._latest_commit()
         self.buckets = state["buckets"] if state else buckets
 
@@ -40,32 +36,49 @@ class StoredCollection:
         return T.StructType(fields)
 
     def points(self) -> DataFrame:
-        """Current points; bucket pruning keeps superseded files out of the scan."""
-        return self._read(self._live()).drop("bucket")
+        """Current points, one row per id."""
+        return self._current(self._folders()).select(*POINT_COLUMNS)
 
-    def _live(self) -> dict[int, list[str]]:
+    def _folders(self) -> list[dict]:
         state = self._latest_commit()
-        return {int(b): folders for b, folders in state["live"].items()} if state else {}
-
-    def _read(self, live: dict[int, list[str]]) -> DataFrame:
-        schema = self._stored_schema()
-        by_folder: dict[str, list[int]] = {}
-        for bucket, folders in live.items():
-            for folder in folders:
-                by_folder.setdefault(folder, []).append(bucket)
-        parts = [
-            self.spark.read.schema(schema)
-            .parquet(f"{self.path}/{folder}")
-            .where(F.col("bucket").isin(*buckets))
-            for folder, buckets in sorted(by_folder.items())
+        return state["folders"] if state else []
+
+    def _read(self, folders: list[dict]) -> DataFrame:
+        """All rows of the listed folders; superseded buckets are not listed, so not read."""
+        order = T.StructType.fromDDL("seq bigint, arrival bigint, commit string, bucket int")
+        schema = T.StructType([*self.schema().fields, *order.fields])
+        paths = [
+            f"{self.path}/commit={folder['name']}" + ("" if folder["whole"] else f"/bucket={bucket}")
+            for folder in folders
+            for bucket in (folder["buckets"][:1] if folder["whole"] else folder["buckets"])
         ]
-        if not parts:
+        if not paths:
             return self.spark.createDataFrame([], schema)
-        return reduce(DataFrame.unionByName, parts)
+        return self.spark.read.schema(schema).option("basePath", self.path).parquet(*paths)
 
-    @classmethod
-    def _stored_schema(cls) -> T.StructType:
-        return cls.schema().add("bucket", T.IntegerType())
+    def _current(self, folders: list[dict]) -> DataFrame:
+        """The row in force of every id.
+
+        Only ids stored more than once are joined back, so where they are few the
+        vectors stay in place.
+        """
+        stored, unsure = self._read(folders), sorted(repeating_buckets(folders))
+        if not unsure:
+            return stored
+        may_repeat = F.col("bucket").isin(unsure)
+        order = F.struct("seq", "commit", "arrival")
+        newest = (
+            stored.where(may_repeat)
+            .groupBy("bucket", "id")
+            .agg(F.max(order).alias("_newest"), F.count(F.lit(1)).alias("_n"))
+            .where("_n > 1")
+            .drop("_n")
+        )
+        return (
+            stored.join(newest, ["bucket", "id"], "left")
+            .where(F.col("_newest").isNull() | (order == F.col("_newest")))
+            .drop("_newest")
+        )
 
     # -- writing ---------------------------------------------------------
 
@@ -77,58 +90,60 @@ class StoredCollection:
     def upsert(self, batch: DataFrame, seq: str | None = None) -> int:
         """Apply one batch and return its number of distinct points.
 
-        Of a repeated id the row with the highest ``seq`` stays, without ``seq``
-        the one read last.
-        The deduplicated batch is written first, so it is computed once; only the
-        buckets it touches are then read, merged and rewritten.
+        With ``seq`` (a whole number, date or timestamp) the highest one of an id
+        stays, whichever batch brought it; of equal ones the later. Without it the
+        row read last stays. A collection takes all its batches with ``seq`` or all
+        without. The rows cross the network once, for the layout by bucket.
         """
+        state = self._latest_commit() or {"sequenced": seq is not None, "folders": []}
+        if state["sequenced"] != (seq is not None):
+            raise ValueError("a collection takes all batches with seq or all without")
         number_or_uuid = F.coalesce(F.col("id.uuid"), F.col("id.num").cast("string"))
         stop = F.raise_error(F.lit("bad record: id is missing")).cast(ID)
         valid = batch.withColumn("id", F.when(number_or_uuid.isNull(), stop).otherwise(F.col("id")))
-        if seq is None:
-            valid, seq = valid.withColumn("_arrival", F.monotonically_increasing_id()), "_arrival"
-        latest = keep_last(valid, "id", seq)
-        latest = latest.select(*POINT_COLUMNS, self.bucket_of(F.col("id")).alias("bucket"))
-        number, live = self._next_number(), self._live()
-        added = f"added-{number}"
-        self._write(latest, f"{self.path}/{added}")
-        staged = self.spark.read.schema(self._stored_schema()).parquet(f"{self.path}/{added}")
-        per_bucket = {r["bucket"]: r["count"] for r in staged.groupBy("bucket").count().collect()}
-        known = {b: folders for b, folders in live.items() if b in per_bucket}
-        replaced = self._buckets_sharing_ids(known, staged)
-        if replaced:
-            merged = merge_latest(
-                self._read({b: known[b] for b in replaced}),
-                staged.where(F.col("bucket").isin(*replaced)),
-                ["bucket", "id"],
-            )
-            self._write(merged, f"{self.path}/merged-{number}")
-        for bucket in per_bucket:
-            if bucket in replaced:
-                live[bucket] = [f"merged-{number}"]
-            else:
-                live[bucket] = [*live.get(bucket, []), added]
+        rows = valid.select(
+            *POINT_COLUMNS,
+            sequence_number(batch, seq).alias("seq"),
+            F.monotonically_increasing_id().alias("arrival"),
+            self.bucket_of(F.col("id")).alias("bucket"),
+        )
+        number = self._next_number()
+        folder = {"name": self._write(rows, number), "buckets": [0], "whole": True}
+        per_id = self._read([folder]).groupBy("bucket", "id").agg(F.count(F.lit(1)).alias("n"))
+        per_bucket = (
+            per_id.groupBy("bucket")
+            .agg(F.count(F.lit(1)).alias("points"), F.max("n").alias("most"))
+            .orderBy("bucket")
+            .collect()
+        )
+        folder["buckets"] = [r["bucket"] for r in per_bucket]
+        folder["repeats"] = [r["bucket"] for r in per_bucket if r["most"] > 1]
         if per_bucket:
-            self._commit(number, live)
-            self.compact(self.max_folders)
-        return sum(per_bucket.values())
+            self._commit(number, [*state["folders"], folder], state["sequenced"])
+        return sum(r["points"] for r in per_bucket)
 
-    def _buckets_sharing_ids(self, known: dict[int, list[str]], staged: DataFrame) -> list[int]:
-        """Buckets where the batch replaces a stored point; only ids are read for this."""
-        if not known:
-            return []
-        keys = ["bucket", "id"]
-        shared = self._read(known).select(*keys).join(staged.select(*keys), keys, "left_semi")
-        return sorted(r["bucket"] for r in shared.select("bucket").distinct().collect())
-
-    def compact(self, max_folders: int) -> None:
-        """Rewrite buckets that have gathered more than ``max_folders`` folders."""
-        number, live = self._next_number(), self._live()
-        scattered = {b: folders for b, folders in live.items() if len(folders) > max_folders}
-        if scattered:
-            self._write(self._read(scattered), f"{self.path}/merged-{number}")
-            live.update({b: [f"merged-{number}"] for b in scattered})
-            self._commit(number, live)
+    def compact(self, max_folders: int = 1) -> None:
+        """Rewrite buckets with repeated ids or more than ``max_folders`` folders as one each.
+
+        Reading then needs no comparison. Call it between batches; a copy never does.
+        """
+        state = self._latest_commit()
+        if not state:
+            return
+        folders = state["folders"]
+        held = Counter(b for folder in folders for b in folder["buckets"])
+        scattered = {b for b, n in held.items() if n > max_folders}
+        scattered |= {b for folder in folders for b in folder["repeats"]}
+        if not scattered:
+            return
+        number = self._next_number()
+        old = [restricted(folder, scattered) for folder in folders]
+        rows = self._current([folder for folder in old if folder["buckets"]]).drop("commit")
+        name = self._write(rows, number)
+        merged = {"name": name, "buckets": sorted(scattered), "repeats": [], "whole": True}
+        kept = [restricted(folder, set(folder["buckets"]) - scattered) for folder in folders]
+        kept = [folder for folder in kept if folder["buckets"]]
+        self._commit(number, [*kept, merged], state["sequenced"])
 
     def vacuum(self, keep_commits: int = 10) -> list[str]:
         """Delete folders that none of the last ``keep_commits`` commits lists.
@@ -139,10 +154,9 @@ class StoredCollection:
         if keep_commits < 1:
             raise ValueError("at least the current commit must be kept")
         kept = {
-            folder
+            f"commit={folder['name']}"
             for number in self._commit_numbers()[-keep_commits:]
-            for folders in self._read_commit(number)["live"].values()
-            for folder in folders
+            for folder in self._read_commit(number)["folders"]
         }
         commits, fs = self._fs()
         stored = [s.getPath() for s in fs.listStatus(commits.getParent()) if s.isDirectory()]
@@ -151,12 +165,13 @@ class StoredCollection:
             fs.delete(folder, True)
         return sorted(p.getName() for p in stale)
 
-    @staticmethod
-    def _write(points: DataFrame, path: str) -> None:
+    def _write(self, rows: DataFrame, number: int) -> str:
+        """Write rows to a folder that no other attempt shares; returns its name."""
+        name = f"{number:012d}-{uuid.uuid4().hex}"
         # Rebalance on the bucket: AQE merges small buckets' tasks and splits large ones.
-        points.hint("rebalance", "bucket").write.partitionBy("bucket").mode("overwrite").parquet(
-            path
-        )
+        laid_out = rows.hint("rebalance", "bucket")
+        laid_out.write.partitionBy("bucket").mode("error").parquet(f"{self.path}/commit={name}")
+        return name
 
     # -- commits ---------------------------------------------------------
 
@@ -187,14 +202,46 @@ class StoredCollection:
         finally:
             stream.close()
 
-    def _commit(self, number: int, live: dict[int, list[str]]) -> None:
+    def _commit(self, number: int, folders: list[dict], sequenced: bool) -> None:
         """Write aside, then rename to the number: a second writer of it fails."""
         folder, fs = self._fs()
-        body = json.dumps({"buckets": self.buckets, "live": {str(b): v for b, v in live.items()}})
+        state = {"buckets": self.buckets, "sequenced": sequenced, "folders": folders}
         Path = self.spark._jvm.org.apache.hadoop.fs.Path
-        draft, final = Path(folder, f"{number:012d}.draft"), Path(folder, f"{number:012d}.json")
-        out = fs.create(draft, True)
-        out.write(bytearray(body, "utf-8"))
+        draft = Path(folder, f"{number:012d}-{uuid.uuid4().hex}.draft")
+        out = fs.create(draft, False)
+        out.write(bytearray(json.dumps(state), "utf-8"))
         out.close()
-        if not fs.rename(draft, final):
+        if not fs.rename(draft, Path(folder, f"{number:012d}.json")):
             raise RuntimeError(f"another writer already made commit {number} of {self.path}")
+
+
+def repeating_buckets(folders: list[dict]) -> set[int]:
+    """Buckets in which an id may occur twice: in several folders, or repeated within one."""
+    held = Counter(b for folder in folders for b in folder["buckets"])
+    repeats = {b for folder in folders for b in folder["repeats"]}
+    return repeats | {b for b, n in held.items() if n > 1}
+
+
+def restricted(folder: dict, buckets: set[int]) -> dict:
+    """The folder with only these of its buckets."""
+    kept = [b for b in folder["buckets"] if b in buckets]
+    return {
+        "name": folder["name"],
+        "buckets": kept,
+        "repeats": [b for b in folder["repeats"] if b in buckets],
+        "whole": folder["whole"] and kept == folder["buckets"],
+    }
+
+
+def sequence_number(batch: DataFrame, seq: str | None) -> Column:
+    """The order of versions as a whole number; null comes before all others."""
+    if seq is None:
+        return F.lit(None).cast("bigint")
+    data_type = batch.schema[seq].dataType
+    if isinstance(data_type, T.TimestampType):
+        return F.unix_micros(seq)
+    if isinstance(data_type, T.DateType):
+        return F.unix_date(seq).cast("bigint")
+    if isinstance(data_type, T.IntegralType):
+        return F.col(seq).cast("bigint")
+    raise TypeError(f"seq must be a whole number, date or timestamp, not {data_type.simpleString()}")

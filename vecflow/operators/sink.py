@@ -10,8 +10,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecflow.functions.ids import id_text
-
 # Which failures are worth another try, how often, and the first pause.
 RETRYABLE = (
     "Please retry",
@@ -48,7 +46,7 @@ def write_batches(
     """Send every point through ``client.upsert(list_of_dicts)`` in batches.
 
     The returned frame holds the totals and sends as it is evaluated; evaluate it
-    once. A task that is run again repeats its upserts, which changes nothing. An
+    once. A numeric id arrives as a whole number, a UUID as text. A task that is run again repeats its upserts, which changes nothing. An
     upsert replaces, so ids must be unique in ``points`` (see ``keep_last``).
     """
     if batch_size < 1:
@@ -58,6 +56,10 @@ def write_batches(
         client, pending = client_factory(), []
         sent = calls = retries = 0
 
+        def whole(row: dict) -> dict:
+            number, text = row["id"]["num"], row["id"]["uuid"]
+            return {**row, "id": int(number) if text is None else text}
+
         def flush(rows: list) -> None:
             nonlocal sent, calls, retries
             retries += send_with_retry(lambda: client.upsert(rows))
@@ -67,16 +69,16 @@ def write_batches(
                 time.sleep(delay_seconds)
 
         for batch in batches:
-            pending.extend(batch.to_pylist())
-            whole = len(pending) - len(pending) % batch_size
-            for start in range(0, whole, batch_size):
+            pending.extend(whole(row) for row in batch.to_pylist())
+            full = len(pending) - len(pending) % batch_size
+            for start in range(0, full, batch_size):
                 flush(pending[start : start + batch_size])
-            pending = pending[whole:]
+            pending = pending[full:]
         if pending:
             flush(pending)
         yield pa.RecordBatch.from_pydict({"points": [sent], "batches": [calls], "retries": [retries]})
 
-    wire = points.withColumn("payload", F.to_json("payload")).withColumn("id", id_text(F.col("id")))
+    wire = points.withColumn("payload", F.to_json("payload"))
     return wire.mapInArrow(send_partition, "points bigint, batches bigint, retries bigint").agg(
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("points", "batches", "retries")]
     )

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,12 +14,15 @@ from vecflow.plans.ranges import (
     assign_range,
     constant_array,
     in_range,
+    key_as_text,
+    key_from_text,
+    key_literal,
+    plain_key,
+    plain_type,
     range_index,
     resume_ranges,
 )
 
-MAX_WRITTEN_SPANS = 16
-
 
 def transfer(
     source: DataFrame,
@@ -34,13 +36,16 @@ def transfer(
 ) -> int:
     """Copy every unfinished range of ``plan`` into ``target``; returns points written.
 
-    By default one job copies them all: Spark repeats lost tasks by itself, and the
-    source is read once. ``ranges_per_job`` makes several jobs with progress
-    between them. That pays where key bounds spare a job most of the scan, as in
-    a database or files sorted by key; the bounds are plain predicates that reach
-    the scan. Data is committed before progress, and an upsert repeated after a
-    crash changes nothing, so a range is never lost and never applied twice in
-    effect.
+    By default one job copies them all: Spark repeats lost tasks by itself.
+    ``ranges_per_job`` makes several jobs with progress between them. That pays
+    where key bounds spare a job most of the scan, as in a database or files
+    sorted by key; the outer bounds are plain predicates that reach the scan.
+
+    A job first finds the last key of each range from the key column alone, then
+    copies up to these keys and records them. So progress never speaks of a key
+    that came after the copy had read the source; such keys wait for the next
+    call. Data is committed before progress, and an upsert repeated after a crash
+    changes nothing. A null key is an error.
     """
     if ranges_per_job is not None and ranges_per_job < 1:
         raise ValueError("ranges_per_job must be positive")
@@ -48,71 +53,81 @@ def transfer(
     if restart:  # an interrupted restart must not fall back on what an earlier copy had reached
         for plan_key in plan.select("source_key", "plan_id").distinct().collect():
             progress.clear(plan_key["source_key"], plan_key["plan_id"])
-    state = resume_ranges(plan, progress.load(restart))
-    resumed = (
-        state.withColumn("start_key", F.col("start_key").cast(data_type))
-        .withColumn("end_key", F.col("end_key").cast(data_type))
-        .orderBy("range_id")
-        .collect()
-    )
-    pending = [
-        r
-        for r in resumed
-        if r["start_key"] is None or r["end_key"] is None or r["start_key"] < r["end_key"]
-    ]
+    start, end = (key_from_text(F.col(c), data_type) for c in ("start_key", "end_key"))
+    unfinished = F.coalesce(start < end, F.lit(True)).alias("unfinished")
+    state = resume_ranges(plan, progress.load(restart)).select("*", unfinished)
+    resumed = [r.asDict() for r in state.orderBy("range_id").collect()]
+    ends = [r["end_key"] for r in resumed if r["end_key"] is not None]
+    pending = [r for r in resumed if r["unfinished"]]
     written, step = 0, ranges_per_job or max(1, len(pending))
     for first in range(0, len(pending), step):
         job = pending[first : first + step]
-        condition = wanted(F.col(key), resumed, job, data_type)
-        if first == 0:  # no range holds a null key, so the first job brings them to the normaliser, which refuses them
-            condition = condition | F.col(key).isNull()
-        rows = source.where(condition)
-        written += target.upsert(normalise(rows))
-        progress.store(_progress_rows(rows, key, plan, state))
+        mine = wanted(F.col(key), ends, job, data_type)
+        if first == 0:  # no range holds a null key, so the first job looks for them
+            mine = mine | F.col(key).isNull()
+        reached = last_keys(source.select(key).where(mine), key, plan)
+        job = [
+            {**r, "end_key": last, "processed": r["processed"] + count}
+            for r in job
+            for last, count in [reached.get(r["range_id"], (None, 0))]
+            if count
+        ]
+        if not job:
+            continue
+        written += target.upsert(normalise(source.where(wanted(F.col(key), ends, job, data_type))))
+        columns = ["source_key", "plan_id", "range_id", "end_key", "processed"]
+        done = [tuple(r[c] for c in columns) for r in job]
+        progress.store(
+            source.sparkSession.createDataFrame(
+                done,
+                "source_key string, plan_id string, range_id int, last_key string, processed bigint",
+            )
+        )
     return written
 
 
-def wanted(key: Column, plan: Sequence[Row], job: Sequence[Row], data_type: T.DataType) -> Column:
-    """Whether a key belongs to the job and was not copied before.
+def wanted(key: Column, ends: Sequence[str], job: Sequence[dict], data_type: T.DataType) -> Column:
+    """Whether a key lies in one of the job's ranges, by their own start and end.
 
-    A few bound pairs are written out. A job resumed in the middle of very many
-    ranges looks its range's start up instead, after one outer bound pair that
-    the scan can use.
+    ``ends`` are the plan's inner bounds, and every bound is the text it was stored
+    as. A row looks its range up by binary search, so the expression stays small
+    for any number of ranges; one outer pair of bounds is for the scan to use.
     """
-    pairs = spans(job)
-    if len(pairs) <= MAX_WRITTEN_SPANS:
-        return reduce(Column.__or__, [in_range(key, start, end) for start, end in pairs])
-    outer = in_range(key, pairs[0][0], pairs[-1][1])
-    bounds = [r["end_key"] for r in plan if r["end_key"] is not None]
-    mine = {r["range_id"] for r in job}
-    index = range_index(key, bounds, data_type)
-    included = F.get(constant_array([r["range_id"] in mine for r in plan], T.BooleanType()), index)
-    start = F.get(constant_array([r["start_key"] for r in plan], data_type), index)
-    return outer & included & (start.isNull() | (key > start))
+    plain, bound_type = plain_key(key, data_type), plain_type(data_type)
+    index, by_range = range_index(plain, ends, bound_type), {r["range_id"]: r for r in job}
+    places = range(len(ends) + 1)
 
+    def looked_up(values: list, value_type: T.DataType) -> Column:
+        return F.get(constant_array(values, value_type), index)
 
-def spans(job: Sequence[Row]) -> list[tuple]:
-    """The key bounds of neighbouring ranges, joined where one starts as the other ends."""
-    joined: list[tuple] = []
-    for r in job:
-        if joined and joined[-1][1] is not None and joined[-1][1] == r["start_key"]:
-            joined[-1] = (joined[-1][0], r["end_key"])
-        else:
-            joined.append((r["start_key"], r["end_key"]))
-    return joined
+    start = looked_up([by_range.get(i, {}).get("start_key") for i in places], bound_type)
+    end = looked_up([by_range.get(i, {}).get("end_key") for i in places], bound_type)
+    outer = [
+        None if text is None else key_literal(text, data_type)
+        for text in (job[0]["start_key"], job[-1]["end_key"])
+    ]
+    return (
+        key.isNotNull()
+        & in_range(key, *outer)
+        & looked_up([i in by_range for i in places], T.BooleanType())
+        & (start.isNull() | (plain > start))
+        & (end.isNull() | (plain <= end))
+    )
 
 
-def _progress_rows(rows: DataFrame, key: str, plan: DataFrame, state: DataFrame) -> DataFrame:
-    """Last key and running count of each range just copied, from the key column alone."""
-    copied = (
-        assign_range(rows.select(key), key, plan)
+def last_keys(keys: DataFrame, key: str, plan: DataFrame) -> dict[int, tuple[str, int]]:
+    """Text of the last key and number of rows per range: a row per range, at most ten per worker."""
+    data_type = keys.schema[key].dataType
+    found = (
+        assign_range(keys, key, plan)
         .groupBy("range_id")
-        .agg(F.max(key).cast("string").alias("last_key"), F.count(F.lit(1)).alias("_n"))
-    )
-    return copied.join(state.select("source_key", "plan_id", "range_id", "processed"), "range_id").select(
-        "source_key",
-        "plan_id",
-        "range_id",
-        "last_key",
-        (F.col("_n") + F.col("processed")).alias("processed"),
+        .agg(
+            key_as_text(F.max(key), data_type).alias("last_key"),
+            F.count(F.lit(1)).alias("points"),
+            F.count_if(F.col(key).isNull()).alias("nulls"),
+        )
+        .collect()
     )
+    if any(r["nulls"] for r in found):
+        raise ValueError(f"missing key in column {key}")
+    return {r["range_id"]: (r["last_key"], r["points"]) for r in found}

@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from vecflow.operators.upsert import keep_last
-
-STATUSES = ("match", "missing", "unexpected", "payload_differs", "vector_differs", "duplicate")
+STATUSES = (
+    "match",
+    "missing",
+    "unexpected",
+    "payload_differs",
+    "vector_differs",
+    "shard_differs",
+    "duplicate",
+)
 
 
 def exact_count(df: DataFrame) -> DataFrame:
@@ -47,20 +53,25 @@ def vector_parts(points: DataFrame) -> list[Column]:
 
 
 def digests(points: DataFrame) -> DataFrame:
-    """Points cut down to an id and 128 bits each for vectors and payload.
+    """Points cut down to an id and 128 bits each for vectors, payload and shard key.
 
     Floats are compared bit for bit; payload text prints object keys sorted, so
-    their order does not count. Four plain numbers keep the comparison in a hash
+    their order does not count. Plain numbers keep the comparison in a hash
     aggregation.
     """
     vectors, text = vector_parts(points), F.to_json(F.col("payload"))
-    second = F.lit("second")
+    second, shard = F.lit("second"), [F.lit(""), F.lit("")]
+    if "shard_key" in points.columns:  # absent and null parts become the same marks
+        keyword, number = F.col("shard_key.keyword"), F.col("shard_key.num").cast("string")
+        shard = [F.coalesce(F.concat(F.lit("="), part), F.lit("")) for part in (keyword, number)]
     return points.select(
         "id",
         F.xxhash64(*vectors).alias("v1"),
         F.xxhash64(second, *vectors).alias("v2"),
         F.xxhash64(text).alias("p1"),
         F.xxhash64(second, text).alias("p2"),
+        F.xxhash64(*shard).alias("s1"),
+        F.xxhash64(second, *shard).alias("s2"),
     )
 
 
@@ -74,7 +85,7 @@ def compare(source: DataFrame, target: DataFrame) -> DataFrame:
     tagged = digests(source).withColumn("_side", F.lit(1)).unionByName(
         digests(target).withColumn("_side", F.lit(2))
     )
-    parts = ("v1", "v2", "p1", "p2")
+    parts = ("v1", "v2", "p1", "p2", "s1", "s2")
     grouped = tagged.groupBy("id").agg(
         F.count(F.when(F.col("_side") == 1, 1)).alias("_s"),
         F.count(F.when(F.col("_side") == 2, 1)).alias("_t"),
@@ -92,6 +103,7 @@ def compare(source: DataFrame, target: DataFrame) -> DataFrame:
         .when((F.col("_s") > 1) | (F.col("_t") > 1), "duplicate")
         .when(differ("v1", "v2"), "vector_differs")
         .when(differ("p1", "p2"), "payload_differs")
+        .when(differ("s1", "s2"), "shard_differs")
         .otherwise("match")
     )
     return grouped.select("id", status.alias("status"))
@@ -117,16 +129,18 @@ def compare_within(
 ) -> DataFrame:
     """Comparison of one dense vector by value, for targets that store fewer digits."""
     name = F.lit(vector)
-    left = keep_last(source.select("id", F.col("dense")[name].alias("_l")), "id", "_l")
-    right = keep_last(target.select("id", F.col("dense")[name].alias("_r")), "id", "_r")
-    joined = left.withColumn("_s", F.lit(True)).join(
-        right.withColumn("_t", F.lit(True)), "id", "full_outer"
-    )
+
+    def side(points: DataFrame, value: str, count: str) -> DataFrame:
+        of_id = points.select("id", F.col("dense")[name].alias("_v")).groupBy("id")
+        return of_id.agg(F.max("_v").alias(value), F.count(F.lit(1)).alias(count))
+
+    joined = side(source, "_l", "_s").join(side(target, "_r", "_t"), "id", "full_outer")
     both_absent = F.col("_l").isNull() & F.col("_r").isNull()
     close = both_absent | F.coalesce(vectors_within(F.col("_l"), F.col("_r"), relative), F.lit(False))
     status = (
         F.when(F.col("_t").isNull(), "missing")
         .when(F.col("_s").isNull(), "unexpected")
+        .when((F.col("_s") > 1) | (F.col("_t") > 1), "duplicate")
         .when(close, "match")
         .otherwise("vector_differs")
     )

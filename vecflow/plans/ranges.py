@@ -9,6 +9,8 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Sequence
+from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
@@ -26,26 +28,65 @@ def sample_rank(key: Column, seed: str) -> Column:
 
 
 def sample_keys(df: DataFrame, key: str, n: int, seed: str = "") -> DataFrame:
-    """Exactly ``n`` rows' keys (all of them if fewer), uniform without replacement, sorted.
+    """Exactly ``n`` distinct keys (all of them if fewer), uniform without replacement, sorted.
 
-    Only ranks under a threshold expected to pass a few more than ``n`` rows reach
-    the final top-n, so its input does not grow with the number of scan tasks.
-    If chance let too few pass, the threshold is doubled.
+    A key that many rows repeat counts once. Only ranks under a threshold expected
+    to pass a few more than ``n`` keys reach the final top-n, so its input does not
+    grow with the number of scan tasks. If too few pass, the threshold is doubled.
     """
     keys = df.select(key).where(F.col(key).isNotNull())
-    total = keys.count()
-    n = min(n, total)
+    total = keys.agg(F.approx_count_distinct(key)).first()[0]
     ranked = keys.withColumn("_rank", sample_rank(F.col(key), seed))
-    candidates = ranked
-    fraction = (n + 10 * math.sqrt(n) + 20) / max(total, 1)
+    candidates = ranked.distinct()
+    # The estimate of distinct keys is a few percent off, hence the margin.
+    fraction = 1.2 * (n + 10 * math.sqrt(n) + 20) / max(total, 1)
     while fraction < 1:
-        candidates = ranked.where(F.col("_rank") <= f"{int(fraction * 16**12):012x}")
+        candidates = ranked.where(F.col("_rank") <= f"{int(fraction * 16**12):012x}").distinct()
         if candidates.count() >= n:
             break
-        candidates, fraction = ranked, fraction * 2
+        candidates, fraction = ranked.distinct(), fraction * 2
     return candidates.orderBy("_rank", key).limit(n).select(key).orderBy(key)
 
 
+# -- keys as stored text -----------------------------------------------------
+#
+# Bounds are kept as text, and no bound becomes a Python value on its way back.
+# Timestamps are compared and stored as microseconds and bytes as hexadecimal
+# digits: both keep the order and every bit, whatever the time zones are.
+
+
+def plain_key(key: Column, data_type: T.DataType) -> Column:
+    """The key in a type whose text form loses nothing, in the same order."""
+    if isinstance(data_type, T.TimestampType):
+        return F.unix_micros(key)
+    if isinstance(data_type, T.BinaryType):
+        return F.hex(key)
+    return key
+
+
+def plain_type(data_type: T.DataType) -> T.DataType:
+    if isinstance(data_type, T.TimestampType):
+        return T.LongType()
+    return T.StringType() if isinstance(data_type, T.BinaryType) else data_type
+
+
+def key_as_text(key: Column, data_type: T.DataType) -> Column:
+    return plain_key(key, data_type).cast("string")
+
+
+def key_from_text(text: Column, data_type: T.DataType) -> Column:
+    if isinstance(data_type, T.TimestampType):
+        return F.timestamp_micros(text.cast("bigint"))
+    if isinstance(data_type, T.BinaryType):
+        return F.unhex(text)
+    return text.cast(data_type)
+
+
+def key_literal(text: str, data_type: T.DataType) -> Column:
+    """A stored bound as a constant that the optimizer folds and the scan can use."""
+    return key_from_text(F.lit(text), data_type)
+
+
 def sample_size(workers: int, total: int) -> int:
     return min(workers * SAMPLES_PER_WORKER, total)
 
@@ -57,17 +98,15 @@ def ranges_all_samples(
 
     The window runs over the sample alone, a few rows per worker.
     """
-    ends = sample.select(F.col(key).alias("_end")).distinct()
-    open_end = sample.sparkSession.range(1).select(
-        F.lit(None).cast(ends.schema["_end"].dataType).alias("_end")
-    )
+    ends, data_type = sample.select(F.col(key).alias("_end")).distinct(), sample.schema[key].dataType
+    open_end = sample.sparkSession.range(1).select(F.lit(None).cast(data_type).alias("_end"))
     in_order = Window.orderBy(F.col("_end").asc_nulls_last())
     return ends.unionByName(open_end).select(
         F.lit(source_key).alias("source_key"),
         F.lit(plan_id).alias("plan_id"),
         (F.row_number().over(in_order) - 1).alias("range_id"),
-        F.lag("_end").over(in_order).cast("string").alias("start_key"),
-        F.col("_end").cast("string").alias("end_key"),
+        F.lag(key_as_text(F.col("_end"), data_type)).over(in_order).alias("start_key"),
+        key_as_text(F.col("_end"), data_type).alias("end_key"),
     )
 
 
@@ -87,10 +126,12 @@ def ranges_even(
     counted = keys.select("_keys", m.alias("_m"), ranges.alias("_r"))
     rows = counted.withColumn("range_id", F.explode(F.sequence(F.lit(0), F.col("_r") - 1)))
 
+    data_type = sample.schema[key].dataType
+
     def bound(i: Column) -> Column:
         at = F.floor(i * F.col("_m") / F.col("_r")).cast("int")
         inner = (i > 0) & (i < F.col("_r"))
-        return F.when(inner, F.get(F.col("_keys"), at)).cast("string")
+        return F.when(inner, key_as_text(F.get(F.col("_keys"), at), data_type))
 
     return rows.select(
         F.lit(source_key).alias("source_key"),
@@ -138,34 +179,48 @@ def in_range(key: Column, start, end) -> Column:
 
 
 def plan_rows(plan: DataFrame, data_type: str | T.DataType) -> list[Row]:
-    """The plan on the driver, in range order, bounds in the key's own type."""
+    """The plan on the driver, in range order, bounds in the key's own type.
+
+    For clients that take Python values; a copy inside Spark uses the stored text.
+    """
+    if isinstance(data_type, str):
+        data_type = T.DataType.fromDDL(data_type)
     return (
         plan.select(
             "range_id",
-            F.col("start_key").cast(data_type).alias("start_key"),
-            F.col("end_key").cast(data_type).alias("end_key"),
+            key_from_text(F.col("start_key"), data_type).alias("start_key"),
+            key_from_text(F.col("end_key"), data_type).alias("end_key"),
         )
         .orderBy("range_id")
         .collect()
     )
 
 
-def plan_predicates(rows: Sequence[Row], column: str) -> list[str]:
-    """SQL range conditions, one per range, for a JDBC read."""
+def plan_predicates(rows: Sequence[Row], column: str, quote: str = '"') -> list[str]:
+    """SQL range conditions, one per range, for a JDBC read.
+
+    The first one takes rows without a key too, so that a copy meets and refuses
+    them. Numbers, text and dates are written as literals; timestamps and bytes
+    have none that all databases read alike, so they are refused.
+    """
+    name = quote + column.replace(quote, quote * 2) + quote
 
     def literal(value) -> str:
-        if isinstance(value, (int, float)):
+        if isinstance(value, (bytes, bytearray, datetime)):
+            raise TypeError(f"no portable SQL literal for a key of type {type(value).__name__}")
+        if isinstance(value, (int, float, Decimal)):
             return str(value)
         return "'" + str(value).replace("'", "''") + "'"
 
     predicates = []
-    for row in rows:
+    for i, row in enumerate(rows):
         parts = []
         if row["start_key"] is not None:
-            parts.append(f"{column} > {literal(row['start_key'])}")
+            parts.append(f"{name} > {literal(row['start_key'])}")
         if row["end_key"] is not None:
-            parts.append(f"{column} <= {literal(row['end_key'])}")
-        predicates.append(" AND ".join(parts) or "1 = 1")
+            parts.append(f"{name} <= {literal(row['end_key'])}")
+        condition = " AND ".join(parts) or "1 = 1"
+        predicates.append(f"{condition} OR {name} IS NULL" if i == 0 and parts else condition)
     return predicates
 
 
@@ -176,7 +231,7 @@ def constant_array(values: Sequence, data_type: T.DataType) -> Column:
 
 
 def range_index(key: Column, bounds: Sequence, data_type: T.DataType) -> Column:
-    """How many of the sorted ``bounds`` lie below ``key``: the index of its range.
+    """How many of the sorted ``bounds`` (as text) lie below ``key``: the index of its range.
 
     A binary search over one constant array, so a row costs log2(ranges)
     comparisons and no join is needed.
@@ -197,8 +252,10 @@ def range_index(key: Column, bounds: Sequence, data_type: T.DataType) -> Column:
 def assign_range(points: DataFrame, key: str, plan: DataFrame) -> DataFrame:
     """Add the ``range_id`` each row's key falls into."""
     data_type = points.schema[key].dataType
-    bounds = [r["end_key"] for r in plan_rows(plan, data_type) if r["end_key"] is not None]
-    return points.withColumn("range_id", range_index(F.col(key), bounds, data_type))
+    inner = plan.select("range_id", "end_key").where(F.col("end_key").isNotNull())
+    bounds = [r["end_key"] for r in inner.orderBy("range_id").collect()]
+    index = range_index(plain_key(F.col(key), data_type), bounds, plain_type(data_type))
+    return points.withColumn("range_id", index)
 
 
 def range_partition(points: DataFrame, key: str, plan: DataFrame) -> DataFrame:

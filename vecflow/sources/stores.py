@@ -162,7 +162,10 @@ def from_milvus_columns(
     dense = {}
     for name, dim in vector_dims.items():
         size = dim if isinstance(dim, Column) else F.lit(dim)
-        dense[name] = vectors.flat_slice(F.col(name), F.col("_pos"), size)
+        whole = F.size(F.col(name)) == F.size(primary_key) * size
+        stop = F.raise_error(F.lit(f"vectors of field {name} do not fill the page"))
+        part = vectors.flat_slice(F.col(name), F.col("_pos"), size)
+        dense[name] = F.when(F.col(name).isNull() | whole, part).otherwise(stop.cast(pages.schema[name].dataType))
     key = at[primary_key]
     if isinstance(key_type, T.StringType):
         point_id = ids.text_id(key)
