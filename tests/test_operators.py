@@ -72,6 +72,37 @@ def test_points_reach_the_client_in_batches(spark, tmp_path):
         sink.write_batches(points, Client, batch_size=0)
 
 
+def test_batches_of_a_client_target_hold_one_shard(spark, tmp_path):
+    folder = str(tmp_path)
+
+    class Client:
+        def create_shard_key(self, key):
+            self.keys = {*getattr(self, "keys", ()), key}
+
+        def upsert(self, rows):
+            import uuid
+
+            (key,) = {r["shard_key"] for r in rows}
+            if key is not None and key not in self.keys:
+                raise ValueError("unknown shard")
+            with open(f"{folder}/{uuid.uuid4()}.json", "w") as out:
+                json.dump([key, [r["id"] for r in rows]], out)
+
+    shard = F.when(F.col("id") % 3 == 0, F.struct(F.lit("a").alias("keyword"), F.lit(None).alias("num"))).when(
+        F.col("id") % 3 == 1, F.struct(F.lit(None).alias("keyword"), F.lit(7).alias("num"))
+    )
+    points = to_points(
+        spark.range(0, 100, 1, 2), id=ids.numeric_id(F.col("id")),
+        payload=F.to_variant_object(F.struct("id")), shard_key=shard.cast(SHARD_KEY),
+    )
+    target = sink.ClientTarget(spark, Client, str(tmp_path / "log"), batch_size=10)
+    assert target.upsert(points) == 100 and target.upsert(points.limit(0)) == 0
+    counts = {(r["keyword"], r["number"] and int(r["number"])): r["points"] for r in target.sent().collect()}
+    assert counts == {("a", None): 34, (None, 7): 33, (None, None): 33}
+    sent = [json.loads(f.read_text()) for f in tmp_path.glob("*.json")]
+    assert sorted(i for _, batch in sent for i in batch) == list(range(100))
+
+
 # -- routing -------------------------------------------------------------------
 
 

@@ -230,19 +230,49 @@ def ensure_collections(catalog: DataFrame, wanted: DataFrame, mode: str = "creat
 def check_dimensions(points: DataFrame, spec: DataFrame, collection: str = "name") -> DataFrame:
     """Vector names and sizes found in ``points`` that ``spec`` does not declare.
 
-    ``points`` and ``spec`` share the ``collection`` column. Sizes are counted
-    before anything is compared, so only distinct ones are shuffled.
+    Dense vectors and the parts of multi vectors need the size in ``vectors``;
+    sparse ones have none and need their name in ``sparse_names``. ``points`` and
+    ``spec`` share the ``collection`` column. Sizes are counted in one pass before
+    anything is compared, so only distinct ones are shuffled.
     """
+    use = "array<struct<vector:string,_sparse:boolean,found_size:bigint>>"
+
+    def entry(name: Column, size: Column | None) -> Column:
+        return F.struct(name, F.lit(size is None), F.lit(None) if size is None else size)
+
+    uses = {
+        "dense": lambda e: F.array(entry(e["key"], F.size(e["value"]))),
+        "multi": lambda e: F.transform(
+            F.array_distinct(F.transform(e["value"], lambda part: F.size(part))),
+            lambda size: entry(e["key"], size),
+        ),
+        "sparse": lambda e: F.array(entry(e["key"], None)),
+    }
+    present = [
+        F.coalesce(F.flatten(F.transform(F.map_entries(kind), of)).cast(use), F.array().cast(use))
+        for kind, of in uses.items()
+        if kind in points.columns
+    ]
     found = (
-        points.select(collection, F.explode("dense").alias("vector", "_value"))
-        .groupBy(collection, "vector", F.size("_value").cast("bigint").alias("found_size"))
+        points.select(collection, F.inline(F.concat(*present)))
+        .groupBy(collection, "vector", "_sparse", "found_size")
         .agg(F.count(F.lit(1)).alias("points"))
     )
-    declared = spec.select(collection, F.explode("vectors").alias("vector", "_params")).select(
-        collection, "vector", F.col("_params.size").alias("declared_size")
+    sized = spec.select(collection, F.explode("vectors").alias("vector", "_params"))
+    declared = sized.select(
+        collection, "vector", F.lit(False).alias("_sparse"), F.col("_params.size").alias("declared_size")
     )
-    return found.join(declared, [collection, "vector"], "left").where(
-        F.col("declared_size").isNull() | (F.col("declared_size") != F.col("found_size"))
+    if "sparse_names" in spec.columns:
+        names = spec.select(collection, F.explode("sparse_names").alias("vector"))
+        declared = declared.unionByName(
+            names.select("*", F.lit(True).alias("_sparse"), F.lit(None).cast("bigint").alias("declared_size"))
+        )
+    declared = declared.withColumn("_declared", F.lit(True))
+    same_size = F.col("declared_size").eqNullSafe(F.col("found_size"))
+    return (
+        found.join(declared, [collection, "vector", "_sparse"], "left")
+        .where(F.col("_declared").isNull() | ~same_size)
+        .drop("_sparse", "_declared")
     )
 
 

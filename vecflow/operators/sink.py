@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from decimal import Decimal
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Which failures are worth another try, how often, and the first pause.
@@ -37,48 +38,129 @@ def send_with_retry(send: Callable[[], Any], sleep: Callable[[float], None] = ti
     raise AssertionError("unreachable")
 
 
-def write_batches(
+SENT = "keyword string, number decimal(20,0), points bigint, batches bigint, retries bigint"
+
+
+def send_batches(
     points: DataFrame,
     client_factory: Callable[[], Any],
     batch_size: int = DEFAULT_BATCH_SIZE,
     delay_seconds: float = 0.0,
+    by_shard: bool = False,
 ) -> DataFrame:
-    """Send every point through ``client.upsert(list_of_dicts)`` in batches.
+    """Send every point through ``client.upsert(list_of_dicts)``; one row per task and run of a shard.
 
-    The returned frame holds the totals and sends as it is evaluated; evaluate it
-    once. A numeric id arrives as a whole number, a UUID as text. A task that is run again repeats its upserts, which changes nothing. An
-    upsert replaces, so ids must be unique in ``points`` (see ``keep_last``).
+    The returned frame sends as it is evaluated; evaluate it once. A numeric id or
+    shard key arrives as a whole number, a UUID or keyword as text. A task that is
+    run again repeats its upserts, which changes nothing. An upsert replaces, so
+    ids must be unique in ``points`` (see ``keep_last``).
+
+    With ``by_shard`` a batch holds points of one shard, and a task first calls
+    ``client.create_shard_key(key)`` for each of its keys, which must accept one
+    that exists. Rows are ordered by shard within their task; none is moved.
     """
     if batch_size < 1:
         raise ValueError(f"batch size must be greater than 0, got {batch_size}")
 
+    def value(pair: dict | None, text: str) -> int | str | None:
+        if pair is None or pair[text] is not None:
+            return pair and pair[text]
+        return None if pair["num"] is None else int(pair["num"])
+
     def send_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        client, pending = client_factory(), []
+        client, pending, known = client_factory(), [], set()
         sent = calls = retries = 0
 
-        def whole(row: dict) -> dict:
-            number, text = row["id"]["num"], row["id"]["uuid"]
-            return {**row, "id": int(number) if text is None else text}
-
         def flush(rows: list) -> None:
             nonlocal sent, calls, retries
+            key = rows[0]["shard_key"]
+            if by_shard and key is not None and key not in known:
+                retries += send_with_retry(lambda: client.create_shard_key(key))
+                known.add(key)
             retries += send_with_retry(lambda: client.upsert(rows))
             sent += len(rows)
             calls += 1
             if delay_seconds:
                 time.sleep(delay_seconds)
 
+        def report(key) -> pa.RecordBatch:
+            nonlocal sent, calls, retries
+            number = None if key is None or isinstance(key, str) else Decimal(key)
+            columns = {
+                "keyword": pa.array([key if isinstance(key, str) else None], pa.string()),
+                "number": pa.array([number], pa.decimal128(20, 0)),
+                "points": [sent], "batches": [calls], "retries": [retries],
+            }
+            sent = calls = retries = 0
+            return pa.RecordBatch.from_pydict(columns)
+
+        shard = None
         for batch in batches:
-            pending.extend(whole(row) for row in batch.to_pylist())
-            full = len(pending) - len(pending) % batch_size
-            for start in range(0, full, batch_size):
-                flush(pending[start : start + batch_size])
-            pending = pending[full:]
+            for row in batch.to_pylist():
+                row["id"], row["shard_key"] = value(row["id"], "uuid"), value(row.get("shard_key"), "keyword")
+                if by_shard and row["shard_key"] != shard:
+                    if pending:
+                        flush(pending)
+                    if sent:
+                        yield report(shard)
+                    shard, pending = row["shard_key"], []
+                pending.append(row)
+                if len(pending) == batch_size:
+                    flush(pending)
+                    pending = []
         if pending:
             flush(pending)
-        yield pa.RecordBatch.from_pydict({"points": [sent], "batches": [calls], "retries": [retries]})
+        if sent:
+            yield report(shard)
 
     wire = points.withColumn("payload", F.to_json("payload"))
-    return wire.mapInArrow(send_partition, "points bigint, batches bigint, retries bigint").agg(
+    if by_shard:
+        wire = wire.sortWithinPartitions("shard_key")
+    return wire.mapInArrow(send_partition, SENT)
+
+
+def write_batches(
+    points: DataFrame,
+    client_factory: Callable[[], Any],
+    batch_size: int = DEFAULT_BATCH_SIZE,
+    delay_seconds: float = 0.0,
+) -> DataFrame:
+    """``send_batches`` without regard to shards, and its totals in one row; evaluate it once."""
+    return send_batches(points, client_factory, batch_size, delay_seconds).agg(
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("points", "batches", "retries")]
     )
+
+
+class ClientTarget:
+    """An outside client as the target of a copy, shard by shard.
+
+    Each upsert appends what its tasks sent to a table at ``log_path``, so
+    evaluating the sends and recording them is one job. ``transfer`` stores the
+    progress of a job's ranges after it; with ``ranges_per_job`` an interrupted
+    copy repeats the sends of one job at most.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        client_factory: Callable[[], Any],
+        log_path: str,
+        batch_size: int = DEFAULT_BATCH_SIZE,
+        delay_seconds: float = 0.0,
+    ):
+        self.spark, self.client_factory, self.log_path = spark, client_factory, log_path
+        self.batch_size, self.delay_seconds = batch_size, delay_seconds
+
+    def upsert(self, points: DataFrame) -> int:
+        sends = send_batches(points, self.client_factory, self.batch_size, self.delay_seconds, by_shard=True)
+        observed = Observation()
+        counted = sends.observe(observed, F.coalesce(F.sum("points"), F.lit(0)).alias("points"))
+        counted.write.mode("append").parquet(self.log_path)
+        return observed.get["points"]
+
+    def sent(self) -> DataFrame:
+        """Points, batches and retries per shard key, summed over all upserts."""
+        log = self.spark.read.schema(SENT).parquet(self.log_path)
+        return log.groupBy("keyword", "number").agg(
+            *[F.sum(c).alias(c) for c in ("points", "batches", "retries")]
+        )

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vecflow.operators.catalog import check_dimensions, check_routable
 from vecflow.operators.collection import StoredCollection
+from vecflow.operators.sink import ClientTarget
 from vecflow.plans.progress import ProgressTable
 from vecflow.plans.ranges import (
     assign_range,
@@ -29,13 +31,15 @@ def transfer(
     key: str,
     plan: DataFrame,
     normalise: Callable[[DataFrame], DataFrame],
-    target: StoredCollection,
+    target: StoredCollection | ClientTarget,
     progress: ProgressTable,
     ranges_per_job: int | None = None,
     restart: bool = False,
 ) -> int:
     """Copy every unfinished range of ``plan`` into ``target``; returns points written.
 
+    ``normalise`` makes points of source rows, routed to their shards if need be.
+
     By default one job copies them all: Spark repeats lost tasks by itself.
     ``ranges_per_job`` makes several jobs with progress between them. That pays
     where key bounds spare a job most of the scan, as in a database or files
@@ -86,6 +90,45 @@ def transfer(
     return written
 
 
+def copy_collection(
+    source: DataFrame,
+    key: str,
+    plan: DataFrame,
+    normalise: Callable[[DataFrame], DataFrame],
+    target: StoredCollection,
+    progress: ProgressTable,
+    spec: DataFrame,
+    routed: bool = False,
+    ranges_per_job: int | None = None,
+    restart: bool = False,
+) -> tuple[int, int]:
+    """A copy from its checks to its end; returns the counts of source and target.
+
+    ``spec`` is the target's catalog row, as ``ensure_collections`` gives it. Vector
+    names and sizes of all points, and with ``routed`` the sharding method, are
+    checked before anything is written. Progress is forgotten once the counts
+    agree; otherwise it stays, so that a later call goes on.
+    """
+    name = spec.select("name").first()
+    if name is None:
+        raise ValueError("the target collection does not exist")
+    if routed:
+        check_routable(spec).collect()  # the target's one row
+    named = normalise(source).withColumn("name", F.lit(name["name"]))
+    wrong = check_dimensions(named, spec).first()
+    if wrong:
+        raise ValueError(
+            f"vector {wrong['vector']!r} of {wrong['points']} points has size {wrong['found_size']}, "
+            f"the target's is {wrong['declared_size']}"
+        )
+    transfer(source, key, plan, normalise, target, progress, ranges_per_job, restart)
+    counts = source.count(), target.points().count()
+    if counts[0] == counts[1]:
+        for row in plan.select("source_key", "plan_id").distinct().collect():
+            progress.clear(row["source_key"], row["plan_id"])
+    return counts
+
+
 def wanted(key: Column, ends: Sequence[str], job: Sequence[dict], data_type: T.DataType) -> Column:
     """Whether a key lies in one of the job's ranges, by their own start and end.
 

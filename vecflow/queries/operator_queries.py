@@ -85,6 +85,25 @@ def upsert_stored(spark: SparkSession, folder: str) -> DataFrame:
     return _documents_over_vectors(target.points())
 
 
+@query("SELECT user_id, max(event_id) AS event_id FROM events GROUP BY user_id")
+def upsert_out_of_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Each user's last event stays, though its batch may come before those of earlier ones."""
+    target = StoredCollection(spark, scratch_path(spark, "collection"), buckets=8)
+    points = to_points(
+        table(spark, folder, "events"),
+        "event_id",
+        "event_type",
+        id=ids.numeric_id(F.col("user_id")),
+        payload=F.to_variant_object(F.struct("event_id")),
+    )
+    clicks = F.coalesce(F.col("event_type") == "click", F.lit(False))
+    for batch in (points.where(clicks), points.where(~clicks)):
+        target.upsert(batch, seq="event_id")
+    return target.points().select(
+        F.col("id.num").cast("bigint").alias("user_id"), field("event_id", "bigint").alias("event_id")
+    )
+
+
 class _CountingClient:
     """Stands in for a target service: takes a batch and checks its size and shape."""
 
@@ -542,6 +561,23 @@ def reconcile_points(spark: SparkSession, folder: str) -> DataFrame:
     return verify.compare(*_both_sides(spark, folder)).select(point_uuid(), "status")
 
 
+@query(
+    """
+    SELECT event_id, CASE WHEN event_type = 'click' THEN 'shard_differs' ELSE 'match' END AS status
+    FROM events
+    """
+)
+def reconcile_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """A copy that put clicks into another shard."""
+    source = _event_points(spark, folder)
+    other = F.struct(F.lit("elsewhere").alias("keyword"), F.lit(None).alias("num")).cast(SHARD_KEY)
+    is_click = F.col("shard_key.keyword") == "click"
+    target = source.withColumn("shard_key", F.when(is_click, other).otherwise(F.col("shard_key")))
+    return verify.compare(source, target).select(
+        F.col("id.num").cast("bigint").alias("event_id"), "status"
+    )
+
+
 @query(
     f"""
     SELECT {uuid5_sql("CAST(vec_id AS VARCHAR)")} AS id,

@@ -6,11 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecflow.functions import ids, payload
+from vecflow.operators import catalog, routing
 from vecflow.operators.collection import StoredCollection
-from vecflow.operators.transfer import transfer
+from vecflow.operators.sink import ClientTarget
+from vecflow.operators.transfer import copy_collection, transfer
 from vecflow.plans import progress as tracking
 from vecflow.plans import ranges
-from vecflow.queries.registry import field, point_uuid, query, table, uuid5_sql
+from vecflow.queries.registry import (
+    field,
+    point_uuid,
+    query,
+    table,
+    uuid5_sql,
+    vec_sum,
+    vec_sum_sql,
+)
 from vecflow.schema import POINT_COLUMNS, to_points
 from vecflow.scratch import scratch_path
 from vecflow.sources.relational import from_table
@@ -300,6 +310,151 @@ def transfer_ranges(spark: SparkSession, folder: str) -> DataFrame:
     return _order_columns(target.points())
 
 
+@query(_ORDER_POINTS_SQL)
+def transfer_restarted(spark: SparkSession, folder: str) -> DataFrame:
+    """A second copy that starts over, into a new target, after a whole one has left its progress."""
+    progress = tracking.ProgressTable(spark, scratch_path(spark, "progress"))
+    plan = _plan(spark, folder)
+    for restart in (False, True):
+        target = StoredCollection(spark, scratch_path(spark, "target"), buckets=8)
+        transfer(
+            _orders(spark, folder),
+            "o_orderkey",
+            plan,
+            lambda rows: from_table(rows, "o_orderkey"),
+            target,
+            progress,
+            restart=restart,
+        )
+    return _order_columns(target.points())
+
+
+@query(
+    f"""
+    WITH {_SAMPLE_SQL.replace("o_orderkey", "event_id").replace("orders", "events")},
+    ends AS (SELECT k FROM sample UNION ALL SELECT NULL),
+    plan AS (SELECT CAST(row_number() OVER w - 1 AS INTEGER) AS range_id,
+                    lag(k) OVER w AS start_k, k AS end_k
+             FROM ends WINDOW w AS (ORDER BY k NULLS LAST))
+    SELECT 'range' AS kind, CAST(range_id AS VARCHAR) AS name, count(*) AS points
+    FROM (SELECT event_id AS k FROM events) JOIN plan ON {_IN_PLAN_SQL} GROUP BY range_id
+    UNION ALL
+    SELECT 'shard', CAST(user_id AS VARCHAR), count(*) FROM events GROUP BY user_id
+    """
+)
+def transfer_to_client(spark: SparkSession, folder: str) -> DataFrame:
+    """Events sent to a client, routed by user: points per range and per shard as recorded."""
+    events = table(spark, folder, "events").select("event_id", "user_id", "event_type")
+    sample = ranges.sample_keys(events, "event_id", SAMPLES, "seed")
+    plan = ranges.ranges_all_samples(sample, "event_id", "events", "p1")
+    plan = ranges.save_plan(plan, scratch_path(spark, "plan"))
+    target = ClientTarget(spark, OneShardClient, scratch_path(spark, "sent"), batch_size=100)
+    progress = tracking.ProgressTable(spark, scratch_path(spark, "progress"))
+
+    def routed(rows: DataFrame) -> DataFrame:
+        return routing.route(from_table(rows, "event_id"), field="user_id")
+
+    transfer(events, "event_id", plan, routed, target, progress, ranges_per_job=SAMPLES // 2 + 1)
+    by_range = progress.load().select(
+        F.lit("range").alias("kind"), F.col("range_id").cast("string").alias("name"), F.col("processed").alias("points")
+    )
+    by_shard = target.sent().select(
+        F.lit("shard").alias("kind"), F.col("number").cast("string").alias("name"), "points"
+    )
+    return by_range.unionByName(by_shard)
+
+
+class OneShardClient:
+    """Stands in for a sharded service: refuses batches of unknown or several shards."""
+
+    def __init__(self):
+        self.shards = set()
+
+    def create_shard_key(self, key: int | str) -> None:
+        self.shards.add(key)
+
+    def upsert(self, rows: list[dict]) -> None:
+        keys = {row["shard_key"] for row in rows}
+        if len(keys) != 1 or not keys <= self.shards:
+            raise ValueError(f"malformed batch for shards {keys}")
+
+
+@query(
+    f"""
+    SELECT {uuid5_sql("CAST(vec_id AS VARCHAR)")} AS id, {vec_sum_sql("embedding")} AS vec_sum,
+           CAST(0 AS BIGINT) AS still_in_progress
+    FROM embeddings
+    """
+)
+def copy_lifecycle(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors copied from the check of sizes to cleared progress."""
+    rows = table(spark, folder, "embeddings")
+    sizes = catalog.discover_vector_columns(rows)
+    params = F.struct(F.col("dimension").alias("size"), F.lit("dot").alias("distance"))
+    spec = sizes.select(
+        F.lit("copy").alias("name"),
+        F.create_map("name", params).alias("vectors"),
+        F.array().cast("array<string>").alias("sparse_names"),
+    )
+    plan = ranges.plan_ranges(rows, "vec_id", WORKERS, "embeddings", "p1", seed="seed")
+    target = StoredCollection(spark, scratch_path(spark, "target"), buckets=8)
+    progress = tracking.ProgressTable(spark, scratch_path(spark, "progress"))
+    copy_collection(
+        rows,
+        "vec_id",
+        ranges.save_plan(plan, scratch_path(spark, "plan")),
+        lambda part: from_table(part, "vec_id"),
+        target,
+        progress,
+        spec,
+    )
+    return target.points().select(
+        point_uuid(),
+        vec_sum(F.col("dense")["embedding"]).alias("vec_sum"),
+        F.lit(progress.load().count()).cast("bigint").alias("still_in_progress"),
+    )
+
+
+def _bounds_sql(key: str, of: str, grouping: str) -> str:
+    """A plan whose bounds are the last keys of each group."""
+    return f"""
+    ends AS (SELECT DISTINCT max({key}) AS k FROM {of} GROUP BY {grouping} UNION ALL SELECT NULL),
+    plan AS (SELECT CAST(row_number() OVER w - 1 AS INTEGER) AS range_id,
+                    lag(k) OVER w AS start_k, k AS end_k
+             FROM ends WINDOW w AS (ORDER BY k NULLS LAST))"""
+
+
+@query(
+    f"""
+    WITH {_bounds_sql("ts", "events", "user_id")}
+    SELECT event_id, range_id FROM (SELECT event_id, ts AS k FROM events) JOIN plan ON {_IN_PLAN_SQL}
+    """
+)
+def assign_range_timestamp(spark: SparkSession, folder: str) -> DataFrame:
+    """Instants into ranges that end at each user's last event."""
+    instant = F.to_timestamp_ltz(F.col("ts").cast("string")).alias("at")
+    events = table(spark, folder, "events").select("event_id", "user_id", instant)
+    plan = ranges.ranges_all_samples(events.groupBy("user_id").agg(F.max("at").alias("at")), "at", "events")
+    plan = ranges.save_plan(plan, scratch_path(spark, "plan"))
+    return ranges.assign_range(events, "at", plan).select("event_id", "range_id")
+
+
+@query(
+    f"""
+    WITH {_bounds_sql("c_name", "customer", "c_nationkey")}
+    SELECT c_custkey, range_id FROM (SELECT c_custkey, c_name AS k FROM customer) JOIN plan ON {_IN_PLAN_SQL}
+    """
+)
+def assign_range_binary(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys of bytes into ranges that end at each nation's last one."""
+    customers = table(spark, folder, "customer").select(
+        "c_custkey", "c_nationkey", F.encode("c_name", "utf-8").alias("key")
+    )
+    last = customers.groupBy("c_nationkey").agg(F.max("key").alias("key"))
+    plan = ranges.save_plan(ranges.ranges_all_samples(last, "key", "customers"), scratch_path(spark, "plan"))
+    return ranges.assign_range(customers, "key", plan).select("c_custkey", "range_id")
+
+
 @query(_ORDER_POINTS_SQL)
 def incremental_final_state(spark: SparkSession, folder: str) -> DataFrame:
     """Orders arriving as files, upserted by a stream that stops when none is left."""
