@@ -308,6 +308,34 @@ def test_base_score(spark, docs, none):
     assert all(r["score"] < 0 and r["n_known"] == r["n_tokens"] for r in rows)
 
 
+@pytest.mark.parametrize("chunk", [40, 4_000])
+def test_whole_token_counts_come_from_all_chunks(spark, monkeypatch, chunk):
+    rng = random.Random(3)
+    train = Counter("".join(rng.choice("abc") for _ in range(rng.randint(1, 6))).encode() for _ in range(400))
+    others = {bytes(x) for a in range(33, 127) for x in ([a], *([a, b] for b in range(33, 127)))} - set(train)
+    rows = [(t, n) for t, n in train.items()] + [(t, 0) for t in sorted(others)[::4]]
+    counts = spark.createDataFrame(rows, "token binary, n long").repartition(3)
+    monkeypatch.setattr(language_model, "CHUNK", chunk)
+    tables = np.zeros((2, language_model.ORDERS << language_model.TABLE_BITS))
+    found = {}
+    for partitions in (1, 5):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            dealt = language_model.chunked(counts)
+            scored = language_model.token_scores(dealt, language_model.Mixer(tables)).collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 8)
+        assert sorted((bytes(r["token"]), r["n"]) for r in scored) == sorted(rows)
+        found[partitions] = {bytes(r["token"]): r["score"] for r in scored}
+        assert sum(10 ** r["score"] for r in scored) <= 1 + 1e-9
+    tokens, n = sorted(t for t, _ in rows), dict(rows)
+    none = language_model.Shared(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    with np.errstate(over="ignore"):
+        alone = language_model.Mixer(tables).log10(tokens, np.array([n[t] for t in tokens], float), none)
+    for partitions in (1, 5):
+        assert np.allclose([found[partitions][t] for t in tokens], alone)
+
+
 def test_pipeline(spark, folder, documents):
     import corpus_pipeline
 
