@@ -29,12 +29,15 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies: that with the smallest id, which is the class. Rows without an id
-    cannot be told apart by it, so of several rows with one id all stay."""
+    """One row of each class of near copies: that with the smallest id, one without an id only where no row of the
+    class has one. Each row is a document of its own, also where rows repeat, share an id or have none."""
     ship_package(spark)
-    classes = near_copies.near_copies(docs.select("doc_id", "text"))
-    gone = classes.where("class_id <> doc_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    rows = materialize(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows")
+    classes = near_copies.near_copies(rows.select(F.col("row").alias("doc_id"), "text"))
+    classes = classes.select(F.col("doc_id").alias("row"), "class_id").join(rows.select("row", "doc_id"), "row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row"))
+    kept = classes.groupBy("class_id").agg(first.alias("first")).select("first.row")
+    return rows.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -336,6 +336,27 @@ def test_whole_token_counts_come_from_all_chunks(spark, monkeypatch, chunk):
         assert np.allclose([found[partitions][t] for t in tokens], alone)
 
 
+def test_near_dedup_keeps_one_row_of_each_class(spark, folder):
+    import corpus_pipeline
+
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcdefgh") for _ in range(240)) for _ in range(9)]
+    texts = [" ".join(t[i : i + 6] for i in range(0, 240, 6)) for t in texts]
+    near = " ".join(["changed", *texts[3].split(" ")[1:]])
+    rows = [(1, texts[0])] * 3 + [(None, texts[1])] * 3 + [(None, texts[2]), (7, texts[2]), (5, texts[2])]
+    rows += [(2, texts[3]), (9, near), (9, texts[4]), (None, near), (3, texts[5]), (3, texts[6])]
+    rows += [(None, texts[7]), (None, texts[8]), (4, None), (4, None), (None, ""), (None, "")]
+    expected = Counter([(1, texts[0]), (None, texts[1]), (5, texts[2]), (2, texts[3]), (9, texts[4])])
+    expected += Counter([(3, texts[5]), (3, texts[6]), (None, texts[7]), (None, texts[8])])
+    expected += Counter([(4, None), (4, None), (None, ""), (None, "")])
+    made = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for order in (made, made.orderBy(F.desc("doc_id"))):
+        kept = corpus_pipeline.one_of_each(spark, order.repartition(3), folder)
+        assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == expected
+    left = corpus_pipeline.without_repeats(spark, kept, folder).where("text <> ''").collect()
+    assert Counter((r["doc_id"], r["text"]) for r in left) == Counter({x: n for x, n in expected.items() if x[1]})
+
+
 def test_pipeline(spark, folder, documents):
     import corpus_pipeline
 
