@@ -234,6 +234,25 @@ def test_lattice_sums_all_segmentations():
         assert math.isclose(found, sums[-1], rel_tol=1e-9)
 
 
+def test_unseen_run_in_a_clear_text_with_much_training():
+    pieces = language.pieces_of(PIECES)
+    counts = np.full((len(pieces) + 1, 2), language.SMOOTHING)
+    counts[pieces["in"]] += 1e9
+    counts[pieces["information"], 1] += 1e8
+    counts[pieces["form"], 0] += 1e3
+    model = language.Model(["de", "en"], counts / counts.sum(0), PIECES)
+    run = "\u5b57" * language.BLOCK
+    names, scores = language.Scorer(model).predict([f"information {run} information", run, "information"])
+    assert [names[0], names[2]] == ["en", "en"] and all(0.4 < s <= 1 for s in scores) and scores[0] > 0.99
+    lattice = language.Lattice(["information", run, "straße"], language.vocabulary_of(PIECES))
+    logs = lattice.logs(model.weights)
+    assert np.isfinite(logs).all()
+    assert np.allclose(logs[[0, 2]], np.log(lattice.whole(lattice.forward(model.weights)))[[0, 2]])
+    single = np.log(model.weights[pieces.get("\u5b57", 0)])
+    if "\u5b57\u5b57" not in pieces:
+        assert np.allclose(logs[1], language.BLOCK * single)
+
+
 # ---------------------------------------------------------------- contamination
 
 

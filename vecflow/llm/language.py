@@ -34,6 +34,8 @@ UNDETERMINED = "und"
 BLOCK = 40
 #: Added to each expected count; the start weight of a piece by its number of characters.
 SMOOTHING, START = 0.1, 1e-4
+#: Sums below this are made again from logarithms: far above what a float loses, which is about 1e-308.
+SMALL = 1e-200
 CACHED_WORDS = 300_000
 FILTER_BITS, FACTOR = 20, 0x9E3779B97F4A7C15
 
@@ -126,6 +128,24 @@ class Lattice:
     def whole(self, sums: np.ndarray) -> np.ndarray:
         return sums[np.arange(len(self.lengths)), self.lengths]
 
+    def logs(self, weights: np.ndarray) -> np.ndarray:
+        """Logarithms of ``whole``; words that a plain sum could lose are summed as logarithms."""
+        whole = self.whole(self.forward(weights))
+        small = (whole < SMALL).any(1)
+        logs = np.log(np.where(small[:, None], 1, whole))
+        if small.any():
+            weights, place = np.log(weights), np.cumsum(small) - 1
+            sums = np.full((int(small.sum()), BLOCK + 1, weights.shape[1]), -np.inf)
+            sums[:, 0] = 0
+            for end, edges in enumerate(self.by_end):
+                rows, starts, numbers = edges[:, small[edges[0]]]
+                if len(rows):
+                    found = sums[place[rows], starts] + weights[numbers]
+                    first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+                    sums[place[rows[first]], end] = np.logaddexp.reduceat(found, first, axis=0)
+            logs[small] = sums[np.arange(len(sums)), self.lengths[small]]
+        return logs
+
     def expected(self, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Word, piece and the expected number of that piece in the word, for one column of weights."""
         forward = self.forward(weights)[:, :, 0]
@@ -222,7 +242,7 @@ class Scorer:
         for at in range(0, len(words), 20_000):
             cut = [blocks(w) for w in words[at : at + 20_000]]
             lattice = Lattice([b for c in cut for b in c], vocabulary)
-            logs = np.log(lattice.whole(lattice.forward(self.model.weights)))
+            logs = lattice.logs(self.model.weights)
             made.append(np.add.reduceat(logs, np.cumsum([0, *map(len, cut[:-1])]), axis=0))
         if words:
             self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
