@@ -116,6 +116,21 @@ def test_classes_agree_with_all_pairs(spark, folder, documents):
     assert found == {d: top(d) for d in ids}
 
 
+def test_planted_pairs_at_the_limit_are_found(spark):
+    rng, rows, pairs = random.Random(11), [], []
+    for i in range(240):
+        length = (30, 300)[i % 2]
+        text = [f"w{rng.randrange(10**9)}" for _ in range(length)]
+        share = rng.uniform(0.15, 0.2)
+        places = range(i % 5, length, 5) if i % 3 == 0 else rng.sample(range(length), int(share * length))
+        other = [f"x{rng.randrange(10**9)}" if k in set(places) else w for k, w in enumerate(text)]
+        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(other))]
+        pairs.append((2 * i, 2 * i + 1))
+    found = {r["doc_id"]: r["class_id"] for r in near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(c // 2 == d // 2 for d, c in found.items())
+    assert sum(found[b] == a for a, b in pairs) >= 0.95 * len(pairs)
+
+
 # ---------------------------------------------------------------- archive
 
 
