@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecflow.llm import contamination, language, language_model, near_copies, packing, quality, repeats, token_counts, toxicity, warc
+from vecflow.llm import (
+    alignment,
+    contamination,
+    language,
+    language_model,
+    line_dedup,
+    near_copies,
+    packing,
+    quality,
+    repeats,
+    token_counts,
+    toxicity,
+    warc,
+    whitening,
+)
 from vecflow.llm.common import remainder
 from vecflow.scratch import scratch_path
 
@@ -165,3 +179,33 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = token_counts.vocabulary_path("piece_bpe_32k.model")
     counts = token_counts.prefix_token_counts(table(spark, folder, "documents"), path, keep_differences=False)
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"), "fit_chars")
+
+
+@query
+def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = line_dedup.drop_lines(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+_KEY = f"translate(trim(line, concat(chr(32), chr(9), chr(10), chr(11), chr(12), chr(13))), '{line_dedup.UPPER}', '{line_dedup.LOWER}')"
+ORACLES["op11_line_dedup"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, i, lines[i] AS line FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS i FROM d)),
+k AS (SELECT *, {_KEY} AS key FROM l),
+f AS (SELECT key, max(doc_id) AS keeper FROM (SELECT DISTINCT key, doc_id FROM k WHERE length(key) >= 40)
+      GROUP BY key HAVING count(*) >= 5),
+m AS (SELECT k.*, f.key IS NOT NULL AND doc_id IS DISTINCT FROM keeper AS dropped FROM k LEFT JOIN f ON k.key = f.key)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, CAST(count(*) FILTER (dropped) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
+FROM m GROUP BY r"""
+
+
+@query
+def op12_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    first, second = (token_counts.vocabulary_path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align_tokenizers(table(spark, folder, "documents"), first, second)
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, folder, "embeddings"))
