@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from vecflow.scratch import materialize
 
 WHITE = " \t\n\x0b\x0c\r"
+#: A key that holds this part of all lines or more is hot; so at most this many keys are.
+HOT_KEYS = 1_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -36,16 +38,29 @@ def hashed_lines(rows: DataFrame, least_chars: int) -> DataFrame:
 
 
 def frequent_keys(lines: DataFrame, least_docs: int) -> DataFrame:
-    """(h1, h2, keeper) of the keys found in at least ``least_docs`` documents.
+    """(h1, h2, keeper, times) of the keys found in at least ``least_docs`` documents; a line for each of ``times``.
 
-    A key is first made distinct by document, so the rows of a key that is everywhere are spread over all tasks and
-    meet again as one partial count per task.
+    A key is first counted by document, so the rows of a key that is everywhere are spread over all tasks and meet
+    again as one partial count per task.
     """
-    once = lines.select("h1", "h2", "doc_id").distinct()
-    counted = once.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("keeper"))
+    by_doc = lines.groupBy("h1", "h2", "doc_id").agg(F.count(F.lit(1)).alias("times"))
+    docs, times = F.count(F.lit(1)).alias("docs"), F.sum("times").alias("times")
+    counted = by_doc.groupBy("h1", "h2").agg(docs, times, F.max("doc_id").alias("keeper"))
     return counted.where(F.col("docs") >= least_docs).drop("docs")
 
 
+def with_keeper(lines: DataFrame, frequent: DataFrame) -> DataFrame:
+    """The lines of frequent keys, each with its keeper.
+
+    At most ``HOT_KEYS`` keys can each hold that part of all lines; these are broadcast. The rest is joined by key, and
+    no key of the rest is large.
+    """
+    keys, hot_times = ["h1", "h2"], lines.count() / HOT_KEYS
+    hot, rest = (frequent.where(f).drop("times") for f in (F.col("times") >= hot_times, F.col("times") < hot_times))
+    hot = F.broadcast(hot)
+    return lines.join(hot, keys).unionByName(lines.join(hot.select(*keys), keys, "left_anti").join(rest, keys))
+
+
 def drop_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) -> DataFrame:
     """(doc_id, text, n_lines, n_dropped) for every row, the text without its dropped lines.
 
@@ -56,7 +71,7 @@ def drop_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) -> D
     rows = rows.withColumns({"r1": r1, "r2": r2})
     lines = materialize(hashed_lines(rows, least_chars), "lines")
     dropped = (
-        lines.join(frequent_keys(lines, least_docs), ["h1", "h2"])
+        with_keeper(lines, materialize(frequent_keys(lines, least_docs), "keys"))
         .where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
         .groupBy("r1", "r2")
         .agg(F.collect_set("at").alias("dropped"))
