@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from vecflow.llm.common import SLICE_CHARS, slices
+from vecflow.llm.common import SLICE_CHARS, lookup, slices
 from vecflow.scratch import materialize
 
 #: White space and the visible run after it. Only a space or a line feed starts a new stretch.
@@ -48,6 +48,11 @@ PAIR_BASE = 1 << 24
 #: What a piece vocabulary writes for a space; a text that holds it itself is not spelled by its pieces.
 SPACE_MARK = "▁"
 
+#: A pair that holds this part of all pairs of all documents is broadcast with its count; so at most this many are.
+HOT_PAIRS = 100_000
+
+#: What is known of a document without tokens, from ``n_a`` on.
+NOTHING = (0, 0, 0, 0, "", [], [], False)
 COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 MADE = (
     "row bigint, doc_id {id}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, "
@@ -286,7 +291,7 @@ def aligned_rows(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str, sc
         out = []
         for row, doc_id, state in rows:
             if not state.valid:
-                out.append((row, doc_id, 0, 0, 0, 0, "", [], [], False))
+                out.append((row, doc_id, *NOTHING))
                 continue
             pairs = state.pairs[0]
             if len(state.pairs) > 1:
@@ -300,7 +305,10 @@ def aligned_rows(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str, sc
             out.append((None, None, None, None, None, None, None, held["pair"].combine_chunks(), held["count_all"].combine_chunks(), True))
         waiting = []
         if out:
-            yield pa.RecordBatch.from_arrays([column(list(c), f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+            yield record(out)
+
+    def record(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([column(list(c), f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     def column(values: list, data_type: pa.DataType) -> pa.Array:
         if not pa.types.is_list(data_type):
@@ -314,8 +322,7 @@ def aligned_rows(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str, sc
     for batch in slices(batches):
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
             if not text:
-                empty = [(number, doc_id, 0, 0, 0, 0, "", [], [], False)]
-                yield pa.RecordBatch.from_arrays([column(list(c), f.type) for c, f in zip(zip(*empty), schema)], schema=schema)
+                yield record([(number, doc_id, *NOTHING)])
                 number += 1
                 continue
             parts = list(parts_of(text, limit))
@@ -347,7 +354,8 @@ def pair_counts(made: DataFrame) -> DataFrame:
     counts = materialize(counts, "pairs")
     first = F.floor(F.col("pair") / PAIR_BASE).cast("int")
     highest = counts.groupBy(first.alias("a")).agg(F.max("docs").alias("highest"))
-    return counts.withColumn("a", first).join(highest, "a").select("pair", "docs", (F.col("docs") == F.col("highest")).alias("best"))
+    best = (F.col("docs") == F.col("highest")).alias("best")
+    return materialize(counts.withColumn("a", first).join(highest, "a").select("pair", "docs", best), "pairs")
 
 
 def align_tokenizers(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -356,8 +364,10 @@ def align_tokenizers(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     documents = made.where("not partial")
     held = documents.select("row", F.explode(F.arrays_zip("pairs", "times")).alias("held"))
     held = held.select("row", F.col("held.pairs").alias("pair"), F.col("held.times").alias("times"))
+    counts = pair_counts(made)
+    total = counts.agg(F.sum("docs")).first()[0] or 0
     sums = (
-        held.join(pair_counts(made), "pair")
+        lookup(held, counts, ["pair"], "docs", total, HOT_PAIRS)
         .groupBy("row")
         .agg(
             F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"),

@@ -64,6 +64,17 @@ def map_texts(
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def lookup(rows: DataFrame, values: DataFrame, keys: list[str], times: str, total: int, hot_keys: int) -> DataFrame:
+    """``rows`` joined with ``values``, which have one row for each key and in ``times`` how many of ``rows`` hold it.
+
+    Of ``total`` rows at most ``hot_keys`` keys can hold that part each; only these are broadcast. The rest is joined by
+    key, and no key of the rest is large.
+    """
+    is_hot = F.col(times) >= total / hot_keys
+    hot, rest = F.broadcast(values.where(is_hot)), values.where(~is_hot)
+    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(rest, keys))
+
+
 class Bounded(dict):
     """A cache that is emptied when it holds ``limit`` entries; missing values are computed."""
 

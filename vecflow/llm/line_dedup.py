@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vecflow.llm.common import lookup
 from vecflow.scratch import materialize
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -49,18 +50,6 @@ def frequent_keys(lines: DataFrame, least_docs: int) -> DataFrame:
     return counted.where(F.col("docs") >= least_docs).drop("docs")
 
 
-def with_keeper(lines: DataFrame, frequent: DataFrame) -> DataFrame:
-    """The lines of frequent keys, each with its keeper.
-
-    At most ``HOT_KEYS`` keys can each hold that part of all lines; these are broadcast. The rest is joined by key, and
-    no key of the rest is large.
-    """
-    keys, hot_times = ["h1", "h2"], lines.count() / HOT_KEYS
-    hot, rest = (frequent.where(f).drop("times") for f in (F.col("times") >= hot_times, F.col("times") < hot_times))
-    hot = F.broadcast(hot)
-    return lines.join(hot, keys).unionByName(lines.join(hot.select(*keys), keys, "left_anti").join(rest, keys))
-
-
 def drop_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) -> DataFrame:
     """(doc_id, text, n_lines, n_dropped) for every row, the text without its dropped lines.
 
@@ -70,8 +59,9 @@ def drop_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) -> D
     r1, r2 = wide_hash("doc_id", "text")
     rows = rows.withColumns({"r1": r1, "r2": r2})
     lines = materialize(hashed_lines(rows, least_chars), "lines")
+    frequent = materialize(frequent_keys(lines, least_docs), "keys")
     dropped = (
-        with_keeper(lines, materialize(frequent_keys(lines, least_docs), "keys"))
+        lookup(lines, frequent, ["h1", "h2"], "times", lines.count(), HOT_KEYS)
         .where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
         .groupBy("r1", "r2")
         .agg(F.collect_set("at").alias("dropped"))
