@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import pyarrow as pa
-import pyarrow.compute as pc
 import pyarrow.dataset as pads
 import pyarrow.fs as pafs
 from pyspark import TaskContext
@@ -35,7 +34,7 @@ from vecflow.sources.documents import (
     from_solr_docs as solr_points,
 )
 from vecflow.sources.flat import from_flat_vectors as flat_points
-from vecflow.sources.paged import paged_source
+from vecflow.sources.paged import PageRequest, arrow_condition, ranged_source
 from vecflow.sources.relational import from_table as table_points
 from vecflow.sources.stores import (
     from_chroma_get as chroma_points,
@@ -567,31 +566,50 @@ def write_flat_files(df: DataFrame, key: str, vector: str, path: str) -> None:
     ordered.mapInArrow(write, "written bigint").agg(F.sum("written")).collect()
 
 
+class OrderedTable:
+    """Stands in for a store with a cursor: one ordered scan per range, given out in pages."""
+
+    def __init__(self, path: str, key: str):
+        self.path, self.key = path, key
+
+    def __call__(self, request: PageRequest):
+        names = list(dict.fromkeys([*request.columns, self.key]))
+        rows = pads.dataset(self.path).to_table(columns=names, filter=arrow_condition(request, self.key))
+        rows = rows.sort_by(self.key)
+        for start in range(0, rows.num_rows, request.limit):
+            yield rows.slice(start, request.limit)
+
+
+ORDERS_SCHEMA = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double"
+
+
+def _paged_orders(spark: SparkSession, folder: str, columns: list[str]) -> DataFrame:
+    orders = table(spark, folder, "orders")
+    plan = plan_ranges(orders, "o_orderkey", 8, "orders", "paged", even=True)
+    pages = OrderedTable(f"{folder}/orders.parquet", "o_orderkey")
+    return ranged_source(spark, pages, plan_rows(plan, "bigint"), "o_orderkey", ORDERS_SCHEMA, 5000, columns)
+
+
 @query(
     """
     SELECT o_orderkey, o_custkey, o_totalprice FROM orders
     """
 )
 def paged_source_scan(spark: SparkSession, folder: str) -> DataFrame:
-    orders = table(spark, folder, "orders")
-    plan = plan_ranges(orders, "o_orderkey", 8, "orders", "paged", even=True)
-    path = f"{folder}/orders.parquet"
-    columns = ["o_orderkey", "o_custkey", "o_totalprice"]
-
-    def fetch(start, end, limit):
-        condition = pc.field("o_orderkey").is_valid()
-        if start is not None:
-            condition &= pc.field("o_orderkey") > start
-        if end is not None:
-            condition &= pc.field("o_orderkey") <= end
-        page = pads.dataset(path).to_table(columns=columns, filter=condition)
-        order = pc.select_k_unstable(page, min(limit, page.num_rows), [("o_orderkey", "ascending")])
-        return page.take(order)
-
-    schema = "o_orderkey bigint, o_custkey bigint, o_totalprice double"
-    return paged_source(
-        spark, fetch, plan_rows(plan, "bigint"), "o_orderkey", schema, batch_size=5000
-    )
+    return _paged_orders(spark, folder, ["o_orderkey", "o_custkey", "o_totalprice"])
+
+
+@query(
+    """
+    SELECT o_orderkey, o_totalprice FROM orders
+    WHERE o_orderkey > 400 AND o_orderkey <= 20000 AND o_orderstatus = 'F' AND o_totalprice >= 1000
+    """
+)
+def paged_filtered(spark: SparkSession, folder: str) -> DataFrame:
+    """Key bounds narrow the ranges, the other conditions and three of four columns reach the source."""
+    orders = _paged_orders(spark, folder, ["o_orderkey", "o_totalprice", "o_orderstatus"])
+    wanted = orders.where("o_orderkey > 400 AND o_orderkey <= 20000 AND o_orderstatus = 'F' AND o_totalprice >= 1000")
+    return wanted.select("o_orderkey", "o_totalprice")
 
 
 @query("SELECT doc_id, lang, source FROM documents WHERE lang IN ('en', 'fr')")
