@@ -1,0 +1,180 @@
+"""Copies into an outside client: what is sent, what is recorded, and what a failure leaves to do."""
+
+import json
+import sys
+import uuid
+from collections import Counter
+from pathlib import Path
+
+import pytest
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
+
+from vecflow.operators import routing, sink
+from vecflow.operators.sink import ClientTarget, ClientWriter, SentMessage
+from vecflow.operators.transfer import copy_collection, transfer
+from vecflow.plans import ranges
+from vecflow.plans.progress import ProgressTable
+from vecflow.schema import COLLECTION, KEY_MARK, RANGE_MARK
+from vecflow.sources.relational import from_table
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers do not import tests
+
+
+class FileClient:
+    """A service that keeps each batch in a file, and refuses points that a file names."""
+
+    def __init__(self, folder):
+        self.folder, self.keys = folder, set()
+
+    def create_shard_key(self, key):
+        self.keys.add(key)
+
+    def upsert(self, rows):
+        refused = Path(f"{self.folder}/refuse")
+        if refused.exists() and any(str(json.loads(r["payload"])["k"]) == refused.read_text() for r in rows):
+            raise RuntimeError("refused")
+        (key,) = {r["shard_key"] for r in rows}
+        if key is not None and key not in self.keys:
+            raise ValueError("unknown shard")
+        with open(f"{self.folder}/{uuid.uuid4()}.json", "w") as out:
+            json.dump([key, [[r["id"], json.loads(r["payload"])] for r in rows]], out)
+
+    def batches(self):
+        return [json.loads(p.read_text()) for p in Path(self.folder).glob("*.json")]
+
+    def count(self):
+        return len({i for _, batch in self.batches() for i, _ in batch})
+
+
+class Copy:
+    def __init__(self, spark, tmp_path, rows, key="k", workers=1):
+        self.spark, self.rows, self.key = spark, rows, key
+        (tmp_path / "client").mkdir()
+        self.client = FileClient(str(tmp_path / "client"))
+        plan = ranges.plan_ranges(rows, key, workers, "s", "p", seed="x")
+        self.plan = ranges.save_plan(plan, str(tmp_path / "plan"))
+        self.progress = ProgressTable(spark, str(tmp_path / "progress"))
+        folder = self.client.folder
+        self.target = ClientTarget(spark, lambda: FileClient(folder), str(tmp_path / "log"), batch_size=7)
+
+    def points(self, rows):
+        return routing.route(from_table(rows, self.key, carry=[self.key]), field="s")
+
+    def run(self, **options):
+        return transfer(self.rows, self.key, self.plan, self.points, self.target, self.progress, **options)
+
+    def done(self):
+        return {r["range_id"]: (r["last_key"], r["processed"]) for r in self.progress.load().collect()}
+
+    def expected(self):
+        found = ranges.assign_range(self.rows, self.key, self.plan).groupBy("range_id")
+        return {r["range_id"]: (str(r["last"]), r["n"]) for r in found.agg(F.max(self.key).alias("last"), F.count("*").alias("n")).collect()}
+
+
+def test_a_copy_in_one_job_records_each_range(spark, tmp_path):
+    copy = Copy(spark, tmp_path, spark.range(200).selectExpr("id * 3 AS k", "id % 2 AS s"))
+    assert copy.run() == 200 and copy.done() == copy.expected()
+    assert copy.client.count() == 200 and all(len(batch) <= 7 for _, batch in copy.client.batches())
+    assert {(int(r["number"])): r["points"] for r in copy.target.sent().collect()} == {0: 100, 1: 100}
+    assert copy.run() == 0
+
+
+def test_a_failure_leaves_only_the_ranges_that_did_not_end(spark, tmp_path):
+    copy = Copy(spark, tmp_path, spark.range(300).selectExpr("id AS k", "id % 2 AS s"))
+    expected, middle = copy.expected(), 5
+    refused = Path(copy.client.folder) / "refuse"
+    refused.write_text(expected[middle][0])
+    with pytest.raises(Exception, match="refused"):
+        copy.run()
+    done = copy.done()
+    assert middle not in done and all(done[r] == expected[r] for r in done)
+    before = Counter(i for _, batch in copy.client.batches() for i, _ in batch)
+    refused.unlink()
+    assert copy.run() == 300 - sum(n for _, n in done.values())
+    assert copy.done() == expected and copy.client.count() == 300
+    # What was recorded as done was not sent again.
+    sent = Counter(payload["k"] for _, batch in copy.client.batches() for _, payload in batch)
+    ended = {r["k"] for r in ranges.assign_range(copy.rows, "k", copy.plan).where(F.col("range_id").isin(list(done))).collect()}
+    assert before and all(sent[k] == 1 for k in ended)
+    assert {r["number"]: r["points"] for r in copy.target.sent().collect()} and sum(r["points"] for r in copy.target.sent().collect()) == 300
+
+
+def test_the_later_version_of_an_id_is_sent(spark, tmp_path):
+    rows = spark.range(0, 40, 1, 1).selectExpr("id AS k", "0 AS s", "1 AS version")
+    rows = rows.unionByName(spark.range(0, 40, 2, 1).selectExpr("id AS k", "0 AS s", "2 AS version"))
+    copy = Copy(spark, tmp_path, rows)
+    assert copy.run() == 40
+    sent = {payload["k"]: payload["version"] for _, batch in copy.client.batches() for _, payload in batch}
+    assert sent == {k: 1 + (k % 2 == 0) for k in range(40)} and copy.client.count() == 40
+
+
+def test_without_marks_seq_decides(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a", 3), (1, "b", 5), (1, "c", 4), (2, "d", 1)], "k long, s string, v int")
+    copy = Copy(spark, tmp_path, rows)
+    points = routing.route(from_table(rows, "k", carry=["v"]), field="s")
+    assert copy.target.upsert(points, seq="v") == 2
+    assert sorted(p["s"] for _, batch in copy.client.batches() for _, p in batch) == ["b", "d"]
+    assert copy.target.marks == {}
+
+
+@pytest.mark.parametrize("key", ["timestamp_micros(id * 1800000123)", "id / 7", "CAST(id / 8 AS decimal(20,4))", "concat('ké', id)"])
+def test_last_keys_of_any_type(spark, tmp_path, key):
+    copy = Copy(spark, tmp_path, spark.range(60).selectExpr(f"{key} AS k", "id % 3 AS s"))
+    assert copy.run() == 60 and copy.run() == 0
+    assert sum(n for _, n in copy.done().values()) == 60 and copy.client.count() == 60
+
+
+def test_null_keys_and_empty_sources(spark, tmp_path):
+    rows = spark.range(20).selectExpr("nullif(id, 3) AS k", "0 AS s")
+    copy = Copy(spark, tmp_path, rows)
+    with pytest.raises(Exception, match="missing key"):
+        copy.run()
+    copy.rows = rows.limit(0)
+    assert transfer(copy.rows, "k", copy.plan, copy.points, copy.target, ProgressTable(spark, str(tmp_path / "other"))) == 0
+
+
+def test_a_checked_copy_ends_in_a_client(spark, tmp_path):
+    rows = spark.range(30).selectExpr("id AS k", "array(1f, 2f) AS v", "'x' AS s")
+    copy = Copy(spark, tmp_path, rows)
+    spec = spark.createDataFrame([("c", {"v": (2, "dot")}, [], {}, "custom")], COLLECTION)
+    assert copy_collection(rows, "k", copy.plan, copy.points, copy.target, copy.progress, spec, routed=True) == (30, 30)
+    assert copy.progress.load().count() == 0 and copy.client.count() == 30
+
+
+def test_a_range_is_one_task_and_no_row_moves_twice(spark, tmp_path):
+    rows = spark.range(100).selectExpr("id AS k", "0 AS s")
+    marked = rows.withColumns({RANGE_MARK: F.col("k").cast("int") % 5, KEY_MARK: F.col("k")}).repartition(5, RANGE_MARK)
+    plan = sink.keep_last(marked, [RANGE_MARK, "k"], ["s"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_only_accepted_attempts_are_logged(tmp_path):
+    writer = ClientWriter(None, 1, 0.0, str(tmp_path / "log"), "job")
+    writer.abort([None, SentMessage({3: (2, "9")}, {None: [2, 1, 0], 7: [1, 1, 0], "a": [4, 2, 1]}), None])
+    (line,) = [json.loads(x) for x in (tmp_path / "log" / "job.json").read_text().splitlines()]
+    assert line["ranges"] == [{"range_id": 3, "points": 2, "last_key": "9"}]
+    assert [(s["keyword"], s["number"], s["points"]) for s in line["shards"]] == [(None, None, 2), (None, "7", 1), ("a", None, 4)]
+
+
+def test_an_unknown_kind_of_log_path_is_refused_before_sending(spark):
+    with pytest.raises(Exception):
+        ClientTarget(spark, FileClient, "nosuch://x/y")
+
+
+def test_a_stored_copy_that_carries_its_key_reads_the_source_once(spark, tmp_path):
+    from vecflow.operators.collection import StoredCollection
+
+    reads = spark.sparkContext.accumulator(0)
+    rows = spark.range(90).selectExpr("id AS k", "'x' AS s")
+    plan = ranges.save_plan(ranges.plan_ranges(rows, "k", 1, "s", "p", seed="x"), str(tmp_path / "plan"))
+    counted = spark.createDataFrame(rows.rdd.map(lambda r: (reads.add(1), r)[1]), rows.schema)
+    progress, target = ProgressTable(spark, str(tmp_path / "progress")), StoredCollection(spark, str(tmp_path / "c"), 2)
+    assert transfer(counted, "k", plan, lambda r: from_table(r, "k", carry=["k"]), target, progress) == 90
+    assert reads.value == 90
+    done = {r["range_id"]: (r["last_key"], r["processed"]) for r in progress.load().collect()}
+    found = ranges.assign_range(rows, "k", plan).groupBy("range_id").agg(F.max("k").alias("last"), F.count("*").alias("n"))
+    assert done == {r["range_id"]: (str(r["last"]), r["n"]) for r in found.collect()}
+    late = spark.range(95).selectExpr("id AS k", "'x' AS s")  # keys above what was reached wait for the next call
+    assert transfer(late, "k", plan, lambda r: from_table(r, "k", carry=["k"]), target, progress) == 5
+    assert target.points().count() == 95

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vecflow.schema import ID, POINT_COLUMNS, POINT_TYPES
+from vecflow.schema import ID, KEY_MARK, POINT_COLUMNS, POINT_TYPES, RANGE_MARK
 
 
 class StoredCollection:
@@ -27,6 +27,7 @@ class StoredCollection:
         self.spark, self.path = spark, path.rstrip("/")
         state = self._latest_commit()
         self.buckets = state["buckets"] if state else buckets
+        self.marks: dict[int, tuple[str, int]] = {}
 
     # -- reading ---------------------------------------------------------
 
@@ -101,8 +102,10 @@ class StoredCollection:
         number_or_uuid = F.coalesce(F.col("id.uuid"), F.col("id.num").cast("string"))
         stop = F.raise_error(F.lit("bad record: id is missing")).cast(ID)
         valid = batch.withColumn("id", F.when(number_or_uuid.isNull(), stop).otherwise(F.col("id")))
+        marks = [c for c in (RANGE_MARK, KEY_MARK) if c in batch.columns]
         rows = valid.select(
             *POINT_COLUMNS,
+            *marks,
             sequence_number(batch, seq).alias("seq"),
             F.monotonically_increasing_id().alias("arrival"),
             self.bucket_of(F.col("id")).alias("bucket"),
@@ -119,9 +122,19 @@ class StoredCollection:
         folder["buckets"] = [r["bucket"] for r in per_bucket]
         folder["repeats"] = [r["bucket"] for r in per_bucket if r["most"] > 1]
         if per_bucket:
+            reached = self._marks_of(folder, rows.schema[KEY_MARK].dataType) if marks else {}
             self._commit(number, [*state["folders"], folder], state["sequenced"])
+            self.marks = reached
         return sum(r["points"] for r in per_bucket)
 
+    def _marks_of(self, folder: dict, key_type: T.DataType) -> dict[int, tuple[str, int]]:
+        """Last key and rows of each range in a written folder; two narrow columns are read."""
+        schema = T.StructType([T.StructField(RANGE_MARK, T.IntegerType()), T.StructField(KEY_MARK, key_type)])
+        written = self.spark.read.schema(schema).parquet(f"{self.path}/commit={folder['name']}")
+        last = F.max(KEY_MARK).cast("string").alias("last")
+        found = written.groupBy(RANGE_MARK).agg(last, F.count(F.lit(1)).alias("points")).collect()
+        return {r[RANGE_MARK]: (r["last"], r["points"]) for r in found}
+
     def compact(self, max_folders: int = 1) -> None:
         """Rewrite buckets with repeated ids or more than ``max_folders`` folders as one each.
 

@@ -1,15 +1,23 @@
-"""Batched, retried upserts into an outside client, one task per partition."""
+"""Batched, retried upserts into an outside client."""
 
 from __future__ import annotations
 
+import json
 import time
-from collections.abc import Callable, Iterator
+import uuid
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass, field
 from decimal import Decimal
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession
+import pyarrow.fs as pafs
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+
+from vecflow.operators.upsert import keep_last
+from vecflow.schema import KEY_MARK, POINT_COLUMNS, RANGE_MARK
 
 # Which failures are worth another try, how often, and the first pause.
 RETRYABLE = (
@@ -38,9 +46,64 @@ def send_with_retry(send: Callable[[], Any], sleep: Callable[[float], None] = ti
     raise AssertionError("unreachable")
 
 
+def plain_value(pair: dict | None, text: str) -> int | str | None:
+    """An id or shard key as the client gets it: text, a whole number, or nothing."""
+    if pair is None or pair[text] is not None:
+        return pair and pair[text]
+    return None if pair["num"] is None else int(pair["num"])
+
+
+@dataclass
+class Sender:
+    """Sends the points of one task in batches and counts what each shard got."""
+
+    client: Any
+    batch_size: int
+    delay_seconds: float = 0.0
+    by_shard: bool = False
+    shards: dict[Any, list[int]] = field(default_factory=dict)  # points, batches, retries
+    pending: list[dict] = field(default_factory=list)
+    known: set = field(default_factory=set)
+
+    def send(self, rows: Iterable[dict]) -> None:
+        for row in rows:
+            row["id"] = plain_value(row["id"], "uuid")
+            row["shard_key"] = plain_value(row.get("shard_key"), "keyword")
+            if self.by_shard and self.pending and self.pending[0]["shard_key"] != row["shard_key"]:
+                self.flush()
+            self.pending.append(row)
+            if len(self.pending) == self.batch_size:
+                self.flush()
+
+    def flush(self) -> None:
+        if not self.pending:
+            return
+        rows, self.pending, retries = self.pending, [], 0
+        key = rows[0]["shard_key"] if self.by_shard else None
+        if key is not None and key not in self.known:
+            retries += send_with_retry(lambda: self.client.create_shard_key(key))
+            self.known.add(key)
+        retries += send_with_retry(lambda: self.client.upsert(rows))
+        counts = self.shards.setdefault(key, [0, 0, 0])
+        for i, n in enumerate((len(rows), 1, retries)):
+            counts[i] += n
+        if self.delay_seconds:
+            time.sleep(self.delay_seconds)
+
+
 SENT = "keyword string, number decimal(20,0), points bigint, batches bigint, retries bigint"
 
 
+def check_batch_size(batch_size: int) -> None:
+    if batch_size < 1:
+        raise ValueError(f"batches of {batch_size} points: the size must be greater than 0")
+
+
+def wire_points(points: DataFrame) -> DataFrame:
+    """Points as they travel to a client: the payload as JSON text."""
+    return points.withColumn("payload", F.to_json("payload"))
+
+
 def send_batches(
     points: DataFrame,
     client_factory: Callable[[], Any],
@@ -48,7 +111,7 @@ def send_batches(
     delay_seconds: float = 0.0,
     by_shard: bool = False,
 ) -> DataFrame:
-    """Send every point through ``client.upsert(list_of_dicts)``; one row per task and run of a shard.
+    """Send every point through ``client.upsert(list_of_dicts)``; one row per task and shard.
 
     The returned frame sends as it is evaluated; evaluate it once. A numeric id or
     shard key arrives as a whole number, a UUID or keyword as text. A task that is
@@ -59,61 +122,23 @@ def send_batches(
     ``client.create_shard_key(key)`` for each of its keys, which must accept one
     that exists. Rows are ordered by shard within their task; none is moved.
     """
-    if batch_size < 1:
-        raise ValueError(f"batch size must be greater than 0, got {batch_size}")
-
-    def value(pair: dict | None, text: str) -> int | str | None:
-        if pair is None or pair[text] is not None:
-            return pair and pair[text]
-        return None if pair["num"] is None else int(pair["num"])
+    check_batch_size(batch_size)
 
     def send_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        client, pending, known = client_factory(), [], set()
-        sent = calls = retries = 0
-
-        def flush(rows: list) -> None:
-            nonlocal sent, calls, retries
-            key = rows[0]["shard_key"]
-            if by_shard and key is not None and key not in known:
-                retries += send_with_retry(lambda: client.create_shard_key(key))
-                known.add(key)
-            retries += send_with_retry(lambda: client.upsert(rows))
-            sent += len(rows)
-            calls += 1
-            if delay_seconds:
-                time.sleep(delay_seconds)
-
-        def report(key) -> pa.RecordBatch:
-            nonlocal sent, calls, retries
+        sender = Sender(client_factory(), batch_size, delay_seconds, by_shard)
+        for batch in batches:
+            sender.send(batch.to_pylist())
+        sender.flush()
+        for key, counts in sender.shards.items():
             number = None if key is None or isinstance(key, str) else Decimal(key)
             columns = {
                 "keyword": pa.array([key if isinstance(key, str) else None], pa.string()),
                 "number": pa.array([number], pa.decimal128(20, 0)),
-                "points": [sent], "batches": [calls], "retries": [retries],
-            }
-            sent = calls = retries = 0
-            return pa.RecordBatch.from_pydict(columns)
+                **{name: [n] for name, n in zip(("points", "batches", "retries"), counts)},
+            }
+            yield pa.RecordBatch.from_pydict(columns)
 
-        shard = None
-        for batch in batches:
-            for row in batch.to_pylist():
-                row["id"], row["shard_key"] = value(row["id"], "uuid"), value(row.get("shard_key"), "keyword")
-                if by_shard and row["shard_key"] != shard:
-                    if pending:
-                        flush(pending)
-                    if sent:
-                        yield report(shard)
-                    shard, pending = row["shard_key"], []
-                pending.append(row)
-                if len(pending) == batch_size:
-                    flush(pending)
-                    pending = []
-        if pending:
-            flush(pending)
-        if sent:
-            yield report(shard)
-
-    wire = points.withColumn("payload", F.to_json("payload"))
+    wire = wire_points(points)
     if by_shard:
         wire = wire.sortWithinPartitions("shard_key")
     return wire.mapInArrow(send_partition, SENT)
@@ -131,13 +156,100 @@ def write_batches(
     )
 
 
+# -- a client as the target of a copy --------------------------------------------
+
+LOGGED = (
+    "ranges array<struct<range_id:int,points:bigint,last_key:string>>, "
+    f"shards array<struct<{SENT.replace('number decimal(20,0)', 'number string').replace(' ', ':').replace(',:', ',')}>>"
+)
+
+
+@dataclass
+class SentMessage(WriterCommitMessage):
+    """What one task has sent: points and last key of each of its ranges, and counts of each shard."""
+
+    ranges: dict[int, tuple[int, str]]
+    shards: dict[Any, list[int]]
+
+
+def file_system(path: str) -> tuple[pafs.FileSystem, str]:
+    """Arrow's file system for a folder that Spark reaches too."""
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = "file://" + path[len("file:") :]
+    for spark_name, name in (("s3a://", "s3://"), ("s3n://", "s3://")):
+        if path.startswith(spark_name):
+            path = name + path[len(spark_name) :]
+    return pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+
+
+class ClientWriter(DataSourceArrowWriter):
+    """Spark's writer protocol over a client: tasks send, and what they sent travels with their commit.
+
+    Only the attempt that Spark accepts has a message, so a task that failed before counts once. A job that fails
+    still hands over the messages of the tasks that ended, so what these ranges reached is kept.
+    """
+
+    def __init__(self, client_factory, batch_size: int, delay_seconds: float, log_path: str, job: str):
+        self.client_factory, self.batch_size, self.delay_seconds = client_factory, batch_size, delay_seconds
+        self.log_path, self.job = log_path, job
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> SentMessage:
+        sender, reached = Sender(self.client_factory(), self.batch_size, self.delay_seconds, by_shard=True), {}
+        for batch in iterator:
+            rows = batch.to_pylist()
+            for row in rows:
+                if RANGE_MARK in row:
+                    range_id, last = row.pop(RANGE_MARK), row.pop(KEY_MARK)
+                    points, before = reached.get(range_id, (0, last))
+                    reached[range_id] = (points + 1, later(before, last))
+            sender.send(rows)
+        sender.flush()
+        return SentMessage({r: (n, last["text"]) for r, (n, last) in reached.items()}, sender.shards)
+
+    def commit(self, messages: list[SentMessage | None]) -> None:
+        self._log(messages)
+
+    def abort(self, messages: list[SentMessage | None]) -> None:
+        self._log(messages)
+
+    def _log(self, messages: list[SentMessage | None]) -> None:
+        """One line per task that ended, in one file per job, put in place by a rename."""
+        lines = [json.dumps(logged(m)) for m in messages if isinstance(m, SentMessage)]
+        fs, folder = file_system(self.log_path)
+        fs.create_dir(folder, recursive=True)
+        with fs.open_output_stream(f"{folder}/.{self.job}") as out:
+            out.write("\n".join(lines).encode())
+        fs.move(f"{folder}/.{self.job}", f"{folder}/{self.job}.json")
+
+
+def later(a: dict, b: dict) -> dict:
+    """The larger of two keys as Spark orders them, which puts a float that is not a number last."""
+    return a if a["key"] != a["key"] or a["key"] > b["key"] else b
+
+
+def logged(message: SentMessage) -> dict:
+    return {
+        "ranges": [{"range_id": r, "points": n, "last_key": key} for r, (n, key) in message.ranges.items()],
+        "shards": [
+            {
+                "keyword": key if isinstance(key, str) else None,
+                "number": None if key is None or isinstance(key, str) else str(key),
+                "points": points, "batches": batches, "retries": retries,
+            }
+            for key, (points, batches, retries) in message.shards.items()
+        ],
+    }
+
+
 class ClientTarget:
     """An outside client as the target of a copy, shard by shard.
 
-    Each upsert appends what its tasks sent to a table at ``log_path``, so
-    evaluating the sends and recording them is one job. ``transfer`` stores the
-    progress of a job's ranges after it; with ``ranges_per_job`` an interrupted
-    copy repeats the sends of one job at most.
+    Points that carry the marks of a copy (range and key) are laid out by range, so a range is the work of one task, and
+    the later version of an id is the one that is sent. What the tasks sent is kept at ``log_path``, also when the
+    job fails; ``marks`` then has the ranges that are done. Without marks no row is moved, and ids must be unique.
+    Batches hold one shard each; a task sends a shard's points of all its ranges together.
+
+    ``client.count()``, where the client has it, is the number of points it holds.
     """
 
     def __init__(
@@ -148,19 +260,77 @@ class ClientTarget:
         batch_size: int = DEFAULT_BATCH_SIZE,
         delay_seconds: float = 0.0,
     ):
+        check_batch_size(batch_size)
+        file_system(log_path)  # an unknown kind of path fails here, before anything is sent
         self.spark, self.client_factory, self.log_path = spark, client_factory, log_path
         self.batch_size, self.delay_seconds = batch_size, delay_seconds
+        self.marks: dict[int, tuple[str, int]] = {}
+
+    def upsert(self, points: DataFrame, seq: str | None = None, ranges: int | None = None) -> int:
+        """Send one batch and return the number of its points.
+
+        ``ranges`` is the number of ranges that marked points lie in: as many tasks share them. Without it Spark may
+        put small ranges together, and a failure then repeats all ranges of a task.
+
+        With ``seq`` the highest of an id is sent; of equal ones, or without it, the row read last.
+        """
+        job, self.marks = uuid.uuid4().hex, {}
+        marked = RANGE_MARK in points.columns
+        columns = [c for c in POINT_COLUMNS if c in points.columns] + [RANGE_MARK, KEY_MARK] * marked
+        rows = points.select(*columns, *([F.col(seq).alias("_seq")] if seq else []))
+        order = ["_seq", "_arrival"] if seq else ["_arrival"]
+        if marked or seq:
+            rows = rows.withColumn("_arrival", F.monotonically_increasing_id())
+            keys = [RANGE_MARK, "id"] if marked else ["id"]
+            if marked:
+                rows = rows.repartition(*([ranges] if ranges else []), RANGE_MARK)
+            rows = keep_last(rows, keys, order)
+        if marked:
+            key = F.struct(F.col(KEY_MARK).alias("key"), F.col(KEY_MARK).cast("string").alias("text"))
+            rows = rows.withColumn(KEY_MARK, key)
+        wire = wire_points(rows.select(*columns))
+        if "shard_key" in columns:
+            wire = wire.sortWithinPartitions("shard_key")
+        writer = ClientWriter(self.client_factory, self.batch_size, self.delay_seconds, self.log_path, job)
+        try:
+            wire.write.format(_client_format(self.spark, writer)).mode("append").save()
+        finally:
+            sent = self._read_job(job)
+            self.marks = {r["range_id"]: (r["last_key"], r["points"]) for line in sent for r in line["ranges"]}
+        return sum(shard["points"] for line in sent for shard in line["shards"])
 
-    def upsert(self, points: DataFrame) -> int:
-        sends = send_batches(points, self.client_factory, self.batch_size, self.delay_seconds, by_shard=True)
-        observed = Observation()
-        counted = sends.observe(observed, F.coalesce(F.sum("points"), F.lit(0)).alias("points"))
-        counted.write.mode("append").parquet(self.log_path)
-        return observed.get["points"]
+    def _read_job(self, job: str) -> list:
+        fs, folder = file_system(self.log_path)
+        path = f"{folder}/{job}.json"
+        if fs.get_file_info(path).type == pafs.FileType.NotFound:
+            return []
+        with fs.open_input_stream(path) as stream:
+            return [json.loads(line) for line in stream.read().decode().splitlines() if line]
+
+    def count(self) -> int:
+        return self.client_factory().count()
 
     def sent(self) -> DataFrame:
         """Points, batches and retries per shard key, summed over all upserts."""
-        log = self.spark.read.schema(SENT).parquet(self.log_path)
-        return log.groupBy("keyword", "number").agg(
+        log = self.spark.read.schema(LOGGED).json(self.log_path)
+        shards = log.select(F.explode("shards").alias("s")).select("s.*")
+        number = F.col("number").cast("decimal(20,0)").alias("number")
+        return shards.groupBy("keyword", number).agg(
             *[F.sum(c).alias(c) for c in ("points", "batches", "retries")]
         )
+
+
+def _client_format(spark: SparkSession, writer: ClientWriter) -> str:
+    """Register a writer under a name of its own."""
+    format_name = f"vecflow_client_{writer.job}"
+
+    class ClientSink(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return format_name
+
+        def writer(self, schema, overwrite: bool) -> ClientWriter:
+            return writer
+
+    spark.dataSource.register(ClientSink)
+    return format_name

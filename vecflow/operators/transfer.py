@@ -24,6 +24,7 @@ from vecflow.plans.ranges import (
     range_index,
     resume_ranges,
 )
+from vecflow.schema import KEY_MARK, POINT_COLUMNS, RANGE_MARK
 
 
 def transfer(
@@ -39,16 +40,19 @@ def transfer(
     """Copy every unfinished range of ``plan`` into ``target``; returns points written.
 
     ``normalise`` makes points of source rows, routed to their shards if need be.
+    If it keeps the key column beside the point's own (see ``carry`` of the
+    readers; the key must not be named like a point's column), the source is read once: what each range reached is found in the
+    write itself. A client then also gets one task per range, and ranges that
+    ended before a failure are not sent again. Otherwise the last key of each
+    range is found first, from the key column alone, and the job copies up to it.
+    Either way progress never speaks of a key that the copy has not read.
 
     By default one job copies them all: Spark repeats lost tasks by itself.
     ``ranges_per_job`` makes several jobs with progress between them. That pays
     where key bounds spare a job most of the scan, as in a database or files
     sorted by key; the outer bounds are plain predicates that reach the scan.
 
-    A job first finds the last key of each range from the key column alone, then
-    copies up to these keys and records them. So progress never speaks of a key
-    that came after the copy had read the source; such keys wait for the next
-    call. Data is committed before progress, and an upsert repeated after a crash
+    Data is committed before progress, and an upsert repeated after a crash
     changes nothing. A null key is an error.
     """
     if ranges_per_job is not None and ranges_per_job < 1:
@@ -64,38 +68,56 @@ def transfer(
     ends = [r["end_key"] for r in resumed if r["end_key"] is not None]
     pending = [r for r in resumed if r["unfinished"]]
     written, step = 0, ranges_per_job or max(1, len(pending))
+    carried = key not in POINT_COLUMNS and key in normalise(source).columns
+
+    def record(job: list[dict], reached: dict[int, tuple[str, int]]) -> None:
+        done = [
+            (r["source_key"], r["plan_id"], r["range_id"], last, r["processed"] + count)
+            for r in job
+            for last, count in [reached.get(r["range_id"], (None, 0))]
+            if count
+        ]
+        if done:
+            columns = "source_key string, plan_id string, range_id int, last_key string, processed bigint"
+            progress.store(source.sparkSession.createDataFrame(done, columns))
+
     for first in range(0, len(pending), step):
         job = pending[first : first + step]
         mine = wanted(F.col(key), ends, job, data_type)
         if first == 0:  # no range holds a null key, so the first job looks for them
             mine = mine | F.col(key).isNull()
-        reached = last_keys(source.select(key).where(mine), key, plan)
-        job = [
-            {**r, "end_key": last, "processed": r["processed"] + count}
-            for r in job
-            for last, count in [reached.get(r["range_id"], (None, 0))]
-            if count
-        ]
-        if not job:
+        if carried:
+            target.marks = {}
+            try:
+                points = marked(normalise(source.where(mine)), key, ends, data_type)
+                options = {"ranges": len(job)} if isinstance(target, ClientTarget) else {}
+                written += target.upsert(points, **options)
+            finally:
+                record(job, target.marks)
             continue
-        written += target.upsert(normalise(source.where(wanted(F.col(key), ends, job, data_type))))
-        columns = ["source_key", "plan_id", "range_id", "end_key", "processed"]
-        done = [tuple(r[c] for c in columns) for r in job]
-        progress.store(
-            source.sparkSession.createDataFrame(
-                done,
-                "source_key string, plan_id string, range_id int, last_key string, processed bigint",
-            )
-        )
+        reached = last_keys(source.select(key).where(mine), key, plan)
+        ended = [{**r, "end_key": reached[r["range_id"]][0]} for r in job if r["range_id"] in reached]
+        if ended:
+            written += target.upsert(normalise(source.where(wanted(F.col(key), ends, ended, data_type))))
+            record(job, reached)
     return written
 
 
+def marked(points: DataFrame, key: str, ends: Sequence[str], data_type: T.DataType) -> DataFrame:
+    """Points with the marks of a copy, made of the key column they carry. A null key is an error."""
+    plain, bound_type = plain_key(F.col(key), data_type), plain_type(data_type)
+    missing = F.raise_error(F.lit(f"missing key in column {key}")).cast(bound_type)
+    return points.withColumns(
+        {RANGE_MARK: range_index(plain, ends, bound_type).cast("int"), KEY_MARK: F.coalesce(plain, missing)}
+    ).drop(key)
+
+
 def copy_collection(
     source: DataFrame,
     key: str,
     plan: DataFrame,
     normalise: Callable[[DataFrame], DataFrame],
-    target: StoredCollection,
+    target: StoredCollection | ClientTarget,
     progress: ProgressTable,
     spec: DataFrame,
     routed: bool = False,
@@ -122,7 +144,8 @@ def copy_collection(
             f"the target's is {wrong['declared_size']}"
         )
     transfer(source, key, plan, normalise, target, progress, ranges_per_job, restart)
-    counts = source.count(), target.points().count()
+    held = target.count() if isinstance(target, ClientTarget) else target.points().count()
+    counts = source.count(), held
     if counts[0] == counts[1]:
         for row in plan.select("source_key", "plan_id").distinct().collect():
             progress.clear(row["source_key"], row["plan_id"])

@@ -302,7 +302,7 @@ def transfer_ranges(spark: SparkSession, folder: str) -> DataFrame:
         orders,
         "o_orderkey",
         _plan(spark, folder),
-        lambda rows: from_table(rows, "o_orderkey"),
+        lambda rows: from_table(rows, "o_orderkey", carry=["o_orderkey"]),
         target,
         tracking.ProgressTable(spark, scratch_path(spark, "progress")),
         ranges_per_job=SAMPLES // 2 + 1,
@@ -321,7 +321,7 @@ def transfer_restarted(spark: SparkSession, folder: str) -> DataFrame:
             _orders(spark, folder),
             "o_orderkey",
             plan,
-            lambda rows: from_table(rows, "o_orderkey"),
+            lambda rows: from_table(rows, "o_orderkey", carry=["o_orderkey"]),
             target,
             progress,
             restart=restart,
@@ -352,7 +352,7 @@ def transfer_to_client(spark: SparkSession, folder: str) -> DataFrame:
     progress = tracking.ProgressTable(spark, scratch_path(spark, "progress"))
 
     def routed(rows: DataFrame) -> DataFrame:
-        return routing.route(from_table(rows, "event_id"), field="user_id")
+        return routing.route(from_table(rows, "event_id", carry=["event_id"]), field="user_id")
 
     transfer(events, "event_id", plan, routed, target, progress, ranges_per_job=SAMPLES // 2 + 1)
     by_range = progress.load().select(
@@ -403,7 +403,7 @@ def copy_lifecycle(spark: SparkSession, folder: str) -> DataFrame:
         rows,
         "vec_id",
         ranges.save_plan(plan, scratch_path(spark, "plan")),
-        lambda part: from_table(part, "vec_id"),
+        lambda part: from_table(part, "vec_id", carry=["vec_id"]),
         target,
         progress,
         spec,
@@ -466,7 +466,7 @@ def incremental_final_state(spark: SparkSession, folder: str) -> DataFrame:
         read_new_files(spark, arrivals, orders.schema, files_per_batch=2),
         target,
         scratch_path(spark, "checkpoint"),
-        normalise=lambda rows: from_table(rows, "o_orderkey"),
+        normalise=lambda rows: from_table(rows, "o_orderkey", carry=["o_orderkey"]),
     )
     stream.awaitTermination()
     return _order_columns(target.points())

@@ -10,6 +10,9 @@ UNNAMED = ""
 ID_FIELD = "__id__"
 DOCUMENT_FIELD = "document"
 
+#: Columns that a copy adds to its points: the range a point's key lies in, and the key in a form that keeps its order.
+RANGE_MARK, KEY_MARK = "_range", "_key"
+
 ID = "struct<num:decimal(20,0),uuid:string>"
 SHARD_KEY = "struct<keyword:string,num:decimal(20,0)>"
 DENSE = "map<string,array<float>>"
