@@ -40,6 +40,21 @@ class StoredCollection:
         """Current points, one row per id."""
         return self._current(self._folders()).select(*POINT_COLUMNS)
 
+    def fetch(self, ids: DataFrame) -> DataFrame:
+        """Current points of the listed ids (a column ``id``), in full; an id that is not stored is left out.
+
+        The bucket of a point is known from its id, so only the folders of buckets that a listed id falls into are
+        read. The numbers of those buckets, at most ``buckets``, are all that reaches the driver; ``ids`` is evaluated
+        once for them and once for the join. A list that is small by Spark's own estimate is broadcast; a long one
+        meets the stored rows by bucket and id.
+        """
+        wanted = ids.select("id").where(F.col("id").isNotNull()).distinct()
+        wanted = wanted.withColumn("bucket", self.bucket_of(F.col("id")))
+        buckets = {r["bucket"] for r in wanted.select("bucket").distinct().collect()}
+        folders = [restricted(folder, buckets & set(folder["buckets"])) for folder in self._folders()]
+        stored = self._current([folder for folder in folders if folder["buckets"]])
+        return stored.join(wanted, ["bucket", "id"], "left_semi").select(*POINT_COLUMNS)
+
     def _folders(self) -> list[dict]:
         state = self._latest_commit()
         return state["folders"] if state else []

@@ -258,6 +258,57 @@ def assign_range(points: DataFrame, key: str, plan: DataFrame) -> DataFrame:
     return points.withColumn("range_id", index)
 
 
+#: Cells that a large plan is cut into; their lower bounds and sizes are all that reaches the driver.
+CELLS = 1024
+#: Parts that the rows are spread over at least, so that a cell with many rows is several tasks.
+SPREAD = 512
+
+
+def assign_range_merged(
+    points: DataFrame, key: str, plan: DataFrame, cells: int = CELLS, spread: int = SPREAD
+) -> DataFrame:
+    """``assign_range`` for a plan of any size: keys and bounds are sorted together and merged.
+
+    The plan is cut into cells of equally many ranges. A row finds its cell among their bounds, a constant of at most
+    ``cells`` values; inside a cell, rows and bounds are put in key order, and the last bound before a row says which
+    range it lies in. A cell knows the number of its first range, so nothing is carried from one cell to the next. A
+    cell that holds much of the rows (one key may) is dealt to several tasks, each with all bounds of the cell.
+    """
+    data_type = points.schema[key].dataType
+    bound_type = plain_type(data_type)
+    ranges = plan.count()
+    size = max(1, -(-ranges // cells))
+    first = plan.where(F.col("range_id") % size == 0).where("range_id > 0").select("range_id", "start_key")
+    starts = [r["start_key"] for r in first.orderBy("range_id").collect()]
+    plain = plain_key(F.col(key), data_type)
+    located = points.withColumns({"_plain": plain, "_cell": F.coalesce(range_index(plain, starts, bound_type), F.lit(0))})
+
+    counts = {r["_cell"]: r["count"] for r in located.groupBy("_cell").count().collect()}
+    share = max(1, sum(counts.values()) // spread)
+    parts = [max(1, -(-counts.get(i, 0) // share)) for i in range(len(starts) + 1)]
+    of_cell = F.get(constant_array(parts, T.IntegerType()), F.col("_cell"))
+    dealt = located.withColumn("_part", F.pmod(F.monotonically_increasing_id(), of_cell).cast("int"))
+
+    bounds = plan.where(F.col("end_key").isNotNull()).select(
+        F.col("end_key").cast(bound_type).alias("_plain"),
+        F.floor(F.col("range_id") / size).cast("int").alias("_cell"),
+        F.col("range_id").alias("_bound"),
+    )
+    copies = F.sequence(F.lit(0), of_cell - 1)
+    bounds = bounds.withColumn("_part", F.explode(copies))
+    both = dealt.withColumn("_bound", F.lit(None).cast("int")).unionByName(bounds, allowMissingColumns=True)
+    # A bound ends its range and belongs to it, so at equal keys the rows come first. Null keys lie below all bounds.
+    in_order = (
+        Window.partitionBy("_cell", "_part")
+        .orderBy(F.col("_plain").asc_nulls_first(), F.col("_bound").isNotNull())
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    below = F.last("_bound", ignorenulls=True).over(in_order)
+    found = both.withColumn("_below", below).where(F.col("_bound").isNull())
+    range_id = F.coalesce(F.col("_below") + 1, F.col("_cell") * size).cast("int")
+    return found.withColumn("range_id", range_id).select(*points.columns, "range_id")
+
+
 def range_partition(points: DataFrame, key: str, plan: DataFrame) -> DataFrame:
     """Rows laid out so that a task holds rows of few ranges.
 
@@ -276,16 +327,35 @@ def range_stats(points: DataFrame, key: str) -> DataFrame:
     )
 
 
-def batch_number(points: DataFrame, key: str, n: int) -> DataFrame:
+def batch_number(points: DataFrame, key: str, n: int, parts: int | None = None) -> DataFrame:
     """Number consecutive batches of at most ``n`` points in key order within a range.
 
-    Keys are unique in a collection, so a range stays as large as the plan made it.
+    Keys are unique in a collection, so a range stays as large as the plan made it. Where one range can hold much of the
+    rows, ``parts`` says into how many parts the keys are cut (by sampled keys): the parts of a range are numbered
+    apart, and each goes on from the number of rows in the parts before it. Two narrow passes over the keys find these.
     """
     if n < 1:
-        raise ValueError(f"batch size must be greater than 0, got {n}")
-    in_order = Window.partitionBy("range_id").orderBy(key)
-    row = F.row_number().over(in_order)
-    return points.withColumn("batch", F.floor((row - 1) / n).cast("bigint"))
+        raise ValueError(f"batches of {n} points: the size must be greater than 0")
+    if parts is not None and parts < 1:
+        raise ValueError("the keys must be cut into one part at least")
+    if parts is None:
+        row = F.row_number().over(Window.partitionBy("range_id").orderBy(key))
+        return points.withColumn("batch", F.floor((row - 1) / n).cast("bigint"))
+    data_type = points.schema[key].dataType
+    sample = [r[0] for r in sample_keys(points, key, parts * SAMPLES_PER_WORKER).select(key_as_text(F.col(key), data_type)).collect()]
+    bounds = [sample[i * len(sample) // parts] for i in range(1, parts)] if len(sample) >= parts else sample
+    part = range_index(plain_key(F.col(key), data_type), bounds, plain_type(data_type))
+    cut = points.withColumn("_part", F.coalesce(part, F.lit(0)))
+    before = F.sum("_rows").over(
+        Window.partitionBy("range_id").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    # A row for each range and part that meet: ranges and parts are both cuts of the keys, so their numbers add up.
+    offsets = cut.groupBy("range_id", "_part").agg(F.count(F.lit(1)).alias("_rows"))
+    offsets = offsets.select("range_id", "_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    row = F.row_number().over(Window.partitionBy("range_id", "_part").orderBy(key))
+    numbered = cut.withColumn("_row", row).join(offsets, ["range_id", "_part"])
+    batch = F.floor((F.col("_before") + F.col("_row") - 1) / n).cast("bigint")
+    return numbered.withColumn("batch", batch).select(*points.columns, "batch")
 
 
 def resume_ranges(plan: DataFrame, progress: DataFrame) -> DataFrame:

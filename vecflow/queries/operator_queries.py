@@ -547,6 +547,12 @@ def reconcile_report(spark: SparkSession, folder: str) -> DataFrame:
     return verify.reconcile_report(*_both_sides(spark, folder))
 
 
+@query(f"WITH {_COMPARED_SQL} SELECT status, count(*) AS points FROM compared GROUP BY status")
+def reconcile_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """The same report by sums per bucket, and id by id where these differ."""
+    return verify.reconcile_by_buckets(*_both_sides(spark, folder), buckets=512)
+
+
 @query(
     f"""
     SELECT {uuid5_sql("CAST(o_orderkey AS VARCHAR)")} AS id,

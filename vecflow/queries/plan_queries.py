@@ -436,7 +436,19 @@ def assign_range_timestamp(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select("event_id", "user_id", instant)
     plan = ranges.ranges_all_samples(events.groupBy("user_id").agg(F.max("at").alias("at")), "at", "events")
     plan = ranges.save_plan(plan, scratch_path(spark, "plan"))
-    return ranges.assign_range(events, "at", plan).select("event_id", "range_id")
+    return ranges.assign_range_merged(events, "at", plan).select("event_id", "range_id")
+
+
+@query(
+    """
+    SELECT o_orderkey, range_id, CAST((row_number() OVER (PARTITION BY range_id ORDER BY o_orderkey) - 1) // 100 AS BIGINT) AS batch
+    FROM (SELECT o_orderkey, CAST(o_custkey % 10 = 0 AS INTEGER) AS range_id FROM orders)
+    """
+)
+def batch_number_hot(spark: SparkSession, folder: str) -> DataFrame:
+    """Batches of two ranges, one of which holds nine tenths of the orders and is numbered in parts."""
+    orders = _orders(spark, folder).select("o_orderkey", (F.col("o_custkey") % 10 == 0).cast("int").alias("range_id"))
+    return ranges.batch_number(orders, "o_orderkey", 100, parts=32)
 
 
 @query(

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecflow.functions import ids, vectors
+from vecflow.operators.collection import StoredCollection
 from vecflow.plans.ranges import plan_ranges, plan_rows
 from vecflow.queries.registry import (
     VECTOR_ROWS_SQL,
@@ -636,3 +637,24 @@ def fetch_by_ids_query(spark: SparkSession, folder: str) -> DataFrame:
         field("lang", "string").alias("lang"),
         F.md5(field("text", "string")).alias("text_md5"),
     )
+
+
+@query(
+    f"""
+    SELECT {uuid5_sql("CAST(doc_id AS VARCHAR)")} AS id, doc_id, lang, md5(text) AS text_md5
+    FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)
+    """
+)
+def fetch_from_collection(spark: SparkSession, folder: str) -> DataFrame:
+    """The labelled documents out of a stored collection, by the buckets of their ids."""
+    target = StoredCollection(spark, scratch_path(spark, "collection"), buckets=16)
+    target.upsert(table_points(table(spark, folder, "documents"), "doc_id"))
+    listed = table(spark, folder, "labels").select(
+        ids.text_id(F.col("doc_id").cast("string")).alias("id")
+    )
+    return target.fetch(listed).select(
+        point_uuid(),
+        field("doc_id", "bigint").alias("doc_id"),
+        field("lang", "string").alias("lang"),
+        F.md5(field("text", "string")).alias("text_md5"),
+    )
