@@ -66,7 +66,7 @@ def test_a_wrong_size_or_sharding_stops_before_any_write(spark, tmp_path):
     copy = Copy(spark, tmp_path)
     with pytest.raises(ValueError, match="has size 3, the target's is 4"):
         copy.run(catalog_row(spark, {"v": (4, "dot")}))
-    with pytest.raises(Exception, match="must use custom sharding"):
+    with pytest.raises(Exception, match="its sharding is not custom"):
         copy.run(catalog_row(spark, {"v": (3, "dot")}), routed=True)
     with pytest.raises(ValueError, match="does not exist"):
         copy.run(catalog_row(spark, {}).limit(0))

@@ -215,6 +215,17 @@ def test_chroma_page(spark):
     assert points[1] == ({"": [2.0]}, None, {"__id__": "2"})
 
 
+@pytest.mark.parametrize("embeddings,fine", [([[1.0]], False), ([[1.0], [2.0]], True), ([], True), (None, True), ([None, [2.0]], True)])
+def test_chroma_embeddings_come_for_all_ids_or_none(spark, embeddings, fine):
+    schema = "ids array<string>, embeddings array<array<float>>, documents array<string>, metadatas array<struct<a int>>"
+    points = stores.from_chroma_get(spark.createDataFrame([(["1", "2"], embeddings, ["x"], None)], schema))
+    if fine:
+        assert points.count() == 2 and len(points.collect()) == 2
+    else:
+        with pytest.raises(Exception, match="embeddings are fewer than ids"):
+            points.collect()
+
+
 def test_chroma_page_without_an_array_keeps_its_records(spark):
     pages = spark.sql(
         "SELECT array('1','2') AS ids, array(array(1f), array(2f)) AS embeddings, "

@@ -80,7 +80,7 @@ def _mapping_params(
         F.explode(F.variant_get(document, "$", FIELDS)).alias("collection", "_index")
     )
     properties = F.try_variant_get("_index", "$.mappings.properties", FIELDS)
-    broken = F.concat(F.lit("invalid mapping structure of index "), F.col("collection"))
+    broken = F.concat(F.lit("no field properties in the mapping of index "), F.col("collection"))
     fields = indexes.select(
         "collection", F.explode(F.coalesce(properties, _stop(broken, FIELDS))).alias("name", "_def")
     )
@@ -90,7 +90,7 @@ def _mapping_params(
     number = F.when(
         F.schema_of_variant(size).rlike(r"^(BIGINT|DOUBLE|DECIMAL\(\d+,\d+\))$"),
         F.try_variant_get(size, "$", "double").cast("bigint"),
-    ).otherwise(_stop(F.concat(F.lit("invalid dimension type for field "), F.col("name")), "bigint"))
+    ).otherwise(_stop(F.concat(F.lit("the number of dimensions is not a number: field "), F.col("name")), "bigint"))
     known = lookup(table, declared)
     return fields.where((kind == field_type) & size.isNotNull()).select(
         "collection",
@@ -116,7 +116,7 @@ def params_from_os_mapping(mappings: DataFrame, column: str = "mapping") -> Data
 def check_distances(overrides: Mapping[str, str]) -> None:
     for name, distance in overrides.items():
         if distance not in DISTANCES:
-            raise ValueError(f"invalid distance metric {distance!r} for vector {name!r}")
+            raise ValueError(f"vector {name!r} cannot be compared by {distance!r}")
 
 
 def params_from_fields(
@@ -132,7 +132,7 @@ def params_from_fields(
     dim = F.col("type_params")["dim"]
     size = F.when(dim.rlike(r"^[0-9]+\z"), dim.try_cast("bigint"))
     size = F.coalesce(
-        size, _stop(F.concat(F.lit("failed to parse vector dimension of "), F.col("name")), "bigint")
+        size, _stop(F.concat(F.lit("no whole number of dimensions for field "), F.col("name")), "bigint")
     )
     chosen = lookup(overrides, F.col("name")) if overrides else F.lit(None).cast("string")
     return fields.where(F.col("data_type") == "FloatVector").select(
@@ -160,10 +160,10 @@ def params_single(indexes: DataFrame, strict: bool = True) -> DataFrame:
     )
     problem = F.when(
         (source == "s3_vectors") & distance.isNull(),
-        F.concat(F.lit("unsupported distance metric: "), F.coalesce("metric", F.lit("none"))),
+        F.concat(F.lit("no counterpart for the distance "), F.coalesce("metric", F.lit("none"))),
     ).when(
         (source == "pinecone") & ~vector_type.isin(*PINECONE_VECTOR_TYPES),
-        F.concat(F.lit("unsupported vector type: "), vector_type),
+        F.concat(F.lit("neither a dense nor a sparse index: "), vector_type),
     )
     distance = F.when(vector_type == "dense", distance)
     if strict:
@@ -282,6 +282,6 @@ def check_routable(spec: DataFrame) -> DataFrame:
     message = F.concat(
         F.lit("target collection "),
         F.col("name"),
-        F.lit(" must use custom sharding when a target shard key is configured"),
+        F.lit(" takes no shard keys: its sharding is not custom"),
     )
     return spec.where(F.when(custom, F.lit(True)).otherwise(_stop(message, "boolean")))

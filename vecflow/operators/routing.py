@@ -16,9 +16,9 @@ def check_route_options(
 ) -> None:
     """A fixed key and a key field exclude each other; a copy needs two collections."""
     if fixed and field:
-        raise ValueError("a fixed shard key and a shard key field cannot both be given")
+        raise ValueError("give either a fixed shard key or a field to take it from")
     if source is not None and source == target:
-        raise ValueError("source and target collections must differ")
+        raise ValueError("a collection cannot be copied onto itself")
 
 
 def _shard(keyword: Column | None = None, number: Column | None = None) -> Column:
@@ -55,12 +55,12 @@ def route_error(payload: Column, field: str, point_id: Column) -> Column:
     """Why a point cannot be routed by ``field``; null when it can."""
     value = payload_value(payload, field)
     prefix = F.concat(
-        F.lit("cannot route point "), id_text(point_id), F.lit(f": payload field {field} ")
+        F.lit("no shard for point "), id_text(point_id), F.lit(f": field {field} ")
     )
     missing = value.isNull()
     return F.when(missing, F.concat(prefix, F.lit("is missing"))).when(
         field_shard(payload, field).isNull(),
-        F.concat(prefix, F.lit("must be a non-empty string or non-negative integer")),
+        F.concat(prefix, F.lit("holds neither text nor a number from 0 on")),
     )
 
 

@@ -262,7 +262,7 @@ _METRIC_SQL = """CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'cosine' WHEN 'BUILDIN
                      WHEN metric IS NULL AND source = 'chroma' THEN 'euclid'
                      WHEN metric IS NULL THEN 'cosine' END END AS distance,
       CASE WHEN source = 's3_vectors' AND (metric IS NULL OR metric NOT IN ('cosine', 'euclidean'))
-           THEN 'unsupported distance metric: ' || coalesce(metric, 'none') END AS problem,
+           THEN 'no counterpart for the distance ' || coalesce(metric, 'none') END AS problem,
       CAST(c_nationkey + 1 AS BIGINT) AS size
     FROM d
     """
@@ -435,8 +435,8 @@ def route_by_field(spark: SparkSession, folder: str) -> DataFrame:
     SELECT event_id, CASE WHEN event_type = 'click' THEN event_type ELSE 'none' END AS keyword,
            CASE WHEN event_type = 'view' THEN user_id ELSE -1 END AS number,
            CASE WHEN event_type IN ('click', 'view') THEN 'none' ELSE
-             'cannot route point ' || event_id || ': payload field shard must be a non-empty string '
-             || 'or non-negative integer' END AS reason
+             'no shard for point ' || event_id || ': field shard '
+             || 'holds neither text nor a number from 0 on' END AS reason
     FROM events
     """
 )

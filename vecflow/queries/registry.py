@@ -33,13 +33,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def vector_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Every vector with the document it belongs to."""
-    vectors = table(spark, folder, "embeddings")
+    """Every document and every vector, side by side where their ids agree; either may lack the other."""
+    vectors = table(spark, folder, "embeddings").withColumnRenamed("vec_id", "_vec_id")
     documents = table(spark, folder, "documents")
-    return vectors.join(documents, vectors["vec_id"] == documents["doc_id"])
+    both = vectors.join(documents, vectors["_vec_id"] == documents["doc_id"], "full_outer")
+    return both.withColumn("vec_id", F.coalesce("_vec_id", "doc_id")).drop("_vec_id")
 
 
-VECTOR_ROWS_SQL = "embeddings JOIN documents ON vec_id = doc_id"
+VECTOR_ROWS_SQL = """(
+      SELECT coalesce(vec_id, doc_id) AS vec_id, embedding, label, doc_id, text, lang, source, n_chars
+      FROM embeddings FULL JOIN documents ON vec_id = doc_id)"""
+
+
+def required_vector_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector, with its document where there is one: for formats whose records must have a vector."""
+    return vector_rows(spark, folder).where(F.col("embedding").isNotNull())
+
+
+REQUIRED_VECTOR_ROWS_SQL = "embeddings LEFT JOIN documents ON vec_id = doc_id"
 
 
 def vec_sum(vector: Column) -> Column:
@@ -52,8 +63,8 @@ def vec_sum(vector: Column) -> Column:
 
 def vec_sum_sql(vector: str) -> str:
     return (
-        f"CAST(coalesce(list_sum(list_transform({vector}, "
-        "lambda x, i: CAST(floor(CAST(x AS DOUBLE) * 1e6) AS BIGINT) * i)), 0) AS BIGINT)"
+        f"CASE WHEN {vector} IS NOT NULL THEN CAST(coalesce(list_sum(list_transform({vector}, "
+        "lambda x, i: CAST(floor(CAST(x AS DOUBLE) * 1e6) AS BIGINT) * i)), 0) AS BIGINT) END"
     )
 
 

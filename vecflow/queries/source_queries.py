@@ -13,6 +13,7 @@ from vecflow.functions import ids, vectors
 from vecflow.operators.collection import StoredCollection
 from vecflow.plans.ranges import plan_ranges, plan_rows
 from vecflow.queries.registry import (
+    REQUIRED_VECTOR_ROWS_SQL,
     VECTOR_ROWS_SQL,
     field,
     has_field,
@@ -23,6 +24,7 @@ from vecflow.queries.registry import (
     uuid5_sql,
     vec_sum,
     vec_sum_sql,
+    required_vector_rows,
     vector_rows,
 )
 from vecflow.scratch import scratch_path
@@ -168,17 +170,20 @@ def _document_columns(points: DataFrame, *extra) -> DataFrame:
     )
 
 
-def _document_sql(names: str, empty_kept: str, extra: str = "") -> str:
+def _document_sql(other_vectors: str, empty_kept: str, extra: str = "") -> str:
+    """The same columns; ``other_vectors`` are the names of vectors that a record without its own still has."""
+    names = ",".join(filter(None, [other_vectors, "vector"]))
     return f"""
-    SELECT {uuid5_sql(DOC_ID_SQL)} AS id, {DOC_ID_SQL} AS original_id, '{names}' AS vector_names,
+    SELECT {uuid5_sql(DOC_ID_SQL)} AS id, {DOC_ID_SQL} AS original_id,
+           CASE WHEN embedding IS NULL THEN '{other_vectors}' ELSE '{names}' END AS vector_names,
            CAST(len(embedding) AS BIGINT) AS dim, {vec_sum_sql("embedding")} AS vec_sum,
            lang AS doc, n_chars AS n, md5(text) AS text_md5,
-           true AS mixed_kept, {empty_kept} AS empty_kept {extra}
+           n_chars IS NOT NULL AS mixed_kept, {empty_kept} AS empty_kept {extra}
     FROM {VECTOR_ROWS_SQL}
     """
 
 
-@query(_document_sql("vector", "true"))
+@query(_document_sql("", "true"))
 def from_es_hits(spark: SparkSession, folder: str) -> DataFrame:
     hits = vector_rows(spark, folder).select(
         _doc_id().alias("_id"), F.parse_json(_record_json()).alias("_source")
@@ -186,7 +191,7 @@ def from_es_hits(spark: SparkSession, folder: str) -> DataFrame:
     return _document_columns(es_points(hits))
 
 
-@query(_document_sql("vector", "true"))
+@query(_document_sql("", "true"))
 def from_es_hits_struct(spark: SparkSession, folder: str) -> DataFrame:
     """The same records with a static schema: the split is decided without looking at values."""
     rows = vector_rows(spark, folder)
@@ -195,7 +200,7 @@ def from_es_hits_struct(spark: SparkSession, folder: str) -> DataFrame:
         F.col("lang").alias("doc"),
         "text",
         F.col("n_chars").alias("n"),
-        F.array(F.col("n_chars").cast("string"), F.lit("a")).alias("mixed"),
+        F.when(F.col("n_chars").isNotNull(), F.array(F.col("n_chars").cast("string"), F.lit("a"))).alias("mixed"),
         F.array().cast("array<float>").alias("empty"),
     )
     return _document_columns(es_points(rows.select(_doc_id().alias("_id"), source.alias("_source"))))
@@ -203,7 +208,8 @@ def from_es_hits_struct(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     f"""
-    SELECT {uuid5_sql(DOC_ID_SQL)} AS id, 'extra,vector' AS vector_names,
+    SELECT {uuid5_sql(DOC_ID_SQL)} AS id,
+           CASE WHEN embedding IS NULL THEN '' ELSE 'extra,vector' END AS vector_names,
            {vec_sum_sql("list_reverse(embedding)")} AS vector_sum,
            {vec_sum_sql("embedding")} AS extra_sum, false AS note_kept
     FROM {VECTOR_ROWS_SQL}
@@ -229,7 +235,7 @@ def es_fields_overlay(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query(_document_sql("empty,vector", "false"))
+@query(_document_sql("empty", "false"))
 def from_os_hits(spark: SparkSession, folder: str) -> DataFrame:
     hits = vector_rows(spark, folder).select(
         _doc_id().alias("_id"), _record_json().alias("_source")
@@ -237,7 +243,7 @@ def from_os_hits(spark: SparkSession, folder: str) -> DataFrame:
     return _document_columns(os_points(hits))
 
 
-@query(_document_sql("empty,vector", "false", f", {DOC_ID_SQL} AS id_in_payload"))
+@query(_document_sql("empty", "false", f", {DOC_ID_SQL} AS id_in_payload"))
 def from_solr_docs(spark: SparkSession, folder: str) -> DataFrame:
     docs = vector_rows(spark, folder).select(_record_json(_doc_id().alias("id")).alias("doc"))
     return _document_columns(solr_points(docs), field("id", "string").alias("id_in_payload"))
@@ -282,7 +288,7 @@ _OBJECT_ID_SQL = "lpad(lower(to_hex(vec_id)), 24, '0')"
     f"""
     SELECT {uuid5_sql(f"'ObjectID(\"' || {_OBJECT_ID_SQL} || '\")'")} AS id,
            'ObjectID("' || {_OBJECT_ID_SQL} || '")' AS original_id,
-           'image,text' AS vector_names,
+           CASE WHEN embedding IS NULL THEN '' ELSE 'image,text' END AS vector_names,
            {vec_sum_sql("embedding")} AS text_sum, {vec_sum_sql("list_reverse(embedding)")} AS image_sum,
            CAST(2 AS BIGINT) AS integers, CAST(len(embedding) AS BIGINT) AS unlisted,
            false AS native_id_kept, md5(text) AS text_md5
@@ -326,18 +332,16 @@ def from_mongo_docs(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def from_redis_hashes(spark: SparkSession, folder: str) -> DataFrame:
+    parts = {
+        "content": F.encode("text", "UTF-8"),
+        "genre": F.encode("lang", "UTF-8"),
+        "chars": F.encode(F.col("n_chars").cast("string"), "UTF-8"),
+        "embedding": vectors.floats_to_bytes(F.col("embedding")),
+    }
+    fields = F.create_map(*[x for name, value in parts.items() for x in (F.lit(name), value)])
     hashes = vector_rows(spark, folder).select(
         F.concat(F.lit("doc:"), F.col("vec_id").cast("string")).alias("key"),
-        F.create_map(
-            F.lit("content"),
-            F.encode("text", "UTF-8"),
-            F.lit("genre"),
-            F.encode("lang", "UTF-8"),
-            F.lit("chars"),
-            F.encode(F.col("n_chars").cast("string"), "UTF-8"),
-            F.lit("embedding"),
-            vectors.floats_to_bytes(F.col("embedding")),
-        ).alias("fields"),
+        F.map_filter(fields, lambda _, value: value.isNotNull()).alias("fields"),
     )
     types = {"content": "TEXT", "genre": "TAG", "chars": "NUMERIC", "embedding": "VECTOR"}
     return redis_points(hashes, types).select(
@@ -354,11 +358,11 @@ def from_redis_hashes(spark: SparkSession, folder: str) -> DataFrame:
     f"""
     SELECT upper({uuid5_sql(DOC_ID_SQL)}) AS id, {vec_sum_sql("embedding")} AS vec_sum,
            lang AS genre, md5(text) AS content_md5, false AS control_kept
-    FROM {VECTOR_ROWS_SQL}
+    FROM {REQUIRED_VECTOR_ROWS_SQL}
     """
 )
 def from_weaviate_objects(spark: SparkSession, folder: str) -> DataFrame:
-    objects = vector_rows(spark, folder).select(
+    objects = required_vector_rows(spark, folder).select(
         F.struct(
             F.upper(ids.uuid5(_doc_id())).alias("id"),
             F.col("embedding").cast("array<double>").alias("vector"),
@@ -378,7 +382,7 @@ def from_weaviate_objects(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     f"""
     SELECT {uuid5_sql("CAST(vec_id AS VARCHAR)")} AS id, CAST(vec_id AS VARCHAR) AS original_id,
-           '' AS vector_names, {vec_sum_sql("embedding")} AS vec_sum, source, n_chars
+           CAST(embedding IS NOT NULL AS BIGINT) AS vectors, {vec_sum_sql("embedding")} AS vec_sum, source, n_chars
     FROM {VECTOR_ROWS_SQL}
     """
 )
@@ -391,7 +395,7 @@ def from_pinecone_dense(spark: SparkSession, folder: str) -> DataFrame:
     return from_pinecone(records).select(
         point_uuid(),
         field("__id__", "string").alias("original_id"),
-        names_of(F.col("dense")).alias("vector_names"),
+        F.size("dense").cast("bigint").alias("vectors"),
         vec_sum(F.col("dense")[""]).alias("vec_sum"),
         field("source", "string").alias("source"),
         field("n_chars", "bigint").alias("n_chars"),
@@ -438,11 +442,11 @@ def from_pinecone_sparse(spark: SparkSession, folder: str) -> DataFrame:
     SELECT {uuid5_sql("'vector-' || vec_id")} AS id, 'vector-' || vec_id AS original_id,
            {vec_sum_sql("embedding")} AS vec_sum, CAST(label AS BIGINT) AS age, 'BIGINT' AS age_kind,
            n_chars / 4 AS ratio, lang AS city
-    FROM {VECTOR_ROWS_SQL}
+    FROM {REQUIRED_VECTOR_ROWS_SQL}
     """
 )
 def from_s3_vectors(spark: SparkSession, folder: str) -> DataFrame:
-    records = vector_rows(spark, folder).select(
+    records = required_vector_rows(spark, folder).select(
         F.concat(F.lit("vector-"), F.col("vec_id").cast("string")).alias("key"),
         F.col("embedding").alias("data"),
         F.struct(
@@ -501,12 +505,12 @@ def from_chroma_get(spark: SparkSession, folder: str) -> DataFrame:
     f"""
     SELECT CAST(vec_id AS VARCHAR) AS id, {vec_sum_sql("embedding")} AS vec_sum,
            CAST(label AS BIGINT) AS label, lang AS color, false AS key_kept
-    FROM {VECTOR_ROWS_SQL}
+    FROM {REQUIRED_VECTOR_ROWS_SQL}
     """
 )
 def from_milvus_columns(spark: SparkSession, folder: str) -> DataFrame:
     pages = _pages(
-        vector_rows(spark, folder),
+        required_vector_rows(spark, folder),
         pk=F.col("vec_id"),
         vector=F.col("embedding"),
         label=F.col("label"),

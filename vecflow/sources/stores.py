@@ -124,9 +124,12 @@ def from_chroma_get(
 ) -> DataFrame:
     """Pages of parallel arrays ``(ids, embeddings, documents, metadatas)``, one row per record.
 
-    A page may lack any array but the ids, or have a shorter one; its records then lack that part.
+    A page may lack any array but the ids; its records then lack that part, as do those past the end of a shorter
+    array of documents or metadata. Embeddings come for all ids of a page or for none: fewer stop the job.
     """
     names = ("ids", "embeddings", "documents", "metadatas")
+    held = F.size(F.coalesce(F.col("embeddings"), F.array().cast(pages.schema["embeddings"].dataType)))
+    pages = check_records(pages, [Rule("embeddings are fewer than ids", (held > 0) & (held < F.size("ids")))])
     present = [F.coalesce(c, F.array().cast(pages.schema[c].dataType)).alias(c) for c in names]
     rows = pages.select(*present).select(F.inline(F.arrays_zip(*names)))
     fields = _metadata_fields(rows, "metadatas")
