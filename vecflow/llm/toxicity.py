@@ -1,14 +1,18 @@
 """Toxicity by a weighted grammar over clauses.
 
-A text is cut into clauses. Transducers read a clause's words one after the other: the lexicon writes an insult or a
-threat with its weight, the target transducer marks that somebody is addressed, negation and reported speech open a
-scope in which what follows is written as negated or quoted. Their composition gives each clause one weight for every
-class in ``CLASSES``; the text has the sum of its clauses' strongest hits per class and its single strongest clause.
+A text is cut into clauses. The lexicon writes a symbol for each word: an insult or a threat with its weight, a target,
+a negation, a word of speech, a quotation mark. Three transducers read these symbols: negation writes the hits in its
+scope as negated, reported speech writes what is quoted as such, and the target transducer marks a clause that addresses
+somebody. Their composition, one table of arcs, gives each clause one weight for every class in ``CLASSES``; the
+text has its strongest clause per class and the logarithm of the sum of its clauses.
 
 Insults are learned: for words and word beginnings, the log odds of the labelled toxic documents that have them
 against the others. Weights of the classes come from a logistic regression on the same labelled rows, so whether
 negation or quotation weakens an insult is learned too. Threat, target, negation and speech words are given lists.
 
+Both are fitted on at most about ``LABELLED`` labelled rows, all of them where there are fewer; more are chosen by a hash
+of the id. These alone are written; every text is scored in one pass, and no text crosses the network.
+
 * A null text is an empty text; it has the score of a text without any hit.
 * Labels are used from rows that ``use`` selects; null labels are left out. Repeated labels count as often as they occur.
 * Without any toxic or any other label, every score is the prior of the labels, or 0 if there is none.
@@ -27,13 +31,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from vecflow.llm.common import Bounded, map_texts, slices, texts_of
+from vecflow.llm.transducers import Transducer, compose
 from vecflow.scratch import materialize
 
 CLAUSES = re.compile(r"[.!?;:\n\r|]+")
-TOKENS = re.compile(r"[^\W\d_]+|[\"“”«»]")
+TOKENS = re.compile(r"[^\W\d_]+n['’]t\b|[^\W\d_]+|[\"“”«»]")
 THREATS = frozenset("kill hurt destroy beat burn töten schlagen vernichten tuer frapper détruire matar golpear destruir".split())
 TARGETS = frozenset("you your yourself du dich dein ihr euch tu toi ton vous votre tú te usted vosotros they them".split())
-NEGATIONS = frozenset("not never no isn't nicht kein keine nie ne pas jamais aucun nunca ningún jamás".split())
+NEGATIONS = frozenset("not never no nicht kein keine nie ne pas jamais aucun nunca ningún jamás".split())
 SPEECH = frozenset("said says wrote called claimed sagte sagt schrieb nannte dit écrit appelé dijo dice escribió".split())
 QUOTES = frozenset('"“”«»')
 #: Words that a negation reaches.
@@ -45,6 +50,8 @@ BEGINNINGS, LEAST_DOCS, LEAST_ODDS = (4, 5, 6, 7, 8), 5, 3.0
 MOST_ODDS = 6.0
 #: A clause with a weight from here on is a sure one.
 SURE_ODDS = 4.0
+#: Labelled rows that are learned from, about; beyond them they are chosen by a hash of the id.
+LABELLED = 50_000
 #: Entries of the lexicon at most: the strongest by documents times log odds.
 LEXICON = 20_000
 
@@ -91,43 +98,67 @@ def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
     return {r["feature"]: min(r["weight"], MOST_ODDS) for r in chosen.collect()}
 
 
+ALPHABET = ("", "insult", "threat", "target", "not", "said", "quote")
+HITS_READ = ("insult", "threat")
+
+
+def negation_transducer(scope: int = SCOPE) -> Transducer:
+    """After a negation, the hits among the next ``scope`` words are written as negated. A state is the words left."""
+    arcs = {}
+    for left in range(scope + 1):
+        for symbol in ALPHABET:
+            written = f"negated_{symbol}" if left and symbol in HITS_READ else symbol
+            arcs[left, symbol] = (scope if symbol == "not" else max(0, left - 1), written)
+    return Transducer(0, arcs, {})
+
+
+def speech_transducer() -> Transducer:
+    """A word of speech opens a quotation, a mark opens or closes one; an insult inside is written as quoted."""
+    arcs = {(inside, "said"): (True, "said") for inside in (False, True)}
+    arcs |= {(inside, "quote"): (not inside, "quote") for inside in (False, True)}
+    arcs[True, "insult"] = (True, "quoted_insult")
+    return Transducer(False, arcs, {})
+
+
+def target_transducer() -> Transducer:
+    """A clause with a target anywhere is marked as targeted."""
+    return Transducer(False, {(False, "target"): (True, "target")}, {True: frozenset({"targeted"})})
+
+
+def grammar_transducer() -> Transducer:
+    negated = compose(negation_transducer(), speech_transducer(), ALPHABET)
+    return compose(negated, target_transducer(), ALPHABET)
+
+
 class Grammar:
-    """The composed transducers. The state is the open scopes: words left of a negation, and quotation."""
+    """The composed transducers over the symbols that a lexicon writes."""
 
     def __init__(self, lexicon: dict[str, float]):
-        self.lexicon = lexicon
+        self.lexicon, self.machine = lexicon, grammar_transducer()
         self.symbol = Bounded(self._symbol, 200_000)
 
     def _symbol(self, word: str) -> tuple[str, float]:
-        """What the single-word transducers write for a word; the empty symbol for most."""
+        """What the lexicon writes for a word; the empty symbol for most."""
         weight = max((self.lexicon[f] for f in features(word) if f in self.lexicon), default=0.0)
         if weight:
             return "insult", weight
+        if word.endswith(("n't", "n’t")):
+            return "not", 1.0
         for name, words in (("threat", THREATS), ("target", TARGETS), ("not", NEGATIONS), ("said", SPEECH), ("quote", QUOTES)):
             if word in words:
                 return name, 1.0
         return "", 0.0
 
     def clause(self, symbols: list[tuple[str, float]]) -> np.ndarray:
-        """The strongest weight of each class in one clause."""
+        """The strongest weight of each class in one clause. A threat to nobody in the clause weighs half."""
         found = dict.fromkeys(CLASSES, 0.0)
-        negated, quoted, targeted = 0, False, False
-        for name, weight in symbols:
-            if name == "not":
-                negated = SCOPE + 1
-            elif name == "quote" or name == "said":
-                quoted = name == "said" or not quoted
-            elif name == "target":
-                targeted = True
-            elif name == "threat":
-                found["threat"] = 0.0 if negated else 1.0
-            elif name == "insult":
-                kind = "negated_insult" if negated else "quoted_insult" if quoted else "insult"
-                found[kind] = max(found[kind], weight)
-            negated -= negated > 0
-        hit = max(found["insult"], found["threat"])
-        found["targeted"] = hit if targeted else 0.0
-        if not targeted:
+        written, marks = self.machine.run(name for name, _ in symbols)
+        for name, (_, weight) in zip(written, symbols):
+            if name in found:
+                found[name] = max(found[name], weight)
+        if "targeted" in marks:
+            found["targeted"] = max(found["insult"], found["threat"])
+        else:
             found["threat"] *= 0.5
         return np.array([found[c] for c in CLASSES])
 
@@ -192,18 +223,22 @@ def fit(weights: DataFrame, label: str) -> tuple[float, list[float]]:
     return float(beta[0]), beta[1:].tolist()
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, use: Column) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, use: Column, labelled_rows: int = LABELLED) -> DataFrame:
     """doc_id, ``use``'s other columns and ``score``; ``use`` says of a document whether its labels may be learned."""
     ids = F.col("doc_id").cast("bigint").alias("doc_id")
     texts = docs.select(ids, "text")
     marked = labels.select(ids, F.col("toxic").cast("int").alias("toxic")).where("toxic IN (0, 1)").where(use)
-    labelled = texts.join(marked, "doc_id").select("text", "toxic")
+    sums = marked.agg(F.count(F.lit(1)).alias("n"), F.avg("toxic").alias("prior")).first()
+    if sums["n"] > labelled_rows:  # ids and labels alone are looked at, whatever their order
+        share = 1_000_000
+        marked = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) < share * labelled_rows // sums["n"])
+    # About ``labelled_rows`` pairs of numbers: bounded, so they go to the texts and not the texts to them.
+    labelled = materialize(texts.join(F.broadcast(marked), "doc_id").select("text", "toxic"), "labelled")
     lexicon = learn_lexicon(labelled)
-    weights = materialize(clause_weights(texts, lexicon), "toxicity")
-    sums = marked.agg(F.avg("toxic")).first()[0]
     if not lexicon:
-        return weights.select("doc_id", F.lit(float(sums or 0)).alias("score"))
-    intercept, slopes = fit(weights.join(marked, "doc_id"), "toxic")
+        weights = clause_weights(texts, lexicon)
+        return weights.select("doc_id", F.lit(float(sums["prior"] or 0)).alias("score"))
+    intercept, slopes = fit(materialize(clause_weights(labelled, lexicon), "weights"), "toxic")
     margin = sum((F.col(h) * s for h, s in zip(HITS, slopes)), F.lit(intercept))
     score = 1 / (1 + F.exp(-F.least(F.greatest(margin, F.lit(-700.0)), F.lit(700.0))))
-    return weights.select("doc_id", score.alias("score"), *HITS)
+    return clause_weights(texts, lexicon).select("doc_id", score.alias("score"), *HITS)
