@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
+import weakref
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -54,11 +56,14 @@ def map_texts(
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            made = function(batch)
-            arrays = [batch.column(c).cast(arrow.field(c).type) for c in keep]
-            arrays += [pa.array(made[f.name], arrow.field(f.name).type) for f in added]
-            yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        try:
+            for batch in slices(batches):
+                made = function(batch)
+                arrays = [batch.column(c).cast(arrow.field(c).type) for c in keep]
+                arrays += [pa.array(made[f.name], arrow.field(f.name).type) for f in added]
+                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        finally:
+            release_caches()
 
     columns = list(dict.fromkeys([*keep, "text"]))
     return df.select(*columns).mapInArrow(run, schema)
@@ -81,9 +86,27 @@ class Bounded(dict):
     def __init__(self, function: Callable, limit: int):
         super().__init__()
         self.function, self.limit = function, limit
+        _caches.append(weakref.ref(self))
 
     def __missing__(self, key):
         if len(self) >= self.limit:
             self.clear()
         value = self[key] = self.function(key)
         return value
+
+
+_caches: list[weakref.ref[Bounded]] = []
+#: Words whose hashes a worker keeps.
+CACHED_HASHES = 100_000
+
+
+def release_caches() -> None:
+    """Empty all caches, at the end of a task: a worker is used again by other stages, which have caches of their own."""
+    for reference in _caches:
+        if (cache := reference()) is not None:
+            cache.clear()
+    _caches[:] = [r for r in _caches if r() is not None]
+    pa.default_memory_pool().release_unused()
+
+
+word_hash = Bounded(lambda word: xxhash.xxh3_64_intdigest(word), CACHED_HASHES)

@@ -21,12 +21,11 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from vecflow.llm.common import Bounded, map_texts, texts_of
+from vecflow.llm.common import map_texts, texts_of, word_hash
 from vecflow.llm.near_copies import SHINGLE, shingles
 
 SIMILARITY = 0.8
@@ -44,11 +43,10 @@ HIT = StructType(
         StructField("similarity", DoubleType()),
     ]
 )
-_word_hash = Bounded(lambda w: xxhash.xxh3_64_intdigest(w), 400_000)
 
 
 def words_of(text: str) -> np.ndarray:
-    return np.fromiter(map(_word_hash.__getitem__, WORDS.findall(text.lower())), np.uint64)
+    return np.fromiter(map(word_hash.__getitem__, WORDS.findall(text.lower())), np.uint64)
 
 
 def signs(values: np.ndarray) -> np.ndarray:

@@ -6,7 +6,8 @@ probabilities come from one expectation step: distinct training words are counte
 backward pass with the same start weights for all languages give each piece its expected count in a word, and the
 counts of all words are added up. What reaches the driver is one row per piece and language at most.
 
-* Words are runs of letters, in lower case; longer ones than ``BLOCK`` characters are scored in blocks of that size.
+* Words are runs of letters (numerals of any kind are none), in lower case. Words of any length are scored whole; for the
+  expected counts of training, longer ones than ``BLOCK`` characters are cut into blocks of that size.
 * A null text, and one without letters, is ``und`` with score 0. Rows without a language are not learned from.
 * Repeated rows count as often as they occur, also in training; ties go to the first language by name.
 * Empty tables give no rows; without any training row every prediction is ``und``.
@@ -17,6 +18,7 @@ counts of all words are added up. What reaches the driver is one row per piece a
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from functools import lru_cache
 
@@ -29,14 +31,18 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 from vecflow.llm.common import map_texts, slices, texts_of
 from vecflow.llm.token_counts import SPACE
 
-WORDS = re.compile(r"[^\W\d_]+")
+#: Characters that count as word characters of a pattern but are neither letters nor decimal digits, such as fractions.
+NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isdecimal() and not c.isalpha())
+WORDS = re.compile(rf"[^\W\d_{NUMERALS}]+")
 UNDETERMINED = "und"
 BLOCK = 40
 #: Added to each expected count; the start weight of a piece by its number of characters.
 SMOOTHING, START = 0.1, 1e-4
 #: Sums below this are made again from logarithms: far above what a float loses, which is about 1e-308.
 SMALL = 1e-200
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
+#: Words of a batch times the characters of the longest.
+LATTICE_CELLS = 800_000
 FILTER_BITS, FACTOR = 20, 0x9E3779B97F4A7C15
 
 
@@ -87,10 +93,11 @@ def vocabulary_of(path: str) -> Vocabulary:
 
 
 class Lattice:
-    """All pieces inside a batch of words of at most ``BLOCK`` characters, ordered by their end."""
+    """All pieces inside a batch of words, ordered by their end. Memory grows with the words times the longest."""
 
     def __init__(self, words: list[str], vocabulary: Vocabulary):
         self.lengths = np.array([len(w) for w in words], np.int64)
+        self.block = int(self.lengths.max(initial=0))
         chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.uint64)
         row = np.repeat(np.arange(len(words)), self.lengths)
         start = np.arange(len(chars)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
@@ -111,12 +118,12 @@ class Lattice:
             found.append(np.stack([start[i] + size, row[i], start[i], numbers]))
         edges = np.concatenate(found, axis=1) if found else np.zeros((4, 0), np.int64)
         edges = edges[:, np.argsort(edges[0] * len(words) + edges[1], kind="stable")]
-        cuts = np.searchsorted(edges[0], np.arange(BLOCK + 2))
-        self.by_end = [edges[1:, cuts[e] : cuts[e + 1]] for e in range(BLOCK + 1)]
+        cuts = np.searchsorted(edges[0], np.arange(self.block + 2))
+        self.by_end = [edges[1:, cuts[e] : cuts[e + 1]] for e in range(self.block + 1)]
 
     def forward(self, weights: np.ndarray) -> np.ndarray:
-        """Sums over all segmentations of each prefix: (words, BLOCK + 1, languages)."""
-        sums = np.zeros((len(self.lengths), BLOCK + 1, weights.shape[1]))
+        """Sums over all segmentations of each prefix: (words, longest + 1, languages)."""
+        sums = np.zeros((len(self.lengths), self.block + 1, weights.shape[1]))
         sums[:, 0] = 1
         for end, (rows, starts, numbers) in enumerate(self.by_end):
             if len(rows):
@@ -130,12 +137,15 @@ class Lattice:
 
     def logs(self, weights: np.ndarray) -> np.ndarray:
         """Logarithms of ``whole``; words that a plain sum could lose are summed as logarithms."""
-        whole = self.whole(self.forward(weights))
+        if self.block > BLOCK:  # a plain sum could lose any of them
+            whole = np.zeros((len(self.lengths), weights.shape[1]))
+        else:
+            whole = self.whole(self.forward(weights))
         small = (whole < SMALL).any(1)
         logs = np.log(np.where(small[:, None], 1, whole))
         if small.any():
             weights, place = np.log(weights), np.cumsum(small) - 1
-            sums = np.full((int(small.sum()), BLOCK + 1, weights.shape[1]), -np.inf)
+            sums = np.full((int(small.sum()), self.block + 1, weights.shape[1]), -np.inf)
             sums[:, 0] = 0
             for end, edges in enumerate(self.by_end):
                 rows, starts, numbers = edges[:, small[edges[0]]]
@@ -152,7 +162,7 @@ class Lattice:
         backward = np.zeros_like(forward)
         backward[np.arange(len(self.lengths)), self.lengths] = 1
         found = []
-        for end in range(BLOCK, 0, -1):
+        for end in range(self.block, 0, -1):
             rows, starts, numbers = self.by_end[end]
             if len(rows):
                 weight = weights[numbers, 0] * backward[rows, end]
@@ -239,11 +249,16 @@ class Scorer:
 
     def add(self, words: list[str]) -> None:
         vocabulary, made = vocabulary_of(self.model.path), []
-        for at in range(0, len(words), 20_000):
-            cut = [blocks(w) for w in words[at : at + 20_000]]
-            lattice = Lattice([b for c in cut for b in c], vocabulary)
-            logs = lattice.logs(self.model.weights)
-            made.append(np.add.reduceat(logs, np.cumsum([0, *map(len, cut[:-1])]), axis=0))
+        words = sorted(words, key=len)
+        start = 0
+        while start < len(words):
+            end = start + 1
+            while end < len(words) and (end - start) * max(BLOCK, len(words[end])) < LATTICE_CELLS:
+                if len(words[start]) <= BLOCK < len(words[end]):
+                    break  # long words are summed in another way
+                end += 1
+            made.append(Lattice(words[start:end], vocabulary).logs(self.model.weights))
+            start = end
         if words:
             self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
             self.rows = np.concatenate([self.rows, *made])
@@ -273,7 +288,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     held: list[Scorer] = []
 
     def predict(batch) -> dict:
-        if not held:
+        if not held:  # once for a task
             held.append(Scorer(sent.value))
         names, scores = held[0].predict(texts_of(batch))
         return {"lang_pred": names, "score": scores}

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StructField, StructType
 
-from vecflow.llm.common import WORD, Bounded, map_texts, texts_of
+from vecflow.llm.common import WORD, map_texts, texts_of, word_hash
 from vecflow.llm.components import components
 from vecflow.scratch import materialize
 
@@ -40,11 +40,8 @@ MULTIPLIERS = _odd.integers(0, 2**63, SKETCHES, np.uint64) * np.uint64(2) + np.u
 PLACE = _odd.integers(0, 2**63, SHINGLE, np.uint64) * np.uint64(2) + np.uint64(1)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
-_word_hash = Bounded(lambda w: xxhash.xxh3_64_intdigest(w), 400_000)
-
-
 def hashed_words(text: str) -> np.ndarray:
-    return np.fromiter(map(_word_hash.__getitem__, WORD.findall(text.lower())), np.uint64)
+    return np.fromiter(map(word_hash.__getitem__, WORD.findall(text.lower())), np.uint64)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:

@@ -69,7 +69,7 @@ class WordTokens:
         if rules["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] != SPLIT:
             raise ValueError(f"{path} splits words by another rule")
         self.model = self.library.model
-        self.known = Bounded(self._ids, 400_000)
+        self.known = Bounded(self._ids, 200_000)
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in set(printable)]
         self.byte_chars = {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}

@@ -15,11 +15,11 @@ budget questions need no second encoding.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField
 
@@ -52,9 +52,10 @@ class PrefixCounter:
         found: dict[str, set[int]] = {}
         for piece in self.score:
             found.setdefault(piece[-2:], set()).add(len(piece))
+        self.found = {
+            end: tuple(sorted(sizes | {1} if end[-1] in self.score else sizes, reverse=True)) for end, sizes in found.items()
+        }
         self.sizes = Bounded(self._sizes, 400_000)
-        for end, sizes in found.items():
-            self.sizes[end] = tuple(sorted(sizes | {1} if end[-1] in self.score else sizes, reverse=True))
         self.fits = Bounded(self._fits, 400_000)
         self.segments: dict[str, bytes] = {}
 
@@ -78,7 +79,7 @@ class PrefixCounter:
 
     def _sizes(self, end: str) -> tuple[int, ...]:
         """Sizes of the pieces that may end in these two characters, the longest first."""
-        return (1,) if end[-1] in self.score else ()
+        return self.found.get(end) or ((1,) if end[-1] in self.score else ())
 
     def _extend(self, segments: list[str]) -> None:
         """Put the differences of new segments into the cache.
@@ -165,13 +166,25 @@ def prefix_token_counts(docs: DataFrame, path: str, limit: int = 4096, keep_diff
     return map_texts(docs, count, added, [c for c in docs.columns if c != "text" and c not in names])
 
 
-@F.pandas_udf(IntegerType())
-def tokens_of_prefix(differences: pd.Series, prefix: pd.Series) -> pd.Series:
+def _of_prefix(function: Callable[[bytes, int], int]) -> Callable[[Column, Column], Column]:
+    """A function of differences and a number as one of columns; null for null differences.
+
+    Pandas is imported here, as workers that only count have no use for it.
+    """
+    import pandas as pd
+
+    def apply(differences, number):
+        return pd.Series([None if d is None else function(d, n) for d, n in zip(differences, number)], dtype="Int32")
+
+    apply.__annotations__ = {"differences": pd.Series, "number": pd.Series, "return": pd.Series}
+    return F.pandas_udf(apply, IntegerType())
+
+
+def tokens_of_prefix(differences: Column, prefix: Column) -> Column:
     """Column form of ``tokens_at``."""
-    return pd.Series([None if d is None else tokens_at(d, p) for d, p in zip(differences, prefix)], dtype="Int32")
+    return _of_prefix(tokens_at)(differences, prefix)
 
 
-@F.pandas_udf(IntegerType())
-def prefix_within(differences: pd.Series, budget: pd.Series) -> pd.Series:
+def prefix_within(differences: Column, budget: Column) -> Column:
     """Column form of ``longest_within``."""
-    return pd.Series([None if d is None else longest_within(d, b) for d, b in zip(differences, budget)], dtype="Int32")
+    return _of_prefix(longest_within)(differences, budget)
