@@ -160,7 +160,7 @@ def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     scores = language_model.text_scores(documents, remainder(F.col("doc_id"), 7) != 2)
     return scores.select(
-        "doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+        "doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"
     )
 
 
