@@ -131,6 +131,40 @@ def test_planted_pairs_at_the_limit_are_found(spark):
     assert sum(found[b] == a for a, b in pairs) >= 0.95 * len(pairs)
 
 
+def changed(words, share, rng):
+    places = set(rng.sample(range(len(words)), int(share * len(words))))
+    return [f"x{rng.randrange(10**9)}" if k in places else w for k, w in enumerate(words)]
+
+
+def classes_in(spark, texts):
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts)]
+    made = near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    return {r["doc_id"]: r["class_id"] for r in made.collect()}
+
+
+@pytest.mark.parametrize("share", (0.12, 0.15))
+def test_copies_unlike_each_other_follow_an_original_with_a_larger_id(spark, share):
+    rng = random.Random(3)
+    original = [f"w{rng.randrange(10**9)}" for _ in range(200)]
+    found = classes_in(spark, [changed(original, share, rng) for _ in range(300)] + [original])
+    assert set(found.values()) == {0}
+
+
+def test_a_chain_and_texts_that_only_share_a_passage(spark):
+    rng = random.Random(4)
+    passage = [f"p{k}" for k in range(60)]
+    chain = [[f"w{rng.randrange(10**9)}" for _ in range(140)] + passage]
+    for _ in range(49):
+        chain.append([*changed(chain[-1][:140], 0.1, rng), *passage])
+    others = [[f"w{rng.randrange(10**9)}" for _ in range(140)] + passage for _ in range(150)]
+    pairs = [text for one in others[:50] for text in (changed(one[:140], 0.15, rng) + passage,)]
+    texts = others + chain + pairs
+    found = classes_in(spark, texts)
+    assert {found[i] for i in range(150, 200)} == {150}
+    assert [found[i] for i in range(150)] == list(range(150))
+    assert sum(found[200 + i] == i for i in range(50)) >= 48
+
+
 # ---------------------------------------------------------------- archive
 
 
