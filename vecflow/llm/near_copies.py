@@ -12,11 +12,11 @@ which a combining aggregation finds. Nodes of a bucket of three or more also mee
 two and four neighbouring sketches, so similar texts meet although a shared passage brought unlike ones along.
 Candidates are aligned word by word; they are linked if the edit distance is at most a fifth of the longer text.
 
-Then buckets whose members are not yet one class choose further leaders, in rounds: of the members that have not led
-the bucket, that with the most links, so an original leads the copies that are unlike each other. It is compared with
-the members of other classes that share a second sketch with it, which texts alike by 0.8 do with a chance of 0.98.
-Rounds end with one that links nothing, so what can still be missed is a link between two texts that no leader of a
-shared bucket, up to that round, is one of.
+Then buckets choose further leaders, in rounds: the member with the most links, so an original leads the copies that are
+unlike each other. It is compared with the members that are not within two links of the same text, if they share a
+second sketch with it, as texts alike by 0.8 do with a chance of 0.98. These members are left for the next round.
+Rounds end with one that links nothing. Still missed is a link between two texts of which neither leads a bucket that
+they share: texts without any link lead only as smallest id, and a leader speaks for the members near to it.
 
 * A null text, and one without words, is like no other: its class is its own id.
 * A text of fewer than three words has one shingle, all its words.
@@ -274,40 +274,44 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- further leaders
 
 
-def members(crowded: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
-    """(key, id, n_words, marks) of the buckets in which more than one class meets. Marks are short forms of a node's
-    sketches; two texts have an equal one by accident with a chance of 48 in 65,536."""
-    named = nodes.select("id", "keys").join(crowded, "id").join(classes, "id", "left")
-    named = named.withColumn("class", F.coalesce("component", "id"))
-    held = named.select("id", "class", F.explode("places").alias("j"), F.get("keys", "j").alias("key"))
-    mixed = held.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
-    places = held.join(mixed, "key", "left_semi").groupBy("id").agg(F.collect_set("j").alias("held"))
-    marks = F.transform("keys", lambda key: F.shiftright(F.shiftleft(key, 48), 48).cast("smallint"))
-    return (
-        named.join(places, "id")
-        .select("id", "n_words", "keys", marks.alias("marks"), F.explode("held").alias("j"))
-        .select(F.get("keys", "j").alias("key"), "id", "n_words", "marks")
-    )
+def labels(links: DataFrame) -> DataFrame:
+    """(id, n_links, label): the smallest id within two links, a cheap stand-in for the class."""
+    both = links.unionByName(links.select(F.col("a").alias("b"), F.col("b").alias("a")))
+    near = both.groupBy("a").agg(F.count(F.lit(1)).alias("n_links"), F.min("b").alias("least"))
+    near = near.select(F.col("a").alias("id"), "n_links", F.least("a", "least").alias("label"))
+    second = both.join(near.select(F.col("id").alias("b"), F.col("label").alias("of_b")), "b").groupBy("a").agg(F.min("of_b").alias("of_b"))
+    second = second.withColumnRenamed("a", "id")
+    return near.join(second, "id").select("id", "n_links", F.least("label", "of_b").alias("label"))
 
 
-def elected(held: DataFrame, links: DataFrame, classes: DataFrame, led: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The next leader of each bucket of more than one class, and its pairs with members of other classes."""
-    degrees = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
-    state = classes.join(degrees, "id", "left")
-    named = held.join(state, "id", "left").select(
-        held["*"], F.coalesce("component", "id").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links")
-    )
-    mixed = named.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
-    waiting = named.join(led, ["key", "id"], "left_anti")
+def members(crowded: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(key, id, n_words, marks) of the buckets of three or more. Marks are short forms of a node's sketches; two texts
+    have an equal one by accident with a chance of 48 in 65,536."""
+    marks = F.transform("keys", lambda key: F.shiftright(F.shiftleft(key, 48), 48).cast("smallint"))
+    rows = nodes.select("id", "keys").join(crowded, "id").select("id", "n_words", "keys", marks.alias("marks"), F.explode("places").alias("j"))
+    return rows.select(F.get("keys", "j").alias("key"), "id", "n_words", "marks")
+
+
+def elected(held: DataFrame, state: DataFrame, first: bool) -> DataFrame:
+    """The members of other labels that meet a bucket's next leader: the member with the most links. In the first round
+    the smallest id has led already. Who shares the leader's label is not held any longer; nor are the members of a
+    bucket in which nobody has a link."""
+    named = held.join(state, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    linked = named.where("n_links > 0")
+    if first:
+        led = named.groupBy("key").agg(F.min("id").alias("led"), F.min("label").alias("low"), F.max("label").alias("high"))
+        linked = linked.join(led.where("low < high"), "key").where("id <> led")
     rank = F.struct("n_links", F.negative("id").alias("order"))
-    leader = F.max_by(F.struct("id", "class", "n_words", "marks"), rank)
-    leaders = waiting.groupBy("key").agg(leader.alias("leader")).join(mixed.select("key"), "key", "left_semi")
-    leaders = materialize(leaders, "leaders")
-    met = named.join(leaders, "key").where(F.col("class") != F.col("leader.class"))
-    met = met.where(F.least("n_words", "leader.n_words") >= SIMILARITY * F.greatest("n_words", "leader.n_words"))
+    leader = F.max_by(F.struct("id", "label", "n_words", "marks"), rank)
+    leaders = linked.groupBy("key").agg(leader.alias("leader"))
+    return named.select("key", "id", "n_words", "marks", "label").join(leaders, "key").where(F.col("label") != F.col("leader.label"))
+
+
+def compared(met: DataFrame) -> DataFrame:
+    """(leader, other) of the meetings of similar lengths that share a second sketch."""
+    similar = F.least("n_words", "leader.n_words") >= SIMILARITY * F.greatest("n_words", "leader.n_words")
     agreeing = F.size(F.filter(F.zip_with("marks", "leader.marks", lambda x, y: x == y), lambda same: same))
-    pairs = met.where(agreeing > 1).select(F.col("leader.id").alias("leader"), F.col("id").alias("other")).distinct()
-    return leaders.select("key", F.col("leader.id").alias("id")), pairs
+    return met.where(similar).where(agreeing > 1).select(F.col("leader.id").alias("leader"), F.col("id").alias("other")).distinct()
 
 
 def unordered(pairs: DataFrame) -> DataFrame:
@@ -319,20 +323,17 @@ def classes_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     pairs, crowded = candidates(nodes)
     pairs = materialize(pairs, "pairs")
     links = materialize(verified(docs, pairs), "near")
-    classes = materialize(components(links), "classes")
-    held = materialize(members(crowded, nodes, classes), "members")
-    led, tested = held.groupBy("key").agg(F.min("id").alias("id")), unordered(pairs)
+    held, tested, first = members(crowded, nodes), unordered(pairs), True
     while True:
-        leaders, pairs = elected(held, links, classes, led)
-        fresh = pairs.select("*", F.least("leader", "other").alias("low"), F.greatest("leader", "other").alias("high"))
+        met = materialize(elected(held, labels(links), first), "met")
+        fresh = compared(met).select("*", F.least("leader", "other").alias("low"), F.greatest("leader", "other").alias("high"))
         fresh = fresh.join(tested, ["low", "high"], "left_anti").dropDuplicates(["low", "high"])
         pairs = materialize(fresh.select("leader", "other"), "pairs")
         found = materialize(verified(docs, pairs), "near")
         if found.isEmpty():
-            return classes
-        led, tested, links = led.unionByName(leaders), tested.unionByName(unordered(pairs)), links.unionByName(found)
-        stars = classes.select(F.col("id").alias("a"), F.col("component").alias("b"))
-        classes = materialize(components(stars.unionByName(found)), "classes")
+            return components(links)
+        held, first = met.select("key", "id", "n_words", "marks"), False
+        tested, links = tested.unionByName(unordered(pairs)), links.unionByName(found)
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
