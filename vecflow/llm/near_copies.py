@@ -12,9 +12,10 @@ which a combining aggregation finds. Nodes of a bucket of three or more also mee
 two and four neighbouring sketches, so similar texts meet although a shared passage brought unlike ones along.
 Candidates are aligned word by word; they are linked if the edit distance is at most a fifth of the longer text.
 
-Then buckets choose further leaders, in rounds: the member with the most links, so an original leads the copies that are
-unlike each other. It is compared with the members that are not within two links of the same text, if they share a
-second sketch with it, as texts alike by 0.8 do with a chance of 0.98. These members are left for the next round.
+Then buckets choose further leaders, in rounds: the members with the most links, so an original leads the copies that are
+unlike each other, of several classes at once. They are compared with the members that are not within two links of the
+same text, if they share a second sketch, as texts alike by 0.8 do with a chance of 0.98. Members near to no leader yet
+are left for the next round.
 Rounds end with one that links nothing. Still missed is a link between two texts of which neither leads a bucket that
 they share: texts without any link lead only as smallest id, and a leader speaks for the members near to it.
 
@@ -29,7 +30,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StructField, StructType
 
@@ -40,6 +41,8 @@ from vecflow.scratch import materialize
 SHINGLE, SEARCHED, SKETCHES, SIMILARITY = 5, 3, 48, 0.8
 #: Pairs of one leader that a task gets at most; the leader's words go to each such share.
 SHARE = 2_000
+#: Leaders that a bucket elects in one round at most. Rounds go on until they link nothing.
+LEADERS = 8
 _odd = np.random.default_rng(17)
 MULTIPLIERS = _odd.integers(0, 2**63, SKETCHES, np.uint64) * np.uint64(2) + np.uint64(1)
 PLACE = _odd.integers(0, 2**63, SHINGLE, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -292,26 +295,32 @@ def members(crowded: DataFrame, nodes: DataFrame) -> DataFrame:
     return rows.select(F.get("keys", "j").alias("key"), "id", "n_words", "marks")
 
 
-def elected(held: DataFrame, state: DataFrame, first: bool) -> DataFrame:
-    """The members of other labels that meet a bucket's next leader: the member with the most links. In the first round
-    the smallest id has led already. Who shares the leader's label is not held any longer; nor are the members of a
-    bucket in which nobody has a link."""
+def elected(held: DataFrame, state: DataFrame) -> DataFrame:
+    """The members of buckets with at least one link, with ``rivals``, the next leaders each is to be compared with, and
+    ``held``, whether it goes on to the next round.
+
+    Labels are dealt into ``LEADERS`` lanes, and each lane of a bucket elects its member with the most links, so the
+    leaders' labels differ. A member meets the leaders in front of its own label's, all if that has no leader.
+    """
     named = held.join(state, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    linked = named.where("n_links > 0")
-    if first:
-        led = named.groupBy("key").agg(F.min("id").alias("led"), F.min("label").alias("low"), F.max("label").alias("high"))
-        linked = linked.join(led.where("low < high"), "key").where("id <> led")
+    lane = F.pmod(F.xxhash64("label"), F.lit(LEADERS))
     rank = F.struct("n_links", F.negative("id").alias("order"))
-    leader = F.max_by(F.struct("id", "label", "n_words", "marks"), rank)
-    leaders = linked.groupBy("key").agg(leader.alias("leader"))
-    return named.select("key", "id", "n_words", "marks", "label").join(leaders, "key").where(F.col("label") != F.col("leader.label"))
+    leader = F.max_by(F.struct("n_links", F.negative("id").alias("order"), "id", "label", "n_words", "marks"), rank)
+    lanes = named.where("n_links > 0").groupBy("key", lane.alias("lane")).agg(leader.alias("leader"))
+    leaders = lanes.groupBy("key").agg(F.sort_array(F.collect_list("leader"), asc=False).alias("leaders"))
+    place = F.array_position("leaders.label", F.col("label"))
+    met = named.select("key", "id", "n_words", "marks", "label").join(leaders, "key").withColumn("place", place)
+    ahead = F.when(F.col("place") > 0, F.slice("leaders", F.lit(1), F.col("place").cast("int") - 1)).otherwise(F.col("leaders"))
+    rivals = F.transform(F.filter(ahead, comparable), lambda other: other["id"])
+    met = met.select("key", "id", "n_words", "marks", (F.col("place") == 0).alias("held"), rivals.alias("rivals"))
+    return met.where("held OR size(rivals) > 0")
 
 
-def compared(met: DataFrame) -> DataFrame:
-    """(leader, other) of the meetings of similar lengths that share a second sketch."""
-    similar = F.least("n_words", "leader.n_words") >= SIMILARITY * F.greatest("n_words", "leader.n_words")
-    agreeing = F.size(F.filter(F.zip_with("marks", "leader.marks", lambda x, y: x == y), lambda same: same))
-    return met.where(similar).where(agreeing > 1).select(F.col("leader.id").alias("leader"), F.col("id").alias("other")).distinct()
+def comparable(leader: Column) -> Column:
+    """Whether a member and a leader have similar lengths and share a second sketch."""
+    agreeing = F.size(F.filter(F.zip_with("marks", leader["marks"], lambda x, y: x == y), lambda same: same))
+    similar = F.least(F.col("n_words"), leader["n_words"]) >= SIMILARITY * F.greatest(F.col("n_words"), leader["n_words"])
+    return similar & (agreeing > 1)
 
 
 def unordered(pairs: DataFrame) -> DataFrame:
@@ -323,16 +332,18 @@ def classes_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     pairs, crowded = candidates(nodes)
     pairs = materialize(pairs, "pairs")
     links = materialize(verified(docs, pairs), "near")
-    held, tested, first = members(crowded, nodes), unordered(pairs), True
+    held, tested = members(crowded, nodes), unordered(pairs)
     while True:
-        met = materialize(elected(held, labels(links), first), "met")
-        fresh = compared(met).select("*", F.least("leader", "other").alias("low"), F.greatest("leader", "other").alias("high"))
-        fresh = fresh.join(tested, ["low", "high"], "left_anti").dropDuplicates(["low", "high"])
-        pairs = materialize(fresh.select("leader", "other"), "pairs")
+        met = materialize(elected(held, labels(links)), "met")
+        fresh = met.select("id", F.explode("rivals").alias("leader"))
+        fresh = fresh.groupBy(F.least("leader", "id").alias("low"), F.greatest("leader", "id").alias("high")).agg(
+            F.min_by(F.struct("leader", F.col("id").alias("other")), F.col("leader")).alias("pair")
+        )
+        pairs = materialize(fresh.join(tested, ["low", "high"], "left_anti").select("pair.*"), "pairs")
         found = materialize(verified(docs, pairs), "near")
         if found.isEmpty():
             return components(links)
-        held, first = met.select("key", "id", "n_words", "marks"), False
+        held = met.where("held").select("key", "id", "n_words", "marks")
         tested, links = tested.unionByName(unordered(pairs)), links.unionByName(found)
 
 
