@@ -241,6 +241,7 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """(a, b) links of the candidate pairs that pass the alignment. Texts travel once to each share of a leader."""
     shares = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / SHARE).cast("int").alias("shares"))
     placed = pairs.join(shares, "leader").withColumn("share", F.pmod(F.xxhash64("other"), F.col("shares")).cast("int"))
+    placed = materialize(placed, "placed")
     others = placed.select(F.col("other").alias("doc_id"), "leader", "share", F.lit(1).alias("role"))
     leaders = placed.select("leader", "share").distinct()
     leaders = leaders.select(F.col("leader").alias("doc_id"), "leader", "share", F.lit(0).alias("role"))
