@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecflow.functions import payload
+from vecflow.queries import function_queries
 
 
 def narrowed(spark, texts):
@@ -103,3 +104,12 @@ def test_json_payload_must_be_an_object(spark, text):
 def test_json_object_may_open_with_blanks(spark):
     rows = spark.createDataFrame([("\n\t {\"a\": 1}",)], "t string")
     assert rows.select(F.to_json(payload.parse_json_object(F.col("t")))).first()[0] == '{"a":1}'
+
+
+def test_sanitized_ids_may_exceed_a_small_integer(spark, tmp_path):
+    at = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    rows = [(1, at, 32_768, "view", 1.5), (2, at, 2**31 - 1, "view", None), (3, at, None, None, 2.0)]
+    schema = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/events.parquet")
+    found = function_queries.sanitize_payload(spark, str(tmp_path)).orderBy("event_id").collect()
+    assert [r["user_small"] for r in found] == [32_768, 2**31 - 1, None]

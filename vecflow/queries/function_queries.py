@@ -411,7 +411,7 @@ def sanitize_payload(spark: SparkSession, folder: str) -> DataFrame:
         F.struct(F.array("ts").alias("times")).alias("nested"),
         F.col("value").cast("decimal(12,2)").alias("amount"),
         F.col("value"),
-        F.col("user_id").cast("smallint").alias("user_small"),
+        F.col("user_id").cast("int").alias("user_small"),
         F.encode("event_type", "UTF-8").alias("raw"),
     )
     events = table(spark, folder, "events").select("event_id", record.alias("record"))
