@@ -12,12 +12,13 @@ which a combining aggregation finds. Nodes of a bucket of three or more also mee
 two and four neighbouring sketches, so similar texts meet although a shared passage brought unlike ones along.
 Candidates are aligned word by word; they are linked if the edit distance is at most a fifth of the longer text.
 
-Then buckets choose further leaders, in rounds: the members with the most links, so an original leads the copies that are
-unlike each other, of several classes at once. They are compared with the members that are not within two links of the
-same text, if they share a second sketch, as texts alike by 0.8 do with a chance of 0.98. Members near to no leader yet
-are left for the next round.
-Rounds end with one that links nothing. Still missed is a link between two texts of which neither leads a bucket that
-they share: texts without any link lead only as smallest id, and a leader speaks for the members near to it.
+What a bucket's smallest id has left apart is then compared pair by pair: each two members of a bucket that are of
+different classes so far, however many there are. A bucket is cut into blocks, and a task compares two of them. Both texts'
+words are counted in ``BINS`` bins; the surplus of one text over the other is never more than their edit distance, so a pair
+with too large a surplus has no link and is not aligned. All others are, by rising surplus: of each two classes
+``TRIED`` pairs first, then, in rounds, more of those that are still apart, until none is left. So no link between two
+texts that share a bucket is missed. The comparisons grow with the square of a bucket of unlike texts, which a passage brings
+together that many texts have; they are spread over tasks, and a task holds two blocks.
 
 * A null text, and one without words, is like no other: its class is its own id.
 * A text of fewer than three words has one shingle, all its words.
@@ -30,7 +31,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StructField, StructType
 
@@ -41,8 +42,9 @@ from vecflow.scratch import materialize
 SHINGLE, SEARCHED, SKETCHES, SIMILARITY = 5, 3, 48, 0.8
 #: Pairs of one leader that a task gets at most; the leader's words go to each such share.
 SHARE = 2_000
-#: Leaders that a bucket elects in one round at most. Rounds go on until they link nothing.
-LEADERS = 8
+#: Bins in which a text's words are counted, members of a block, and pairs of two classes that are aligned first; each
+#: further round aligns ``TRIED`` times as many.
+BINS, BLOCK, TRIED = 64, 2_000, 16
 _odd = np.random.default_rng(17)
 MULTIPLIERS = _odd.integers(0, 2**63, SKETCHES, np.uint64) * np.uint64(2) + np.uint64(1)
 PLACE = _odd.integers(0, 2**63, SHINGLE, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -96,21 +98,28 @@ def ordered_sketches(words: np.ndarray) -> np.ndarray:
     return _mixed(plain[left] * MULTIPLIERS + _mixed(plain[right] + MULTIPLIERS))
 
 
+def binned(words: np.ndarray) -> bytes:
+    """How many words fall into each bin, up to 255."""
+    return np.minimum(np.bincount((words % np.uint64(BINS)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
+
+
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint of the words (null without words), their number, and the sketches."""
+    """doc_id, fingerprint of the words (null without words), their number, their bins, and the sketches."""
     added = [
         StructField("print", BinaryType()),
         StructField("n_words", LongType()),
+        StructField("bins", BinaryType()),
         StructField("keys", ArrayType(LongType())),
     ]
 
     def sketch(batch) -> dict:
-        out: dict = {"print": [], "n_words": [], "keys": []}
+        out: dict = {"print": [], "n_words": [], "bins": [], "keys": []}
         with np.errstate(over="ignore"):
             for text in texts_of(batch):
                 words = hashed_words(text)
                 out["n_words"].append(len(words))
                 out["print"].append(xxhash.xxh3_128_digest(words.tobytes()) if len(words) else None)
+                out["bins"].append(binned(words) if len(words) else None)
                 out["keys"].append(ordered_sketches(words).view(np.int64) if len(words) else None)
         return out
 
@@ -275,77 +284,111 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return sent.mapInArrow(align, schema).where("close").select("a", "b")
 
 
-# ---------------------------------------------------------------- further leaders
-
-
-def labels(links: DataFrame) -> DataFrame:
-    """(id, n_links, label): the smallest id within two links, a cheap stand-in for the class."""
-    both = links.unionByName(links.select(F.col("a").alias("b"), F.col("b").alias("a")))
-    near = both.groupBy("a").agg(F.count(F.lit(1)).alias("n_links"), F.min("b").alias("least"))
-    near = near.select(F.col("a").alias("id"), "n_links", F.least("a", "least").alias("label"))
-    second = both.join(near.select(F.col("id").alias("b"), F.col("label").alias("of_b")), "b").groupBy("a").agg(F.min("of_b").alias("of_b"))
-    second = second.withColumnRenamed("a", "id")
-    return near.join(second, "id").select("id", "n_links", F.least("label", "of_b").alias("label"))
-
-
-def members(crowded: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(key, id, n_words, marks) of the buckets of three or more. Marks are short forms of a node's sketches; two texts
-    have an equal one by accident with a chance of 48 in 65,536."""
-    marks = F.transform("keys", lambda key: F.shiftright(F.shiftleft(key, 48), 48).cast("smallint"))
-    rows = nodes.select("id", "keys").join(crowded, "id").select("id", "n_words", "keys", marks.alias("marks"), F.explode("places").alias("j"))
-    return rows.select(F.get("keys", "j").alias("key"), "id", "n_words", "marks")
-
-
-def elected(held: DataFrame, state: DataFrame) -> DataFrame:
-    """The members of buckets with at least one link, with ``rivals``, the next leaders each is to be compared with, and
-    ``held``, whether it goes on to the next round.
-
-    Labels are dealt into ``LEADERS`` lanes, and each lane of a bucket elects its member with the most links, so the
-    leaders' labels differ. A member meets the leaders in front of its own label's, all if that has no leader.
-    """
-    named = held.join(state, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    lane = F.pmod(F.xxhash64("label"), F.lit(LEADERS))
-    rank = F.struct("n_links", F.negative("id").alias("order"))
-    leader = F.max_by(F.struct("n_links", F.negative("id").alias("order"), "id", "label", "n_words", "marks"), rank)
-    lanes = named.where("n_links > 0").groupBy("key", lane.alias("lane")).agg(leader.alias("leader"))
-    leaders = lanes.groupBy("key").agg(F.sort_array(F.collect_list("leader"), asc=False).alias("leaders"))
-    place = F.array_position("leaders.label", F.col("label"))
-    met = named.select("key", "id", "n_words", "marks", "label").join(leaders, "key").withColumn("place", place)
-    ahead = F.when(F.col("place") > 0, F.slice("leaders", F.lit(1), F.col("place").cast("int") - 1)).otherwise(F.col("leaders"))
-    rivals = F.transform(F.filter(ahead, comparable), lambda other: other["id"])
-    met = met.select("key", "id", "n_words", "marks", (F.col("place") == 0).alias("held"), rivals.alias("rivals"))
-    return met.where("held OR size(rivals) > 0")
-
-
-def comparable(leader: Column) -> Column:
-    """Whether a member and a leader have similar lengths and share a second sketch."""
-    agreeing = F.size(F.filter(F.zip_with("marks", leader["marks"], lambda x, y: x == y), lambda same: same))
-    similar = F.least(F.col("n_words"), leader["n_words"]) >= SIMILARITY * F.greatest(F.col("n_words"), leader["n_words"])
-    return similar & (agreeing > 1)
+# ---------------------------------------------------------------- the rest of the buckets
 
 
 def unordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("leader", "other").alias("low"), F.greatest("leader", "other").alias("high"))
 
 
+def members(crowded: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key, id, label, n_words, bins, block, first, second): members of the buckets of three or more that hold several
+    classes, once for each pair of blocks, ``first`` and ``second``, that a member's own ``block`` belongs to."""
+    labelled = crowded.select("id", "places").join(classes, "id", "left").withColumn("label", F.coalesce("component", "id"))
+    found = nodes.select("id", "keys").join(labelled, "id").select("id", "label", "keys", F.explode("places").alias("j"))
+    found = materialize(found.select(F.get("keys", "j").alias("key"), "id", "label"), "members")
+    sizes = found.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("least"), F.max("label").alias("most"))
+    mixed = sizes.where("least < most").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    placed = found.join(mixed, "key").join(nodes.select("id", "n_words", "bins"), "id").withColumn("block", block)
+    placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cell = [F.least("block", "with").alias("first"), F.greatest("block", "with").alias("second")]
+    return placed.select("key", "id", "label", "n_words", "bins", "block", *cell)
+
+
+def surplus(bins: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """A lower bound of the edit distance of the texts ``i`` and ``j``."""
+    differ = bins[i] - bins[j]
+    more = np.maximum(differ, 0).sum(1)
+    return np.maximum(more, more - differ.sum(1))
+
+
+def apart(rows: DataFrame) -> DataFrame:
+    """(low, high, bound): pairs of the members that are of different classes, with similar lengths and no surplus
+    beyond the limit; each pair once."""
+    order = ["key", "first", "second"]
+    schema = StructType([StructField(c, LongType()) for c in ("low", "high", "bound")])
+
+    def compared(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        cells = np.stack([table.column(c).to_numpy().astype(np.int64) for c in order])
+        ids, label, n, block = (table.column(c).to_numpy() for c in ("id", "label", "n_words", "block"))
+        bins = np.frombuffer(b"".join(table.column("bins").to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)
+        starts = np.flatnonzero(np.r_[True, (cells[:, 1:] != cells[:, :-1]).any(0)])
+        ends = np.repeat(np.r_[starts[1:], len(ids)], np.diff(np.r_[starts, len(ids)]))
+        within, alive, found = cells[1] == cells[2], np.arange(len(ids)), []
+        for step in range(1, len(ids)):  # each member with the one that many places on, in all cells at once
+            alive = alive[alive + step < ends[alive]]
+            if not len(alive):
+                break
+            other = alive + step
+            wanted = (label[alive] != label[other]) & (within[alive] | (block[alive] != block[other]))
+            longer = np.maximum(n[alive], n[other])
+            wanted &= np.minimum(n[alive], n[other]) >= SIMILARITY * longer
+            i, j, limit = alive[wanted], other[wanted], ((1 - SIMILARITY) * longer[wanted] + 1e-9).astype(np.int64)
+            bound = surplus(bins, i, j)
+            near = bound <= limit
+            found.append(np.stack([np.minimum(ids[i], ids[j])[near], np.maximum(ids[i], ids[j])[near], bound[near].astype(np.int64)]))
+        made = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in made], schema.names)
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cells = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in order])
+            before = np.array([held[-1].column(c)[-1].as_py() for c in order]) if held else cells[:, 0]
+            changes = np.flatnonzero((np.c_[before, cells[:, :-1]] != cells).any(0))
+            if len(changes):  # what comes before the last cell is whole
+                held.append(batch.slice(0, changes[-1]))
+                yield compared(held)
+                held = []
+                batch = batch.slice(changes[-1])
+            held.append(batch)
+        if held:
+            yield compared(held)
+
+    dealt = rows.repartition(*order).sortWithinPartitions(*order)
+    return dealt.mapInArrow(run, schema).groupBy("low", "high").agg(F.min("bound").alias("bound"))
+
+
+def next_pairs(rest: DataFrame, classes: DataFrame, tried: int) -> DataFrame:
+    """(leader, other) of the pairs whose ends are still of different classes, ``tried`` for each two classes at most."""
+    for end in ("low", "high"):
+        named = classes.select(F.col("id").alias(end), F.col("component").alias(f"{end}_class"))
+        rest = rest.join(named, end, "left").withColumn(f"{end}_class", F.coalesce(f"{end}_class", end))
+    between = [F.least("low_class", "high_class"), F.greatest("low_class", "high_class")]
+    place = F.row_number().over(Window.partitionBy(*between).orderBy("bound", "low", "high"))
+    chosen = rest.where("low_class != high_class").withColumn("place", place).where(F.col("place") <= tried)
+    return chosen.select(F.col("low").alias("leader"), F.col("high").alias("other"))
+
+
 def classes_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(id, component) of the nodes that have a link."""
     pairs, crowded = candidates(nodes)
     pairs = materialize(pairs, "pairs")
     links = materialize(verified(docs, pairs), "near")
-    held, tested = members(crowded, nodes), unordered(pairs)
-    while True:
-        met = materialize(elected(held, labels(links)), "met")
-        fresh = met.select("id", F.explode("rivals").alias("leader"))
-        fresh = fresh.groupBy(F.least("leader", "id").alias("low"), F.greatest("leader", "id").alias("high")).agg(
-            F.min_by(F.struct("leader", F.col("id").alias("other")), F.col("leader")).alias("pair")
-        )
-        pairs = materialize(fresh.join(tested, ["low", "high"], "left_anti").select("pair.*"), "pairs")
+    classes = components(links)
+    rest = apart(members(crowded, nodes, classes)).join(unordered(pairs), ["low", "high"], "left_anti")
+    rest, tried = materialize(rest, "rest"), TRIED
+    while not (pairs := materialize(next_pairs(rest, classes, tried), "pairs")).isEmpty():
         found = materialize(verified(docs, pairs), "near")
-        if found.isEmpty():
-            return components(links)
-        held = met.where("held").select("key", "id", "n_words", "marks")
-        tested, links = tested.unionByName(unordered(pairs)), links.unionByName(found)
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            classes = components(links)
+        rest, tried = materialize(rest.join(unordered(pairs), ["low", "high"], "left_anti"), "rest"), tried * TRIED
+    return classes
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
@@ -354,7 +397,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
     texts = rows.where("print IS NOT NULL")
     nodes = materialize(
         texts.groupBy("print")
-        .agg(F.min("doc_id").alias("id"), F.first("n_words").alias("n_words"), F.first("keys").alias("keys"))
+        .agg(F.min("doc_id").alias("id"), F.first("n_words").alias("n_words"), F.first("bins").alias("bins"), F.first("keys").alias("keys"))
         .where("id IS NOT NULL"),
         "nodes",
     )
