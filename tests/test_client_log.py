@@ -1,0 +1,69 @@
+"""What tasks of a client copy log: many shards beside the log, and ranges that several tasks share."""
+
+import json
+import sys
+
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
+
+from vecflow.operators.sink import ClientTarget, ClientWriter, SentMessage
+from vecflow.schema import KEY_MARK, RANGE_MARK
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers do not import tests
+
+
+class Client:
+    def create_shard_key(self, key):
+        pass
+
+    def upsert(self, rows):
+        assert all(set(row) == {"id", "shard_key", "payload"} for row in rows)
+
+
+def batch(n):
+    pair = {"num": None, "uuid": None}
+    rows = [
+        {"id": pair | {"num": i}, "shard_key": {"keyword": None, "num": i % 500}, "payload": "{}", RANGE_MARK: 3, KEY_MARK: {"key": float(i), "text": str(i)}}
+        for i in range(n)
+    ]
+    number = pa.decimal128(20, 0)
+    schema = pa.schema([
+        ("id", pa.struct([("num", number), ("uuid", pa.string())])),
+        ("shard_key", pa.struct([("keyword", pa.string()), ("num", number)])),
+        ("payload", pa.string()), (RANGE_MARK, pa.int32()), (KEY_MARK, pa.struct([("key", pa.float64()), ("text", pa.string())])),
+    ])
+    return pa.RecordBatch.from_pylist(rows, schema)
+
+
+def test_counts_of_many_shards_do_not_pass_through_the_driver(spark, tmp_path):
+    writer = ClientWriter(Client, 10, 0.0, str(tmp_path), "job")
+    message = writer.write(iter([batch(1_000), batch(700).slice(100)]))
+    assert message.shards == {} and message.ranges == {3: (1_600, "999")}
+    writer.write(iter([batch(1_000)]))  # an attempt that Spark does not accept
+    writer.commit([message])
+    assert len((tmp_path / "job.json").read_text()) < 1_000
+    sent = {int(r["number"]): r["points"] for r in ClientTarget(spark, Client, str(tmp_path)).sent().collect()}
+    assert sent == {i: 2 + (i >= 100) + (i < 200) for i in range(500)}
+
+
+def test_a_range_of_several_tasks_is_done_when_all_have_ended(tmp_path):
+    writer = ClientWriter(None, 1, 0.0, str(tmp_path / "log"), "job", parts=2)
+    ended = [(0, 7), (2, 8), (3, 8), (5, 9)]  # place and range
+    writer.abort([SentMessage({r: (2, str(p + 7))}, {None: [2, 1, 0]}, 2, None, p, {r: p + 7}) for p, r in ended] + [None])
+    lines = [json.loads(x) for x in (tmp_path / "log" / "job.json").read_text().splitlines()]
+    assert [x["ranges"] for x in lines] == [[{"range_id": 8, "points": 4, "last_key": "10"}], []]
+
+
+def test_parts_of_a_range_are_told_together(spark, tmp_path):
+    rows = spark.range(0, 3_000, 1, 1).selectExpr("struct(cast(id % 1000 as decimal(20,0)) num, cast(null as string) uuid) id", "id as k")
+    points = rows.withColumns({"payload": F.expr("cast('{}' as variant)"), "shard_key": F.expr("struct('s' keyword, cast(null as decimal(20,0)) num)")})
+    points = points.withColumns({RANGE_MARK: (F.col("id.num") >= 500).cast("int"), KEY_MARK: F.col("k")}).drop("k")
+    target = ClientTarget(spark, Client, str(tmp_path / "log"))
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        assert target.upsert(points, ranges=2) == 1_000  # four tasks for each range, one row of each id
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert target.marks == {0: ("2499", 500), 1: ("2999", 500)}
+    assert sum(r["points"] for r in target.sent().collect()) == 1_000

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import json
+import math
 import time
 import uuid
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from decimal import Decimal
 from typing import Any
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
@@ -30,6 +34,8 @@ RETRYABLE = (
 MAX_ATTEMPTS = 5
 BASE_DELAY_SECONDS = 0.2
 DEFAULT_BATCH_SIZE = 50
+#: Shards whose counts travel with a task's commit; a task that met more keeps them in a file beside the log.
+INLINE_SHARDS = 100
 
 
 def send_with_retry(send: Callable[[], Any], sleep: Callable[[float], None] = time.sleep) -> int:
@@ -46,11 +52,40 @@ def send_with_retry(send: Callable[[], Any], sleep: Callable[[float], None] = ti
     raise AssertionError("unreachable")
 
 
-def plain_value(pair: dict | None, text: str) -> int | str | None:
-    """An id or shard key as the client gets it: text, a whole number, or nothing."""
-    if pair is None or pair[text] is not None:
-        return pair and pair[text]
-    return None if pair["num"] is None else int(pair["num"])
+def whole_numbers(column: pa.Array) -> list[int | None]:
+    """Whole decimals as Python numbers, by way of 64 bits where they fit."""
+    try:
+        return pc.cast(column, pa.int64()).to_pylist()
+    except pa.ArrowInvalid:
+        return [None if n is None else int(n) for n in column.to_pylist()]
+
+
+def plain_values(pairs: pa.StructArray, text: str) -> list[int | str | None]:
+    """Ids or shard keys as the client gets them: text, a whole number, or nothing."""
+    fields = dict(zip((f.name for f in pairs.type), pairs.flatten()))
+    texts, numbers = fields[text], fields["num"]
+    if numbers.null_count == len(numbers):
+        return texts.to_pylist()
+    if texts.null_count == len(texts):
+        return whole_numbers(numbers)
+    return [n if t is None else t for t, n in zip(texts.to_pylist(), whole_numbers(numbers))]
+
+
+def plain_rows(batch: pa.RecordBatch) -> list[dict]:
+    """The rows of a batch as the client gets them, without the marks of a copy."""
+    columns = {}
+    for name, column in zip(batch.schema.names, batch.columns):
+        if name in (RANGE_MARK, KEY_MARK):
+            continue
+        if name in ("id", "shard_key") and pa.types.is_struct(column.type):
+            columns[name] = plain_values(column, "uuid" if name == "id" else "keyword")
+        elif pa.types.is_map(column.type) and len(column) and column.offsets[0] == column.offsets[-1]:
+            columns[name] = [[] if there else None for there in column.is_valid().to_pylist()]  # maps without entries
+        else:
+            columns[name] = column.to_pylist()
+    if "shard_key" not in columns:
+        columns["shard_key"] = [None] * batch.num_rows
+    return [dict(zip(columns, values)) for values in zip(*columns.values())]
 
 
 @dataclass
@@ -67,8 +102,6 @@ class Sender:
 
     def send(self, rows: Iterable[dict]) -> None:
         for row in rows:
-            row["id"] = plain_value(row["id"], "uuid")
-            row["shard_key"] = plain_value(row.get("shard_key"), "keyword")
             if self.by_shard and self.pending and self.pending[0]["shard_key"] != row["shard_key"]:
                 self.flush()
             self.pending.append(row)
@@ -127,7 +160,7 @@ def send_batches(
     def send_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sender = Sender(client_factory(), batch_size, delay_seconds, by_shard)
         for batch in batches:
-            sender.send(batch.to_pylist())
+            sender.send(plain_rows(batch))
         sender.flush()
         for key, counts in sender.shards.items():
             number = None if key is None or isinstance(key, str) else Decimal(key)
@@ -160,16 +193,21 @@ def write_batches(
 
 LOGGED = (
     "ranges array<struct<range_id:int,points:bigint,last_key:string>>, "
-    f"shards array<struct<{SENT.replace('number decimal(20,0)', 'number string').replace(' ', ':').replace(',:', ',')}>>"
+    f"shards array<struct<{SENT.replace('number decimal(20,0)', 'number string').replace(' ', ':').replace(',:', ',')}>>, "
+    "file string"
 )
 
 
 @dataclass
 class SentMessage(WriterCommitMessage):
-    """What one task has sent: points and last key of each of its ranges, and counts of each shard."""
+    """What one task has sent: points and last key of each of its ranges, and counts of each shard, or the file of them."""
 
     ranges: dict[int, tuple[int, str]]
     shards: dict[Any, list[int]]
+    points: int = 0
+    file: str | None = None
+    place: int = 0
+    keys: dict[int, Any] = field(default_factory=dict)  # the last keys as they are ordered
 
 
 def file_system(path: str) -> tuple[pafs.FileSystem, str]:
@@ -189,22 +227,44 @@ class ClientWriter(DataSourceArrowWriter):
     still hands over the messages of the tasks that ended, so what these ranges reached is kept.
     """
 
-    def __init__(self, client_factory, batch_size: int, delay_seconds: float, log_path: str, job: str):
+    def __init__(self, client_factory, batch_size: int, delay_seconds: float, log_path: str, job: str, parts: int = 1):
         self.client_factory, self.batch_size, self.delay_seconds = client_factory, batch_size, delay_seconds
-        self.log_path, self.job = log_path, job
+        self.log_path, self.job, self.parts = log_path, job, parts
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> SentMessage:
         sender, reached = Sender(self.client_factory(), self.batch_size, self.delay_seconds, by_shard=True), {}
         for batch in iterator:
-            rows = batch.to_pylist()
-            for row in rows:
-                if RANGE_MARK in row:
-                    range_id, last = row.pop(RANGE_MARK), row.pop(KEY_MARK)
-                    points, before = reached.get(range_id, (0, last))
-                    reached[range_id] = (points + 1, later(before, last))
-            sender.send(rows)
+            if RANGE_MARK in batch.schema.names:
+                key, text = batch.column(KEY_MARK).flatten()  # key and its text
+                last: dict[int, tuple[Any, int]] = {}
+                range_ids = batch.column(RANGE_MARK).to_pylist()
+                for i, (range_id, value) in enumerate(zip(range_ids, key.to_pylist())):
+                    if range_id not in last or later(value, last[range_id][0]):
+                        last[range_id] = value, i
+                for range_id, count in Counter(range_ids).items():
+                    value, i = last[range_id]
+                    points, before, before_text = reached.get(range_id, (0, None, None))
+                    if points and not later(value, before):
+                        reached[range_id] = points + count, before, before_text
+                    else:
+                        reached[range_id] = points + count, value, text[i].as_py()
+            sender.send(plain_rows(batch))
         sender.flush()
-        return SentMessage({r: (n, last["text"]) for r, (n, last) in reached.items()}, sender.shards)
+        context = TaskContext.get()
+        message = SentMessage({r: (n, text) for r, (n, _, text) in reached.items()}, sender.shards)
+        message.points = sum(counts[0] for counts in sender.shards.values())
+        message.place = context.partitionId() if context else 0
+        message.keys = {r: key for r, (_, key, _) in reached.items()}
+        return self._kept_apart(message) if len(sender.shards) > INLINE_SHARDS else message
+
+    def _kept_apart(self, message: SentMessage) -> SentMessage:
+        """The message with its shards in a file, which counts only if the log names it."""
+        fs, folder = file_system(self.log_path)
+        fs.create_dir(f"{folder}/{SHARD_FILES}", recursive=True)
+        name = f"{SHARD_FILES}/{self.job}-{message.place}-{uuid.uuid4().hex}.json"
+        with fs.open_output_stream(f"{folder}/{name}") as out:
+            out.write("\n".join(map(json.dumps, logged_shards(message.shards))).encode())
+        return replace(message, shards={}, file=name)
 
     def commit(self, messages: list[SentMessage | None]) -> None:
         self._log(messages)
@@ -214,7 +274,11 @@ class ClientWriter(DataSourceArrowWriter):
 
     def _log(self, messages: list[SentMessage | None]) -> None:
         """One line per task that ended, in one file per job, put in place by a rename."""
-        lines = [json.dumps(logged(m)) for m in messages if isinstance(m, SentMessage)]
+        ended = [m for m in messages if isinstance(m, SentMessage)]
+        places = {m.place for m in ended}
+        # Of a range that several tasks share, all must have ended; otherwise all of it is sent again.
+        whole = [m for m in ended if self.parts == 1 or all(m.place // self.parts * self.parts + i in places for i in range(self.parts))]
+        lines = [json.dumps(logged(m)) for m in together(whole)]
         fs, folder = file_system(self.log_path)
         fs.create_dir(folder, recursive=True)
         with fs.open_output_stream(f"{folder}/.{self.job}") as out:
@@ -222,30 +286,56 @@ class ClientWriter(DataSourceArrowWriter):
         fs.move(f"{folder}/.{self.job}", f"{folder}/{self.job}.json")
 
 
-def later(a: dict, b: dict) -> dict:
-    """The larger of two keys as Spark orders them, which puts a float that is not a number last."""
-    return a if a["key"] != a["key"] or a["key"] > b["key"] else b
+def later(a: Any, b: Any) -> bool:
+    """Whether a key comes after another as Spark orders them, which puts a float that is not a number last."""
+    return a > b or (a != a and b == b)
+
+
+def together(messages: list[SentMessage]) -> list[SentMessage]:
+    """The same messages, but a range that several tasks shared is told once, with all its points and its last key."""
+    found: dict[int, tuple[int, Any, str]] = {}
+    for message in messages:
+        for r, (n, text) in message.ranges.items():
+            points, *before = found.get(r, (0, None, None))
+            key = message.keys.get(r)
+            found[r] = (points + n, *(before if points and not later(key, before[0]) else (key, text)))
+    told = []
+    for message in messages:
+        mine = {r: (n, text) for r in message.ranges if r in found for n, _, text in [found.pop(r)]}
+        told.append(replace(message, ranges=mine))
+    return told
+
+
+#: Beside the log's own files, under a name that readers of its folder pass over.
+SHARD_FILES = "_shards"
+
+
+def logged_shards(shards: dict[Any, list[int]]) -> list[dict]:
+    return [
+        {
+            "keyword": key if isinstance(key, str) else None,
+            "number": None if key is None or isinstance(key, str) else str(key),
+            "points": points, "batches": batches, "retries": retries,
+        }
+        for key, (points, batches, retries) in shards.items()
+    ]
 
 
 def logged(message: SentMessage) -> dict:
     return {
         "ranges": [{"range_id": r, "points": n, "last_key": key} for r, (n, key) in message.ranges.items()],
-        "shards": [
-            {
-                "keyword": key if isinstance(key, str) else None,
-                "number": None if key is None or isinstance(key, str) else str(key),
-                "points": points, "batches": batches, "retries": retries,
-            }
-            for key, (points, batches, retries) in message.shards.items()
-        ],
-    }
+        "shards": logged_shards(message.shards),
+        "points": message.points,
+        "file": message.file,
+    }
 
 
 class ClientTarget:
     """An outside client as the target of a copy, shard by shard.
 
-    Points that carry the marks of a copy (range and key) are laid out by range, so a range is the work of one task, and
-    the later version of an id is the one that is sent. What the tasks sent is kept at ``log_path``, also when the
+    Points that carry the marks of a copy (range and key) are laid out by range, and the later version of an id is the
+    one that is sent. A range is the work of one task, or of several, by id, where the session's shuffle partitions are
+    more than the ranges. What the tasks sent is kept at ``log_path``, which tasks must reach too, also when the
     job fails; ``marks`` then has the ranges that are done. Without marks no row is moved, and ids must be unique.
     Batches hold one shard each; a task sends a shard's points of all its ranges together.
 
@@ -274,7 +364,7 @@ class ClientTarget:
 
         With ``seq`` the highest of an id is sent; of equal ones, or without it, the row read last.
         """
-        job, self.marks = uuid.uuid4().hex, {}
+        job, self.marks, parts = uuid.uuid4().hex, {}, 1
         marked = RANGE_MARK in points.columns
         columns = [c for c in POINT_COLUMNS if c in points.columns] + [RANGE_MARK, KEY_MARK] * marked
         rows = points.select(*columns, *([F.col(seq).alias("_seq")] if seq else []))
@@ -282,8 +372,12 @@ class ClientTarget:
         if marked or seq:
             rows = rows.withColumn("_arrival", F.monotonically_increasing_id())
             keys = [RANGE_MARK, "id"] if marked else ["id"]
-            if marked:
-                rows = rows.repartition(*([ranges] if ranges else []), RANGE_MARK)
+            if marked and ranges:
+                parts = math.ceil(int(self.spark.conf.get("spark.sql.shuffle.partitions")) / ranges)
+                rows = rows.withColumn("_place", place_of(F.col(RANGE_MARK), F.col("id"), ranges, parts))
+                rows, keys = rows.repartitionById(ranges * parts, F.col("_place")), ["_place", *keys]
+            elif marked:
+                rows = rows.repartition(RANGE_MARK)
             rows = keep_last(rows, keys, order)
         if marked:
             key = F.struct(F.col(KEY_MARK).alias("key"), F.col(KEY_MARK).cast("string").alias("text"))
@@ -291,13 +385,13 @@ class ClientTarget:
         wire = wire_points(rows.select(*columns))
         if "shard_key" in columns:
             wire = wire.sortWithinPartitions("shard_key")
-        writer = ClientWriter(self.client_factory, self.batch_size, self.delay_seconds, self.log_path, job)
+        writer = ClientWriter(self.client_factory, self.batch_size, self.delay_seconds, self.log_path, job, parts)
         try:
             wire.write.format(_client_format(self.spark, writer)).mode("append").save()
         finally:
             sent = self._read_job(job)
             self.marks = {r["range_id"]: (r["last_key"], r["points"]) for line in sent for r in line["ranges"]}
-        return sum(shard["points"] for line in sent for shard in line["shards"])
+        return sum(line["points"] for line in sent)
 
     def _read_job(self, job: str) -> list:
         fs, folder = file_system(self.log_path)
@@ -314,12 +408,20 @@ class ClientTarget:
         """Points, batches and retries per shard key, summed over all upserts."""
         log = self.spark.read.schema(LOGGED).json(self.log_path)
         shards = log.select(F.explode("shards").alias("s")).select("s.*")
+        files = [f"{self.log_path}/{r['file']}" for r in log.where("file IS NOT NULL").select("file").collect()]  # one for a task
+        if files:
+            shards = shards.unionByName(self.spark.read.schema(shards.schema).json(files))
         number = F.col("number").cast("decimal(20,0)").alias("number")
         return shards.groupBy("keyword", number).agg(
             *[F.sum(c).alias(c) for c in ("points", "batches", "retries")]
         )
 
 
+def place_of(range_id: Column, point_id: Column, ranges: int, parts: int) -> Column:
+    """The task of a point: ``parts`` of them in a row belong to one range."""
+    return (F.pmod(range_id, F.lit(ranges)) * parts + F.pmod(F.xxhash64(point_id), F.lit(parts)).cast("int")).cast("int")
+
+
 def _client_format(spark: SparkSession, writer: ClientWriter) -> str:
     """Register a writer under a name of its own."""
     format_name = f"vecflow_client_{writer.job}"
