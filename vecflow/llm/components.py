@@ -18,8 +18,8 @@ def components(links: DataFrame) -> DataFrame:
     while not settled(stars):
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u > v").distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
+        large = large.repartition("u")  # sent once, for the least neighbour and for the rest
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(smallest, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         stars = materialize(small.unionByName(smallest.select("u", F.col("m").alias("v"))).distinct(), "links")

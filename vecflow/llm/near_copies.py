@@ -16,7 +16,8 @@ What a bucket's smallest id has left apart is then compared pair by pair: each t
 different classes so far, however many there are. A bucket is cut into blocks, and a task compares two of them. Both texts'
 words are counted in ``BINS`` bins; the surplus of one text over the other is never more than their edit distance, so a pair
 with too large a surplus has no link and is not aligned. All others are, by rising surplus: of each two classes
-``TRIED`` pairs first, then, in rounds, more of those that are still apart, until none is left. So no link between two
+``TRIED`` pairs first, then, in rounds, more of those that are still apart, until none is left. Links of these rounds join
+classes, so the components of a round are found among the classes, not again among all nodes. So no link between two
 texts that share a bucket is missed. The comparisons grow with the square of a bucket of unlike texts, which a passage brings
 together that many texts have; they are spread over tasks, and a task holds two blocks.
 
@@ -31,7 +32,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StructField, StructType
 
@@ -43,8 +44,14 @@ SHINGLE, SEARCHED, SKETCHES, SIMILARITY = 5, 3, 48, 0.8
 #: Pairs of one leader that a task gets at most; the leader's words go to each such share.
 SHARE = 2_000
 #: Bins in which a text's words are counted, members of a block, and pairs of two classes that are aligned first; each
-#: further round aligns ``TRIED`` times as many.
-BINS, BLOCK, TRIED = 64, 2_000, 16
+#: further round aligns the square of ``TRIED`` times as many.
+BINS, BLOCK, TRIED = 512, 2_000, 16
+#: Bins that are looked at first, each of several of the others.
+ROUGH = 64
+#: Pairs that a task hands on at once.
+SENT = 20_000
+#: Places for marks of the ids whose texts are compared: about this many for each id, and 16 MB of them at most.
+MARKS_EACH, MARKS = 16, 1 << 27
 _odd = np.random.default_rng(17)
 MULTIPLIERS = _odd.integers(0, 2**63, SKETCHES, np.uint64) * np.uint64(2) + np.uint64(1)
 PLACE = _odd.integers(0, 2**63, SHINGLE, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -127,10 +134,10 @@ def sketched(docs: DataFrame) -> DataFrame:
 
 
 def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Distinct (leader, other) pairs of nodes (id, n_words, keys) that meet in a bucket and have similar lengths, and
-    (id, n_words, places): which of a node's sketches are keys of buckets of three or more."""
+    """Distinct (leader, other) pairs of nodes (id, n_words, bins, keys) that meet in a bucket and have similar lengths, and
+    the nodes of buckets of three or more, with ``places``: which of their sketches are keys of such buckets."""
     pairs = crowded = None
-    buckets = nodes.select("id", "n_words", "keys", F.posexplode("keys").alias("j", "key"))
+    buckets = nodes.select("id", "n_words", F.posexplode("keys").alias("j", "key"))
     for span in (1, 2, 4):
         found = buckets.groupBy("key").agg(
             F.count(F.lit(1)).alias("members"), F.min(F.struct("id", "n_words")).alias("leader")
@@ -142,15 +149,14 @@ def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
         pairs = made if pairs is None else pairs.unionByName(made)
         if span == 4:
             break
-        members = met.where("members > 2").select("id", "n_words", "j").dropDuplicates(["id", "j"])
-        finer = materialize(members.groupBy("id", "n_words").agg(F.collect_set("j").alias("places")), "buckets")
+        crowds = met.where("members > 2").select("id", "j").distinct().groupBy("id").agg(F.collect_set("j").alias("places"))
+        # The sketches of the nodes that are left travel once; later spans take them from there.
+        from_nodes = nodes if crowded is None else crowded.drop("places")
+        finer = materialize(from_nodes.hint("merge").join(crowds, "id").select("id", "n_words", "bins", "keys", "places"), "buckets")
         crowded = finer if crowded is None else crowded
         parts = [F.get("keys", (F.col("j") + i) % SKETCHES) for i in range(2 * span)]
-        buckets = (
-            finer.join(nodes.select("id", "keys"), "id")
-            .select("id", "n_words", "keys", F.explode("places").alias("j"))
-            .withColumn("key", F.xxhash64(F.lit(span), *parts))
-        )
+        buckets = finer.select("id", "n_words", "keys", F.explode("places").alias("j"))
+        buckets = buckets.select("id", "n_words", "j", F.xxhash64(F.lit(span), *parts).alias("key"))
     return pairs.distinct(), crowded
 
 
@@ -246,16 +252,51 @@ def close(pairs: list[tuple[np.ndarray, np.ndarray]]) -> list[bool]:
     return decided
 
 
+def places(column: str, size: int) -> Column:
+    """The two places of an id."""
+    return F.array(*(F.pmod(F.xxhash64(F.lit(i), column), F.lit(size)) for i in range(2)))
+
+
+def marked(ids: DataFrame, size: int) -> np.ndarray:
+    """A bit for each of ``size`` places, set where one of the ``ids`` has one of its two."""
+    words = ids.select(F.explode(places("id", size)).alias("place")).groupBy(F.shiftright("place", 6).alias("word"))
+    found = words.agg(F.bit_or(F.expr("shiftleft(1L, CAST(place & 63 AS INT))")).alias("bits")).toArrow()
+    out = np.zeros(size // 64, np.int64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return out
+
+
+def held(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id and text of the documents whose id is in ``ids``, and of a few others at most: texts that no comparison wants
+    are left out where they are read, and travel nowhere. The marks are bounded; the fuller they are, the more of the others
+    come along."""
+    ids = ids.distinct()
+    size = min(MARKS, 1 << max(6, (MARKS_EACH * ids.count()).bit_length()))
+    sent = docs.sparkSession.sparkContext.broadcast(marked(ids, size))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+
+    def run(batches):
+        marks = sent.value
+        for batch in batches:
+            at = batch.column("places").flatten().to_numpy().reshape(-1, 2)
+            kept = ((marks[at >> 6] >> (at & 63)) & 1).all(1)
+            yield batch.select(["doc_id", "text"]).filter(pa.array(kept))
+
+    rows = rows.where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("places", places("doc_id", size))
+    return materialize(rows.mapInArrow(run, "doc_id bigint, text string"), "texts")
+
+
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """(a, b) links of the candidate pairs that pass the alignment. Texts travel once to each share of a leader."""
-    shares = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / SHARE).cast("int").alias("shares"))
-    placed = pairs.join(shares, "leader").withColumn("share", F.pmod(F.xxhash64("other"), F.col("shares")).cast("int"))
-    placed = materialize(placed, "placed")
+    # The leaders of more than a share are few by that very number.
+    large = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / SHARE).cast("int").alias("shares")).where("shares > 1")
+    share = F.pmod(F.xxhash64("other"), F.coalesce("shares", F.lit(1))).cast("int")
+    placed = pairs.join(F.broadcast(large), "leader", "left").withColumn("share", share)
     others = placed.select(F.col("other").alias("doc_id"), "leader", "share", F.lit(1).alias("role"))
     leaders = placed.select("leader", "share").distinct()
     leaders = leaders.select(F.col("leader").alias("doc_id"), "leader", "share", F.lit(0).alias("role"))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    sent = texts.join(others.unionByName(leaders), "doc_id").repartition("leader", "share")
+    sent = texts.hint("merge").join(others.unionByName(leaders), "doc_id").repartition("leader", "share")
     sent = sent.sortWithinPartitions("leader", "share", "role", "doc_id")
     schema = StructType([StructField("a", LongType()), StructField("b", LongType()), StructField("close", BooleanType())])
 
@@ -291,19 +332,19 @@ def unordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("leader", "other").alias("low"), F.greatest("leader", "other").alias("high"))
 
 
-def members(crowded: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
-    """(key, id, label, n_words, bins, block, first, second): members of the buckets of three or more that hold several
+def members(crowded: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key, id, label, n_words, bins, keys, block, first, second): members of the buckets of three or more that hold several
     classes, once for each pair of blocks, ``first`` and ``second``, that a member's own ``block`` belongs to."""
-    labelled = crowded.select("id", "places").join(classes, "id", "left").withColumn("label", F.coalesce("component", "id"))
-    found = nodes.select("id", "keys").join(labelled, "id").select("id", "label", "keys", F.explode("places").alias("j"))
+    labelled = crowded.join(classes, "id", "left").withColumn("label", F.coalesce("component", "id"))
+    found = labelled.select("id", "label", "keys", F.explode("places").alias("j"))
     found = materialize(found.select(F.get("keys", "j").alias("key"), "id", "label"), "members")
     sizes = found.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("least"), F.max("label").alias("most"))
     mixed = sizes.where("least < most").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    placed = found.join(mixed, "key").join(nodes.select("id", "n_words", "bins"), "id").withColumn("block", block)
+    placed = found.join(mixed, "key").join(crowded.select("id", "n_words", "bins", "keys"), "id")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cell = [F.least("block", "with").alias("first"), F.greatest("block", "with").alias("second")]
-    return placed.select("key", "id", "label", "n_words", "bins", "block", *cell)
+    return placed.select("key", "id", "label", "n_words", "bins", "keys", "block", *cell)
 
 
 def surplus(bins: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -314,19 +355,22 @@ def surplus(bins: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def apart(rows: DataFrame) -> DataFrame:
-    """(low, high, bound): pairs of the members that are of different classes, with similar lengths and no surplus
-    beyond the limit; each pair once."""
+    """(low, high, bound, low_label, high_label): pairs of the members that are of different classes, with similar lengths and
+    no surplus beyond the limit; each pair once."""
     order = ["key", "first", "second"]
-    schema = StructType([StructField(c, LongType()) for c in ("low", "high", "bound")])
+    schema = StructType([StructField(c, LongType()) for c in ("low", "high", "bound", "low_label", "high_label")])
 
-    def compared(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    def compared(held: list[pa.RecordBatch]):
+        """The pairs of whole cells, in batches as they come up: a block of unlike texts may have millions."""
         table = pa.Table.from_batches(held).combine_chunks()
         cells = np.stack([table.column(c).to_numpy().astype(np.int64) for c in order])
         ids, label, n, block = (table.column(c).to_numpy() for c in ("id", "label", "n_words", "block"))
         bins = np.frombuffer(b"".join(table.column("bins").to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)
+        rough = bins.reshape(len(bins), -1, ROUGH).sum(1, dtype=np.int16)
+        keys = table.column("keys").combine_chunks().flatten().to_numpy().reshape(len(bins), -1)
         starts = np.flatnonzero(np.r_[True, (cells[:, 1:] != cells[:, :-1]).any(0)])
         ends = np.repeat(np.r_[starts[1:], len(ids)], np.diff(np.r_[starts, len(ids)]))
-        within, alive, found = cells[1] == cells[2], np.arange(len(ids)), []
+        within, alive, found, size = cells[1] == cells[2], np.arange(len(ids)), [], 0
         for step in range(1, len(ids)):  # each member with the one that many places on, in all cells at once
             alive = alive[alive + step < ends[alive]]
             if not len(alive):
@@ -336,11 +380,26 @@ def apart(rows: DataFrame) -> DataFrame:
             longer = np.maximum(n[alive], n[other])
             wanted &= np.minimum(n[alive], n[other]) >= SIMILARITY * longer
             i, j, limit = alive[wanted], other[wanted], ((1 - SIMILARITY) * longer[wanted] + 1e-9).astype(np.int64)
+            near = surplus(rough, i, j) <= limit
+            i, j, limit = i[near], j[near], limit[near]
+            # A pair that shares several keys is compared under the first of them only.
+            same = keys[i] == keys[j]
+            here = (keys[i, same.argmax(1)] == cells[0, i]) | ~same.any(1)
+            i, j, limit = i[here], j[here], limit[here]
             bound = surplus(bins, i, j)
             near = bound <= limit
-            found.append(np.stack([np.minimum(ids[i], ids[j])[near], np.maximum(ids[i], ids[j])[near], bound[near].astype(np.int64)]))
-        made = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in made], schema.names)
+            i, j = i[near], j[near]
+            low, high = np.where(ids[i] <= ids[j], i, j), np.where(ids[i] <= ids[j], j, i)
+            found.append(np.stack([ids[low], ids[high], bound[near].astype(np.int64), label[low], label[high]]))
+            size += len(low)
+            if size >= SENT:
+                yield together(found)
+                found, size = [], 0
+        if found:
+            yield together(found)
+
+    def together(found: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(found, axis=1)], schema.names)
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -352,43 +411,60 @@ def apart(rows: DataFrame) -> DataFrame:
             changes = np.flatnonzero((np.c_[before, cells[:, :-1]] != cells).any(0))
             if len(changes):  # what comes before the last cell is whole
                 held.append(batch.slice(0, changes[-1]))
-                yield compared(held)
+                yield from compared(held)
                 held = []
                 batch = batch.slice(changes[-1])
             held.append(batch)
         if held:
-            yield compared(held)
+            yield from compared(held)
 
     dealt = rows.repartition(*order).sortWithinPartitions(*order)
-    return dealt.mapInArrow(run, schema).groupBy("low", "high").agg(F.min("bound").alias("bound"))
+    least = [F.min(c).alias(c) for c in schema.names[2:]]
+    return dealt.mapInArrow(run, schema).groupBy("low", "high").agg(*least)
 
 
-def next_pairs(rest: DataFrame, classes: DataFrame, tried: int) -> DataFrame:
-    """(leader, other) of the pairs whose ends are still of different classes, ``tried`` for each two classes at most."""
-    for end in ("low", "high"):
-        named = classes.select(F.col("id").alias(end), F.col("component").alias(f"{end}_class"))
-        rest = rest.join(named, end, "left").withColumn(f"{end}_class", F.coalesce(f"{end}_class", end))
-    between = [F.least("low_class", "high_class"), F.greatest("low_class", "high_class")]
-    place = F.row_number().over(Window.partitionBy(*between).orderBy("bound", "low", "high"))
-    chosen = rest.where("low_class != high_class").withColumn("place", place).where(F.col("place") <= tried)
-    return chosen.select(F.col("low").alias("leader"), F.col("high").alias("other"))
+def ranked(rest: DataFrame, merged: DataFrame | None) -> DataFrame:
+    """The pairs whose ends are still of different classes, with their place among those of their two classes. ``merged`` has
+    the classes of the labels that links among ``rest`` have joined."""
+    for end in ("low_label", "high_label"):
+        if merged is None:
+            rest = rest.withColumn(f"{end}_class", F.col(end))
+        else:
+            named = merged.select(F.col("id").alias(end), F.col("component").alias(f"{end}_class"))
+            rest = rest.join(named, end, "left").withColumn(f"{end}_class", F.coalesce(f"{end}_class", end))
+    ends = ["low_label_class", "high_label_class"]
+    place = F.row_number().over(Window.partitionBy(F.least(*ends), F.greatest(*ends)).orderBy("bound", "low", "high"))
+    placed = rest.where(F.col(ends[0]) != F.col(ends[1])).withColumn("place", place)
+    return placed.select("low", "high", "bound", "low_label", "high_label", "place")
 
 
 def classes_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(id, component) of the nodes that have a link."""
     pairs, crowded = candidates(nodes)
     pairs = materialize(pairs, "pairs")
-    links = materialize(verified(docs, pairs), "near")
-    classes = components(links)
-    rest = apart(members(crowded, nodes, classes)).join(unordered(pairs), ["low", "high"], "left_anti")
-    rest, tried = materialize(rest, "rest"), TRIED
-    while not (pairs := materialize(next_pairs(rest, classes, tried), "pairs")).isEmpty():
-        found = materialize(verified(docs, pairs), "near")
+    texts = held(docs, pairs.select("leader").union(pairs.select("other")).union(crowded.select("id")).toDF("id"))
+    classes = components(materialize(verified(texts, pairs), "near"))
+    rest = apart(members(crowded, classes)).join(unordered(pairs), ["low", "high"], "left_anti")
+    links = merged = None
+    tried = TRIED
+    rest = materialize(ranked(rest, merged), "rest")
+    texts = held(texts, rest.select("low").union(rest.select("high")).toDF("id"))
+    while not (pairs := rest.where(F.col("place") <= tried)).isEmpty():
+        found = verified(texts, pairs.select(F.col("low").alias("leader"), F.col("high").alias("other")))
+        found = found.select(F.col("a").alias("low"), F.col("b").alias("high")).join(pairs, ["low", "high"])
+        found = materialize(found.select(F.col("low_label").alias("a"), F.col("high_label").alias("b")).distinct(), "near")
         if not found.isEmpty():
-            links = links.unionByName(found)
-            classes = components(links)
-        rest, tried = materialize(rest.join(unordered(pairs), ["low", "high"], "left_anti"), "rest"), tried * TRIED
-    return classes
+            links = found if links is None else links.unionByName(found)
+            merged = components(links)
+        rest, tried = materialize(ranked(rest.where(F.col("place") > tried), merged), "rest"), tried * TRIED**2
+    return classes if merged is None else renamed(classes, merged)
+
+
+def renamed(classes: DataFrame, merged: DataFrame) -> DataFrame:
+    """The classes with those joined that ``merged`` has joined. A node without a link so far is its own label."""
+    joined = merged.select(F.col("id").alias("component"), F.col("component").alias("other"))
+    old = classes.join(joined, "component", "left").select("id", F.coalesce("other", "component").alias("component"))
+    return old.unionByName(merged.join(classes.select("id"), "id", "left_anti").select("id", "component"))
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
