@@ -12,7 +12,7 @@ from vecflow.deploy import ship_package
 from vecflow.llm import contamination, language, near_copies, packing, repeats
 from vecflow.llm.common import remainder
 from vecflow.llm.token_counts import vocabulary_path
-from vecflow.scratch import materialize
+from vecflow.scratch import TEXTS, materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document is rejected if no learned language has at least this posterior.
@@ -32,7 +32,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each class of near copies: that with the smallest id, one without an id only where no row of the
     class has one. Each row is a document of its own, also where rows repeat, share an id or have none."""
     ship_package(spark)
-    rows = materialize(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows")
+    rows = materialize(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows", TEXTS)
     classes = near_copies.near_copies(rows.select(F.col("row").alias("doc_id"), "text"))
     classes = classes.select(F.col("doc_id").alias("row"), "class_id").join(rows.select("row", "doc_id"), "row")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row"))
@@ -74,5 +74,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        docs = materialize(stage(spark, docs, sf_dir), name, TEXTS)
     return STAGES[-1][1](spark, docs, sf_dir)

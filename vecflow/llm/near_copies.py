@@ -38,7 +38,7 @@ from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, Stru
 
 from vecflow.llm.common import WORD, map_texts, texts_of, word_hash
 from vecflow.llm.components import components
-from vecflow.scratch import materialize
+from vecflow.scratch import TEXTS, materialize
 
 SHINGLE, SEARCHED, SKETCHES, SIMILARITY = 5, 3, 48, 0.8
 #: Pairs of one leader that a task gets at most; the leader's words go to each such share.
@@ -270,20 +270,24 @@ def held(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """doc_id and text of the documents whose id is in ``ids``, and of a few others at most: texts that no comparison wants
     are left out where they are read, and travel nowhere. The marks are bounded; the fuller they are, the more of the others
     come along."""
-    ids = ids.distinct()
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
+    return materialize(among(rows, "doc_id", ids.distinct()), "texts", TEXTS)
+
+
+def among(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """``rows`` whose ``column`` is in the distinct ``ids``, and a few others at most."""
     size = min(MARKS, 1 << max(6, (MARKS_EACH * ids.count()).bit_length()))
-    sent = docs.sparkSession.sparkContext.broadcast(marked(ids, size))
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    sent = rows.sparkSession.sparkContext.broadcast(marked(ids, size))
+    names = rows.columns
 
     def run(batches):
         marks = sent.value
         for batch in batches:
             at = batch.column("places").flatten().to_numpy().reshape(-1, 2)
             kept = ((marks[at >> 6] >> (at & 63)) & 1).all(1)
-            yield batch.select(["doc_id", "text"]).filter(pa.array(kept))
+            yield batch.select(names).filter(pa.array(kept))
 
-    rows = rows.where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("places", places("doc_id", size))
-    return materialize(rows.mapInArrow(run, "doc_id bigint, text string"), "texts")
+    return rows.withColumn("places", places(column, size)).mapInArrow(run, rows.schema)
 
 
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:

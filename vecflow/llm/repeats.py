@@ -3,10 +3,11 @@
 A string of ``LENGTH`` bytes is known by the smallest hash among its ``ANCHOR``-byte strings, which depends on nothing
 but its content, so equal strings meet under one anchor wherever they are. A stretch is a maximal run of start
 positions with one anchor. Stretches whose anchor occurs once hold nothing repeated and are left out by a combining
-count. Equal stretches are one with a number; all starts of one that occurs twice are repeated. The distinct stretches
-of an anchor are put into a block whose suffixes are ordered by linear grouping (``suffix_groups``); starts that are
-neighbours in that order and agree in ``LENGTH`` bytes are repeated. Stretches first lose what no other stretch of the
-anchor has: around the anchor, every string of ``LENGTH`` bytes holds one of some twenty aligned cores.
+count: bounded marks of the others' anchors keep nearly all of them from travelling. Equal stretches are one with a
+number; all starts of one that occurs twice are repeated. The distinct stretches of an anchor are put into a block whose
+suffixes are ordered by linear grouping (``suffix_groups``); starts that are neighbours in that order and agree in
+``LENGTH`` bytes are repeated. Stretches first lose what no other stretch of the anchor has: around the anchor, every
+string of ``LENGTH`` bytes holds one of some twenty aligned cores.
 
 An anchor with more than ``MANY`` distinct stretches (a passage in very many documents) would be one task's work. Its
 strings are dealt by 128-bit hashes of their content instead and counted with map-side combination, which is as exact.
@@ -40,6 +41,7 @@ from pyspark.sql.types import (
 )
 
 from vecflow.llm.common import map_texts, slices, texts_of
+from vecflow.llm.near_copies import among
 from vecflow.llm.suffix_groups import suffix_order
 from vecflow.scratch import materialize
 
@@ -275,7 +277,10 @@ def repeated_ranges(keyed: DataFrame) -> DataFrame:
         )
         .where("n > 1 OR inner")
     )
-    met = materialize(all_stretches.join(anchors.drop("n"), "anchor"), "met")
+    anchors = materialize(anchors.drop("n"), "anchors")
+    # Most stretches meet no other one and travel no further; the join leaves out the few that come along.
+    likely = among(all_stretches, "anchor", anchors.select(F.col("anchor").alias("id")))
+    met = materialize(likely.join(anchors, "anchor"), "met")
     end = (F.col("start") + F.col("starts") + (LENGTH - 1)).alias("end")
     plain = met.where("NOT differ AND NOT inner").select("key", "start", end)
 
