@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StructField, StructType
 
-from vecflow.llm.common import WORD, map_texts, texts_of, word_hash
+from vecflow.llm.common import SEPARATES, WORD, map_texts, slices, texts_of, values_of, word_hash
 from vecflow.llm.components import components
 from vecflow.scratch import TEXTS, materialize
 
@@ -50,6 +50,10 @@ BINS, BLOCK, TRIED = 512, 2_000, 16
 ROUGH = 64
 #: Pairs that a task hands on at once.
 SENT = 20_000
+#: Values of the hash functions that are found at once, few enough for a processor's cache.
+TOGETHER = 40_000
+#: Words of the longest texts whose distance is found by whole columns; wider bands decide those of longer ones.
+COLUMN = 50_000
 #: Places for marks of the ids whose texts are compared: about this many for each id, and 16 MB of them at most.
 MARKS_EACH, MARKS = 16, 1 << 27
 _odd = np.random.default_rng(17)
@@ -61,6 +65,21 @@ def hashed_words(text: str) -> np.ndarray:
     return np.fromiter(map(word_hash.__getitem__, WORD.findall(text.lower())), np.uint64)
 
 
+def hashed_texts(texts: list[str]) -> list[np.ndarray]:
+    """The hashes of the words of each text, all cut at once and each distinct word hashed once."""
+    parts = [t.lower().encode() for t in texts]
+    flat = np.frombuffer(b" ".join(parts) + b" ", np.uint8)
+    word = ~SEPARATES[flat]
+    before = np.r_[False, word[:-1]]
+    opens = np.flatnonzero(word & ~before)
+    offsets = np.r_[0, np.cumsum(np.flatnonzero(~word & before) - opens)]
+    buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(flat[word])]
+    words = pa.Array.from_buffers(pa.large_binary(), len(opens), buffers).dictionary_encode()
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, values_of(words.dictionary)), np.uint64, len(words.dictionary))
+    ends = np.searchsorted(opens, np.cumsum([len(p) + 1 for p in parts]))
+    return np.split(hashes[words.indices.to_numpy()], ends[:-1])
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * MIX
     return x ^ (x >> np.uint64(29))
@@ -93,7 +112,7 @@ def ordered_sketches(words: np.ndarray) -> np.ndarray:
     """One key per hash function, of the two smallest labelled shingles in text order."""
     plain = shingles(words, SEARCHED)
     labelled = _mixed(occurrence_labelled(plain))
-    rows, step = np.arange(SKETCHES), max(1, 2_000_000 // len(labelled))
+    rows, step = np.arange(SKETCHES), max(1, TOGETHER // len(labelled))
     first, second = np.empty(SKETCHES, np.int64), np.empty(SKETCHES, np.int64)
     for at in range(0, SKETCHES, step):
         values = labelled[None, :] * MULTIPLIERS[at : at + step, None]
@@ -122,8 +141,7 @@ def sketched(docs: DataFrame) -> DataFrame:
     def sketch(batch) -> dict:
         out: dict = {"print": [], "n_words": [], "bins": [], "keys": []}
         with np.errstate(over="ignore"):
-            for text in texts_of(batch):
-                words = hashed_words(text)
+            for words in hashed_texts(texts_of(batch)):
                 out["n_words"].append(len(words))
                 out["print"].append(xxhash.xxh3_128_digest(words.tobytes()) if len(words) else None)
                 out["bins"].append(binned(words) if len(words) else None)
@@ -142,7 +160,9 @@ def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
         found = buckets.groupBy("key").agg(
             F.count(F.lit(1)).alias("members"), F.min(F.struct("id", "n_words")).alias("leader")
         )
-        met = buckets.join(found.where("members > 1"), "key")
+        met = buckets.join(found.where("members > 1"), "key").select("id", "n_words", "j", "members", "leader")
+        if span < 4:  # read for the pairs and for the crowds
+            met = materialize(met, "met")
         similar = F.least("n_words", "leader.n_words") >= SIMILARITY * F.greatest("n_words", "leader.n_words")
         made = met.where(F.col("id") != F.col("leader.id")).where(similar)
         made = made.select(F.col("leader.id").alias("leader"), F.col("id").alias("other"))
@@ -224,15 +244,50 @@ def banded(pairs: list[tuple[np.ndarray, np.ndarray]], band: int) -> np.ndarray:
     return distance
 
 
+def distance(a: np.ndarray, b: np.ndarray) -> int:
+    """The edit distance of two texts. A column of the table is two numbers, whose bits tell where it rises and falls."""
+    if len(a) < len(b):
+        a, b = b, a
+    found: dict[int, int] = {}
+    bit = 1
+    for word in a.tolist():
+        found[word] = found.get(word, 0) | bit
+        bit <<= 1
+    up = every = bit - 1
+    down = 0
+    for word in b.tolist():
+        same = found.get(word, 0)
+        either = same | down
+        level = (((same & up) + up) ^ up) | same
+        rises = (down | (every ^ (level | up))) << 1 | 1
+        up = ((up & level) << 1 | (every ^ (either | rises))) & every
+        down = rises & either
+    return len(b) + up.bit_count() - down.bit_count()
+
+
+def most_distance(a: np.ndarray, b: np.ndarray) -> int:
+    """An upper bound of the edit distance: words that differ place by place, and those that one text has more."""
+    n = min(len(a), len(b))
+    return int(np.count_nonzero(a[:n] != b[:n])) + max(len(a), len(b)) - n
+
+
 def close(pairs: list[tuple[np.ndarray, np.ndarray]]) -> list[bool]:
-    """Whether each pair's edit distance is at most a fifth of the longer text. Bands widen until decided."""
+    """Whether each pair's edit distance is at most a fifth of the longer text. Where bounds leave it open, the distance
+    decides; for long texts, bands that widen until it is known."""
     decided = [False] * len(pairs)
     waiting = []
     for i, (a, b) in enumerate(pairs):
         limit = int((1 - SIMILARITY) * max(len(a), len(b)) + 1e-9)
         a, b = trimmed(a, b)
-        if abs(len(a) - len(b)) <= limit and (not len(a) or not len(b) or least_distance(a, b) <= limit):
-            waiting.append((len(a), i, limit, a, b))
+        if abs(len(a) - len(b)) > limit:
+            continue
+        if most_distance(a, b) <= limit:
+            decided[i] = True
+        elif least_distance(a, b) <= limit:
+            if max(len(a), len(b)) <= COLUMN:
+                decided[i] = distance(a, b) <= limit
+            else:
+                waiting.append((len(a), i, limit, a, b))
     band = 4
     while waiting:
         now = sorted((w for w in waiting if abs(w[0] - len(w[4])) <= band), key=lambda w: w[:2])
@@ -306,14 +361,14 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def align(batches):
         leader, words = None, None
-        for batch in batches:
+        for batch in slices(batches):
             waiting, ids = [], []
             columns = (batch.column(c).to_pylist() for c in ("doc_id", "leader", "role"))
-            for doc_id, head, role, text in zip(*columns, texts_of(batch)):
+            for doc_id, head, role, own in zip(*columns, hashed_texts(texts_of(batch))):
                 if role == 0:
-                    leader, words = head, hashed_words(text)
+                    leader, words = head, own
                 elif leader == head:
-                    waiting.append((words, hashed_words(text)))
+                    waiting.append((words, own))
                     ids.append((head, doc_id))
                     if sum(len(x) + len(y) for x, y in waiting[-1:]) > 100_000 or len(waiting) >= 4_000:
                         yield result(ids, close(waiting))
@@ -377,13 +432,13 @@ def apart(rows: DataFrame) -> DataFrame:
         within, alive, found, size = cells[1] == cells[2], np.arange(len(ids)), [], 0
         for step in range(1, len(ids)):  # each member with the one that many places on, in all cells at once
             alive = alive[alive + step < ends[alive]]
+            alive = alive[n[alive] >= SIMILARITY * n[alive + step]]  # those that come after are no shorter
             if not len(alive):
                 break
             other = alive + step
             wanted = (label[alive] != label[other]) & (within[alive] | (block[alive] != block[other]))
-            longer = np.maximum(n[alive], n[other])
-            wanted &= np.minimum(n[alive], n[other]) >= SIMILARITY * longer
-            i, j, limit = alive[wanted], other[wanted], ((1 - SIMILARITY) * longer[wanted] + 1e-9).astype(np.int64)
+            i, j = alive[wanted], other[wanted]
+            limit = ((1 - SIMILARITY) * n[j] + 1e-9).astype(np.int64)
             near = surplus(rough, i, j) <= limit
             i, j, limit = i[near], j[near], limit[near]
             # A pair that shares several keys is compared under the first of them only.
@@ -422,7 +477,7 @@ def apart(rows: DataFrame) -> DataFrame:
         if held:
             yield from compared(held)
 
-    dealt = rows.repartition(*order).sortWithinPartitions(*order)
+    dealt = rows.repartition(*order).sortWithinPartitions(*order, "n_words")
     least = [F.min(c).alias(c) for c in schema.names[2:]]
     return dealt.mapInArrow(run, schema).groupBy("low", "high").agg(*least)
 
